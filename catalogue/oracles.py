@@ -80,7 +80,7 @@ SELECT DISTINCT CAST(year(o_orderdate) || '0101000000' AS BIGINT) AS batch_id,
        true AS has_files, true AS has_bytes, true AS has_time
 FROM orders""",
     "inventory_limit": """
-SELECT 3 AS n_files, count(DISTINCT year(o_orderdate)) > 3 AS after FROM orders""",
+SELECT CAST(3 AS BIGINT) AS n_files, count(DISTINCT year(o_orderdate)) > 3 AS after FROM orders""",
     "read_text": "SELECT props AS value, count(*) AS n FROM events GROUP BY props",
     "read_text_whole": "SELECT props AS value, count(*) AS n FROM events GROUP BY props",
     "read_header_map": """
@@ -101,8 +101,8 @@ SELECT n_name,
        nullif((SELECT count(*) FROM supplier WHERE s_nationkey = n_nationkey), 0) AS n_suppliers
 FROM nation""",
     "sql_step_window_topk": """
-SELECT o_custkey, o_orderkey, row_number() OVER (
-       PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS place
+SELECT o_custkey, o_orderkey, CAST(row_number() OVER (
+       PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS INTEGER) AS place
 FROM orders QUALIFY place <= 3""",
     "sql_step_setops": """
 SELECT 'union' AS op, k FROM (SELECT CAST(c_nationkey AS BIGINT) AS k FROM customer
@@ -160,7 +160,7 @@ SELECT l_orderkey, l_linenumber, 'NA;NA' AS by_id, 'NA' AS by_user FROM lineitem
 SELECT user_id AS key, max(event_type) AS label FROM events GROUP BY user_id""",
     "lookup_size": """
 SELECT 'priorities' AS name, count(DISTINCT o_orderpriority) AS counted,
-       count(DISTINCT o_orderpriority) AS reported
+       CAST(count(DISTINCT o_orderpriority) AS INTEGER) AS reported
 FROM orders""",
     "lookup_dedupe": """
 SELECT count(DISTINCT c_custkey) AS n_keys, 2 AS specs, 1 AS lookups FROM customer""",

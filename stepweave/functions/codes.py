@@ -1,62 +1,73 @@
 """SQL expressions that take a delimited cell apart into lookup keys.
 
-All of it stays in built-in functions.  ``value`` and ``delimiter`` are SQL text
-(a column, a parameter or a literal), so the same expressions serve the DataFrame
-operators and the SQL-callable functions.
+All of it stays in built-in functions, in two stages: ``split`` makes an array of a
+cell, and ``keys`` makes keys of that array.  The arguments are SQL text (a column, a
+parameter or a literal), so the same expressions serve the DataFrame operators and
+the SQL-callable functions.  The array is to be a column of its own: ``keys`` names
+it several times, and Spark then computes the split once.
 """
 
 from __future__ import annotations
 
 # Blank means nothing but characters up to U+0020; a numeric key
-# starts like a decimal, hexadecimal or special floating-point literal.
-BLANK = r"r'^[\x00-\x20]*$'"
-NUMERIC = r"r'^[\x00-\x20]*[+-]?(NaN|Infinity|[0-9.])'"
+# starts like a decimal, hexadecimal or special floating-point literal.  A short
+# run of digits is the common case and is the same as BIGINT and through DOUBLE.
+BLANK = r"RLIKE r'^[\x00-\x20]*$'"
+NUMERIC = r"RLIKE r'^[\x00-\x20]*[+-]?(NaN|Infinity|[0-9.])'"
+DIGITS = r"RLIKE r'^[0-9]{1,15}\z'"
 LONG_MIN = "-9223372036854775807L - 1L"
 LONG_MAX = "9223372036854775807L"
 
 
-def parts(value: str, delimiter: str) -> str:
-    """The parts of a cell, without a blank first and a blank last part.
+def _blank(text: str) -> str:
+    """Whether ``text`` is blank; its first character settles most cases."""
+    return f"(ascii({text}) <= 32 AND {text} {BLANK})"
 
-    The split is a regular expression and keeps trailing empty parts; a cell with
-    one part keeps it even when it is blank.  An empty delimiter splits characters
-    and leaves an empty part at the end.  A null delimiter is an error.
+
+def split(value: str, delimiter: str) -> str:
+    """The parts of a cell: split on a regular expression, trailing parts kept.
+
+    An empty delimiter splits characters and leaves an empty part at the end.  A
+    null delimiter is an error where there is a cell to split.
     """
     checked = f"coalesce({delimiter}, raise_error('Error: the split delimiter is null'))"
-    split = (
+    return (
         f"CASE WHEN {delimiter} = '' AND {value} <> '' "
-        f"THEN concat(split({value}, '', -1), array('')) ELSE split({value}, {checked}, -1) END"
+        f"THEN concat(split({value}, '', -1), array('')) "
+        f"WHEN {value} IS NOT NULL THEN split({value}, {checked}, -1) END"
     )
-    # No lambda inside a lambda: Spark 4.1 does not find Python functions over those.
-    leading = f"(p, i) -> i > 0 OR NOT p RLIKE {BLANK}"
+
+
+def codes(parts: str) -> str:
+    """The parts without a blank first and a blank last one; a lone part stays."""
+    first = f"CAST({_blank(f'{parts}[0]')} AS INT)"
+    last = f"CAST({_blank(f'element_at({parts}, -1)')} AS INT)"
     return (
-        f"CASE WHEN {value} RLIKE {BLANK} AND size({split}) = 1 THEN array({value}) "
-        f"WHEN {value} IS NOT NULL "
-        f"THEN reverse(filter(reverse(filter({split}, {leading})), {leading})) END"
+        f"CASE WHEN size({parts}) < 2 THEN {parts} "
+        f"ELSE slice({parts}, 1 + {first}, size({parts}) - {first} - {last}) END"
     )
 
 
-def id_keys(value: str, delimiter: str) -> str:
-    """The parts as BIGINT keys: read as a double, cut towards zero, saturating.
+def id_keys(parts: str) -> str:
+    """The codes as BIGINT keys: read as a double, cut towards zero, saturating.
 
-    What is no number becomes null, which matches no key.  The pattern keeps text
+    What is no number becomes null, which matches no key.  The patterns keep text
     away from the cast, where every failure would cost an exception.
     """
-    doubles = (
-        f"transform({parts(value, delimiter)}, "
-        f"p -> CASE WHEN p RLIKE {NUMERIC} THEN try_cast(p AS DOUBLE) END)"
-    )
+    double = "try_cast(p AS DOUBLE)"
     return (
-        f"transform({doubles}, d -> CASE WHEN isnan(d) THEN 0L "
-        f"WHEN d >= 9223372036854775808D THEN {LONG_MAX} "
-        f"WHEN d <= -9223372036854775808D THEN {LONG_MIN} "
-        "ELSE CAST(d AS BIGINT) END)"
+        f"transform({codes(parts)}, p -> "
+        f"CASE WHEN p {DIGITS} THEN CAST(p AS BIGINT) "
+        f"WHEN p {NUMERIC} THEN CASE WHEN isnan({double}) THEN 0L "
+        f"WHEN {double} >= 9223372036854775808D THEN {LONG_MAX} "
+        f"WHEN {double} <= -9223372036854775808D THEN {LONG_MIN} "
+        f"ELSE CAST({double} AS BIGINT) END END)"
     )
 
 
-def keys(kind: str, value: str, delimiter: str) -> str:
-    """The lookup keys of a cell: numbers for ``id``, exact text for ``user``."""
-    return id_keys(value, delimiter) if kind == "id" else parts(value, delimiter)
+def keys(kind: str, parts: str) -> str:
+    """The lookup keys of a split cell: numbers for ``id``, exact text for ``user``."""
+    return id_keys(parts) if kind == "id" else codes(parts)
 
 
 def joined(labels: str, separator: str, missing: str) -> str:

@@ -101,25 +101,33 @@ def lookup_from(
 
 def _index_udf(spark: SparkSession, lookup: Lookup):
     """Keys to one string of labels, from a broadcast index; whole Arrow batches."""
-    table = lookup.frame.toArrow()
+    table = lookup.frame.orderBy("key").toArrow()
     lookup.frame.unpersist()
-    keys = table.column("key").to_pandas().to_numpy()
-    labels = table.column("label").combine_chunks()
+    keys, labels = (table.column(name).combine_chunks() for name in ("key", "label"))
     shared = spark.sparkContext.broadcast({"keys": keys, "labels": labels})
 
+    def positions(index: dict, wanted: pa.Array) -> pa.Array:
+        """Where each wanted key is in the index; null where it is not."""
+        import numpy as np
+
+        if pa.types.is_integer(wanted.type):  # the index is sorted
+            keys = index["keys"].to_numpy()
+            asked = wanted.fill_null(0).to_numpy()
+            at = np.searchsorted(keys, asked)
+            hit = at < len(keys)
+            hit[hit] = keys[at[hit]] == asked[hit]
+            return pa.array(at, mask=~(hit & wanted.is_valid().to_numpy(zero_copy_only=False)))
+        if "places" not in index:  # once per worker process
+            index["places"] = {key: i for i, key in enumerate(index["keys"].to_pylist())}
+        coded = wanted.dictionary_encode()
+        found = [index["places"].get(key) for key in coded.dictionary.to_pylist()]
+        return pa.array(found, pa.int64()).take(coded.indices)
+
     def decode(cells: pa.Array, separator: pa.Array, missing: pa.Array) -> pa.Array:
-        import pandas as pd
         import pyarrow.compute as pc
 
-        held = shared.value
-        if "index" not in held:  # once per worker process
-            held["index"] = pd.Index(held["keys"])
-        wanted = cells.flatten()
-        known = wanted.is_valid().to_numpy(zero_copy_only=False)
-        filled = wanted.fill_null(0 if pa.types.is_integer(wanted.type) else "")
-        found = held["index"].get_indexer(filled.to_numpy(zero_copy_only=False))
-        hit = known & (found >= 0)
-        label = held["labels"].take(pa.array(found, mask=~hit))
+        index = shared.value
+        label = index["labels"].take(positions(index, cells.flatten()))
         label = pc.coalesce(label, missing.take(pc.list_parent_indices(cells)), "null")
         lengths = pc.fill_null(pc.list_value_length(cells), 0)
         ends = pc.cumulative_sum(lengths.cast(pa.int32()))
@@ -165,23 +173,29 @@ def _of_kind(lookup: Lookup, kind: str) -> Lookup:
     return Lookup(lookup.name, kind, none, 0, 0, True)
 
 
+def _split(cell: str, delimiter: str):
+    return F.expr(codes.split(quoted(cell), literal(delimiter)))
+
+
 def _decode_indexed(df, cell, lookup, split, separator, missing, output):
     labels = _index_udf(df.sparkSession, lookup)
-    keys = F.expr(codes.keys(lookup.kind, quoted(cell), literal(split)))
-    text = F.lit(missing).cast("string")
-    return df.withColumn(output, labels(keys, F.lit(separator), text))
+    keys = F.expr(codes.keys(lookup.kind, "__parts"))
+    text = labels(keys, F.lit(separator), F.lit(missing).cast("string"))
+    split_cells = df.withColumn("__parts", _split(cell, split))
+    return split_cells.select(*(F.col(quoted(c)) for c in df.columns), text.alias(output))
 
 
 def _decode_joined(df, cell, lookup, split, separator, missing, output):
     value = F.col(quoted(cell))
     cells = df.where(value.isNotNull()).groupBy(value.alias("cell")).agg(F.count("*").alias("n"))
     miss = F.coalesce(F.lit(missing).cast("string"), F.lit("null"))
-    keys = F.expr(codes.keys(lookup.kind, "cell", literal(split)))
+    keys = F.expr(codes.keys(lookup.kind, "parts"))
 
     def decoded(some: DataFrame) -> DataFrame:
         # A cell without parts comes through with a null position and joins to ''.
         return (
-            some.select("cell", F.posexplode_outer(keys).alias("position", "key"))
+            some.select("cell", _split("cell", split).alias("parts"))
+            .select("cell", F.posexplode_outer(keys).alias("position", "key"))
             .join(lookup.frame, "key", "left")
             .withColumn("label", F.when(F.col("position").isNotNull(), F.coalesce("label", miss)))
             .groupBy("cell")
@@ -194,19 +208,14 @@ def _decode_joined(df, cell, lookup, split, separator, missing, output):
     is_hot = F.col("n") * HOT_SHARE > cells.agg(F.sum("n")).scalar()
     hot = decoded(cells.where(is_hot)).toDF("__hot", "__hot_text")
     marked = df.join(F.broadcast(hot), value == F.col("__hot"), "left")
+    # Rows that are settled must not meet under one key either.  Should a spread key
+    # equal some cell, that changes nothing: their text does not come from this join.
     settled = F.col("__hot").isNotNull() | value.isNull()
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("int")
-    keyed = marked.withColumns(
-        {
-            "__cell": F.when(~settled, value),
-            "__spread": F.when(settled, spread).otherwise(0),
-        }
-    )
-    rest = decoded(cells.where(~is_hot)).select(
-        F.col("cell").alias("__cell"), F.lit(0).alias("__spread"), F.col("text").alias("__text")
-    )
-    joined = keyed.join(rest, ["__cell", "__spread"], "left")
-    text = F.coalesce("__hot_text", "__text")
+    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string")
+    keyed = marked.withColumn("__cell", F.when(settled, spread).otherwise(value))
+    rest = decoded(cells.where(~is_hot)).toDF("__cell", "__text")
+    joined = keyed.join(rest, "__cell", "left")
+    text = F.when(value.isNotNull(), F.coalesce("__hot_text", "__text"))
     return joined.select(*(F.col(quoted(c)) for c in df.columns), text.alias(output))
 
 
@@ -224,60 +233,63 @@ def register_sql_functions(spark: SparkSession, lookups: Iterable[Lookup]) -> No
         return
     for number, lookup in enumerate(by_name.values()):
         _register_labels(spark, lookup, number)
+    _define(
+        spark,
+        "stepweave_unknown(parts ARRAY<STRING>, name STRING)",
+        "STRING",
+        f"CASE WHEN size({codes.codes('parts')}) = 0 THEN '' "
+        "ELSE raise_error(concat('Error: no lookup named ', name)) END",
+    )
     for kind, function in SQL_NAMES.items():
-        keys = codes.keys(kind, f"{function}.lookupCode", f"{function}.splitDelimiter")
-        branches = []
-        for number, lookup in enumerate(by_name.values()):
-            if lookup.kind != kind:  # no key can match
-                labels = codes.joined(
-                    f"transform({keys}, k -> CAST(NULL AS STRING))",
-                    "outputDelimiter",
-                    "descriptionForNotMatch",
-                )
-            else:
-                labels = f"{_labels_name(number)}({keys}, outputDelimiter, descriptionForNotMatch)"
-            branches.append(f"WHEN {literal(lookup.name)} THEN {labels}")
-        unknown = (
-            f"CASE WHEN size({keys}) = 0 THEN '' "
-            "ELSE raise_error(concat('Error: no lookup named ', lookupTableName)) END"
+        parts = codes.split(f"{function}.lookupCode", f"{function}.splitDelimiter")
+        branches = " ".join(
+            f"WHEN {literal(lookup.name)} THEN {_labels_name(number, kind)}"
+            f"({parts}, outputDelimiter, descriptionForNotMatch)"
+            for number, lookup in enumerate(by_name.values())
         )
+        unknown = f"stepweave_unknown({parts}, lookupTableName)"
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {function}("
             "lookupTableName STRING, lookupCode STRING, splitDelimiter STRING, "
             "outputDelimiter STRING, descriptionForNotMatch STRING) RETURNS STRING RETURN "
             f"CASE WHEN {function}.lookupCode IS NOT NULL THEN "
-            f"CASE lookupTableName {' '.join(branches)} ELSE {unknown} END END"
+            f"CASE lookupTableName {branches} ELSE {unknown} END END"
         )
 
 
-def _labels_name(number: int) -> str:
-    return f"stepweave_labels_{number}"
+def _labels_name(number: int, kind: str) -> str:
+    return f"stepweave_labels_{number}_{kind}"
+
+
+def _define(spark: SparkSession, signature: str, returns: str, body: str) -> None:
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {returns} RETURN {body}")
 
 
 def _register_labels(spark: SparkSession, lookup: Lookup, number: int) -> None:
-    """The function from (keys, separator, missing) to text, for one lookup."""
-    name = _labels_name(number)
-    if lookup.broadcast:
-        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
-        spark.udf.register(name, _index_udf(spark, lookup))
-        return
-    view = f"stepweave_lookup_{number}"
-    register_view(lookup.frame, view)
-    array = f"ARRAY<{KEY_TYPES[lookup.kind]}>"
-    spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {name}")
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}_found(codes {array}) RETURNS ARRAY<STRING> "
-        "RETURN (SELECT sort_array(collect_list(struct(p.position, l.label))).label "
-        f"FROM LATERAL posexplode({name}_found.codes) p(position, code) "
-        f"LEFT JOIN {view} l ON l.key = p.code)"
-    )
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}_text"
-        "(found ARRAY<STRING>, separator STRING, missing STRING) RETURNS STRING "
-        f"RETURN {codes.joined('found', 'separator', 'missing')}"
-    )
-    spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}"
-        f"(codes {array}, separator STRING, missing STRING) RETURNS STRING "
-        f"RETURN {name}_text({name}_found({name}.codes), separator, missing)"
-    )
+    """For one lookup, the functions from (parts, separator, missing) to text."""
+    arguments = "parts ARRAY<STRING>, separator STRING, missing STRING"
+    for kind in SQL_NAMES:
+        name = _labels_name(number, kind)
+        keys = codes.keys(kind, f"{name}.parts")
+        if kind != lookup.kind:  # no key can match
+            nothing = f"transform({keys}, k -> CAST(NULL AS STRING))"
+            body = codes.joined(nothing, "separator", "missing")
+        elif lookup.broadcast:
+            spark.udf.register(f"{name}_udf", _index_udf(spark, lookup))
+            body = f"{name}_udf({keys}, separator, missing)"
+        else:
+            view = f"stepweave_lookup_{number}"
+            register_view(lookup.frame, view)
+            _define(
+                spark,
+                f"{name}_found(codes ARRAY<{KEY_TYPES[kind]}>)",
+                "ARRAY<STRING>",
+                "(SELECT sort_array(collect_list(struct(p.position, l.label))).label "
+                f"FROM LATERAL posexplode({name}_found.codes) p(position, code) "
+                f"LEFT JOIN {view} l ON l.key = p.code)",
+            )
+            text = codes.joined("found", "separator", "missing")
+            signature = f"{name}_text(found ARRAY<STRING>, separator STRING, missing STRING)"
+            _define(spark, signature, "STRING", text)
+            body = f"{name}_text({name}_found({keys}), separator, missing)"
+        _define(spark, f"{name}({arguments})", "STRING", body)
