@@ -356,14 +356,14 @@ def json_nodes_query(spark, sf_dir):
 # Lookups
 
 
-def supplier_lookup(spark, sf_dir, limit=L.BROADCAST_BYTES):
+def supplier_lookup(spark, sf_dir, limit=None):
     spec = LookupSpec(
         "suppliers", "id", f"{sf_dir}/supplier.parquet", "SELECT s_suppkey, s_name FROM suppliers"
     )
     return L.build_lookup(spark, spec, limit)
 
 
-def priority_lookup(spark, sf_dir, limit=L.BROADCAST_BYTES):
+def priority_lookup(spark, sf_dir, limit=None):
     spec = LookupSpec(
         "priorities",
         "User",
@@ -438,7 +438,7 @@ def by_sql(spark, sf_dir, limit):
 
 @query
 def lookup_sql_functions(spark, sf_dir):
-    return by_sql(spark, sf_dir, L.BROADCAST_BYTES)
+    return by_sql(spark, sf_dir, None)
 
 
 @query

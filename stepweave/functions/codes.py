@@ -1,10 +1,10 @@
 """SQL expressions that take a delimited cell apart into lookup keys.
 
-All of it stays in built-in functions, in two stages: ``split`` makes an array of a
-cell, and ``keys`` makes keys of that array.  The arguments are SQL text (a column, a
-parameter or a literal), so the same expressions serve the DataFrame operators and
-the SQL-callable functions.  The array is to be a column of its own: ``keys`` names
-it several times, and Spark then computes the split once.
+All of it stays in built-in functions, in three stages: ``parts`` splits a cell,
+``codes`` drops blank ends, and ``keys`` reads the codes as keys.  The arguments are
+SQL text (a column, a parameter or a literal), so the same expressions serve the
+DataFrame operators and the SQL-callable functions.  Each stage is to be a column of
+its own: the next one names it several times, and Spark then computes it once.
 """
 
 from __future__ import annotations
@@ -14,17 +14,17 @@ from __future__ import annotations
 # run of digits is the common case and is the same as BIGINT and through DOUBLE.
 BLANK = r"RLIKE r'^[\x00-\x20]*$'"
 NUMERIC = r"RLIKE r'^[\x00-\x20]*[+-]?(NaN|Infinity|[0-9.])'"
-DIGITS = r"RLIKE r'^[0-9]{1,15}\z'"
+DIGITS = r"RLIKE r'^[0-9]{1,15}(,[0-9]{1,15})*\z'"
 LONG_MIN = "-9223372036854775807L - 1L"
 LONG_MAX = "9223372036854775807L"
 
 
 def _blank(text: str) -> str:
-    """Whether ``text`` is blank; its first character settles most cases."""
-    return f"(ascii({text}) <= 32 AND {text} {BLANK})"
+    """Whether ``text`` is blank; the cheap tests settle most cases."""
+    return f"({text} = '' OR (ascii({text}) <= 32 AND {text} {BLANK}))"
 
 
-def split(value: str, delimiter: str) -> str:
+def parts(value: str, delimiter: str) -> str:
     """The parts of a cell: split on a regular expression, trailing parts kept.
 
     An empty delimiter splits characters and leaves an empty part at the end.  A
@@ -48,26 +48,29 @@ def codes(parts: str) -> str:
     )
 
 
-def id_keys(parts: str) -> str:
+def id_keys(codes: str) -> str:
     """The codes as BIGINT keys: read as a double, cut towards zero, saturating.
 
-    What is no number becomes null, which matches no key.  The patterns keep text
-    away from the cast, where every failure would cost an exception.
+    A cell of short runs of digits is cast as a whole, unless a code has the joining
+    comma inside.  Otherwise what is no number becomes null, which matches no key;
+    the pattern keeps text away from the cast, where every failure would cost an
+    exception.
     """
     double = "try_cast(p AS DOUBLE)"
     return (
-        f"transform({codes(parts)}, p -> "
-        f"CASE WHEN p {DIGITS} THEN CAST(p AS BIGINT) "
-        f"WHEN p {NUMERIC} THEN CASE WHEN isnan({double}) THEN 0L "
+        f"coalesce(CASE WHEN array_join({codes}, ',') {DIGITS} "
+        f"THEN try_cast({codes} AS ARRAY<BIGINT>) END, "
+        f"transform({codes}, p -> CASE WHEN p {NUMERIC} THEN "
+        f"CASE WHEN isnan({double}) THEN 0L "
         f"WHEN {double} >= 9223372036854775808D THEN {LONG_MAX} "
         f"WHEN {double} <= -9223372036854775808D THEN {LONG_MIN} "
-        f"ELSE CAST({double} AS BIGINT) END END)"
+        f"ELSE CAST({double} AS BIGINT) END END))"
     )
 
 
-def keys(kind: str, parts: str) -> str:
-    """The lookup keys of a split cell: numbers for ``id``, exact text for ``user``."""
-    return id_keys(parts) if kind == "id" else codes(parts)
+def keys(kind: str, codes: str) -> str:
+    """The lookup keys of the codes: numbers for ``id``, exact text for ``user``."""
+    return id_keys(codes) if kind == "id" else codes
 
 
 def joined(labels: str, separator: str, missing: str) -> str:

@@ -19,16 +19,23 @@ def json_attr(column: Column | str, path: str, null_text: str = NULL_TEXT) -> Co
     return F.coalesce(F.get_json_object(source, _path(path)), F.lit(null_text))
 
 
-def json_node_array(column: Column | str, path: str) -> Column:
-    """The nodes at ``path`` as an array of JSON object texts.
+def json_nodes(df: DataFrame, column: str, path: str, output: str = "node") -> DataFrame:
+    """One row per node at ``path``, the node as JSON object text in ``output``.
 
     An array gives its elements, bare values wrapped as ``{"value": x}``; a lone
-    object gives itself; nothing or blank text gives an empty array; any other bare
-    value is an error.
+    object gives itself; nothing or blank text gives no row; any other bare value is
+    an error.
     """
-    source = F.col(column) if isinstance(column, str) else column
-    found = F.try_variant_get(F.try_parse_json(source), _path(path), "variant")
-    kind = F.schema_of_variant(found)
+    parsed = F.try_variant_get(F.try_parse_json(F.col(column)), _path(path), "variant")
+    # Columns of their own, so that each is computed once.
+    found = df.withColumn("__found", parsed)
+    found = found.withColumn("__kind", F.schema_of_variant("__found"))
+    return found.withColumn(output, F.explode(_objects(F.col("__found"), F.col("__kind")))).drop(
+        "__found", "__kind"
+    )
+
+
+def _objects(found: Column, kind: Column) -> Column:
     blank = (kind == "STRING") & (F.trim(found.cast("string")) == "")
     return (
         F.when(found.isNull() | (kind == "VOID") | blank, F.array().cast("array<string>"))
@@ -42,8 +49,3 @@ def _as_object(element: Column) -> Column:
     text = F.coalesce(F.to_json(element), F.lit("null"))
     wrapped = F.concat(F.lit('{"value":'), text, F.lit("}"))
     return F.when(F.schema_of_variant(element).startswith("OBJECT"), text).otherwise(wrapped)
-
-
-def json_nodes(df: DataFrame, column: str, path: str, output: str = "node") -> DataFrame:
-    """One row per node at ``path``, the node as JSON text in ``output``."""
-    return df.withColumn(output, F.explode(json_node_array(column, path)))

@@ -31,6 +31,7 @@ SQL_NAMES = {"id": "lookupValueByIdList", "user": "lookupValueByUserList"}
 
 # A lookup is broadcast up to this many bytes, counting each row's index entry.
 BROADCAST_BYTES = 128 * 1024 * 1024
+BROADCAST_SETTING = "spark.stepweave.lookup.broadcastBytes"
 INDEX_ENTRY_BYTES = 64
 # Cells that hold more than one in this many rows are hot; so there are fewer of them.
 HOT_SHARE = 1000
@@ -55,7 +56,7 @@ class Lookup:
 
 
 def build_lookup(
-    spark: SparkSession, spec: LookupSpec, broadcast_bytes: int = BROADCAST_BYTES
+    spark: SparkSession, spec: LookupSpec, broadcast_bytes: int | None = None
 ) -> Lookup | None:
     """Read a lookup, expose it as a view and run its SQL; other kinds build nothing.
 
@@ -67,9 +68,15 @@ def build_lookup(
 
 
 def lookup_from(
-    df: DataFrame, name: str, kind: str, broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame, name: str, kind: str, broadcast_bytes: int | None = None
 ) -> Lookup | None:
-    """The lookup that the first two columns of ``df`` describe."""
+    """The lookup that the first two columns of ``df`` describe.
+
+    It is broadcast up to ``broadcast_bytes``, or else the session's setting.
+    """
+    if broadcast_bytes is None:
+        setting = df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES))
+        broadcast_bytes = int(setting)
     if kind.lower() not in KEY_TYPES:
         return None
     kind = kind.lower()
@@ -101,7 +108,7 @@ def lookup_from(
 
 def _index_udf(spark: SparkSession, lookup: Lookup):
     """Keys to one string of labels, from a broadcast index; whole Arrow batches."""
-    table = lookup.frame.orderBy("key").toArrow()
+    table = lookup.frame.toArrow().sort_by("key")
     lookup.frame.unpersist()
     keys, labels = (table.column(name).combine_chunks() for name in ("key", "label"))
     shared = spark.sparkContext.broadcast({"keys": keys, "labels": labels})
@@ -173,28 +180,30 @@ def _of_kind(lookup: Lookup, kind: str) -> Lookup:
     return Lookup(lookup.name, kind, none, 0, 0, True)
 
 
-def _split(cell: str, delimiter: str):
-    return F.expr(codes.split(quoted(cell), literal(delimiter)))
+def _with_codes(df: DataFrame, cell: str, delimiter: str) -> DataFrame:
+    """``df`` and the cell's codes as an array column ``__codes``."""
+    split = df.withColumn("__parts", F.expr(codes.parts(quoted(cell), literal(delimiter))))
+    return split.withColumn("__codes", F.expr(codes.codes("__parts"))).drop("__parts")
 
 
 def _decode_indexed(df, cell, lookup, split, separator, missing, output):
     labels = _index_udf(df.sparkSession, lookup)
-    keys = F.expr(codes.keys(lookup.kind, "__parts"))
+    keys = F.expr(codes.keys(lookup.kind, "__codes"))
     text = labels(keys, F.lit(separator), F.lit(missing).cast("string"))
-    split_cells = df.withColumn("__parts", _split(cell, split))
-    return split_cells.select(*(F.col(quoted(c)) for c in df.columns), text.alias(output))
+    columns = (F.col(quoted(c)) for c in df.columns)
+    return _with_codes(df, cell, split).select(*columns, text.alias(output))
 
 
 def _decode_joined(df, cell, lookup, split, separator, missing, output):
     value = F.col(quoted(cell))
     cells = df.where(value.isNotNull()).groupBy(value.alias("cell")).agg(F.count("*").alias("n"))
     miss = F.coalesce(F.lit(missing).cast("string"), F.lit("null"))
-    keys = F.expr(codes.keys(lookup.kind, "parts"))
+    keys = F.expr(codes.keys(lookup.kind, "__codes"))
 
     def decoded(some: DataFrame) -> DataFrame:
         # A cell without parts comes through with a null position and joins to ''.
         return (
-            some.select("cell", _split("cell", split).alias("parts"))
+            _with_codes(some, "cell", split)
             .select("cell", F.posexplode_outer(keys).alias("position", "key"))
             .join(lookup.frame, "key", "left")
             .withColumn("label", F.when(F.col("position").isNotNull(), F.coalesce("label", miss)))
@@ -241,7 +250,7 @@ def register_sql_functions(spark: SparkSession, lookups: Iterable[Lookup]) -> No
         "ELSE raise_error(concat('Error: no lookup named ', name)) END",
     )
     for kind, function in SQL_NAMES.items():
-        parts = codes.split(f"{function}.lookupCode", f"{function}.splitDelimiter")
+        parts = codes.parts(f"{function}.lookupCode", f"{function}.splitDelimiter")
         branches = " ".join(
             f"WHEN {literal(lookup.name)} THEN {_labels_name(number, kind)}"
             f"({parts}, outputDelimiter, descriptionForNotMatch)"
@@ -266,14 +275,17 @@ def _define(spark: SparkSession, signature: str, returns: str, body: str) -> Non
 
 
 def _register_labels(spark: SparkSession, lookup: Lookup, number: int) -> None:
-    """For one lookup, the functions from (parts, separator, missing) to text."""
-    arguments = "parts ARRAY<STRING>, separator STRING, missing STRING"
+    """For one lookup, the functions from (parts, separator, missing) to text.
+
+    Each stage is a function of its own, so that its argument is computed once.
+    """
+    options = "separator STRING, missing STRING"
     for kind in SQL_NAMES:
         name = _labels_name(number, kind)
-        keys = codes.keys(kind, f"{name}.parts")
+        cells = f"{name}_codes.cells"
+        keys = codes.keys(kind, cells)
         if kind != lookup.kind:  # no key can match
-            nothing = f"transform({keys}, k -> CAST(NULL AS STRING))"
-            body = codes.joined(nothing, "separator", "missing")
+            body = codes.joined(f"array_repeat(missing, size({cells}))", "separator", "missing")
         elif lookup.broadcast:
             spark.udf.register(f"{name}_udf", _index_udf(spark, lookup))
             body = f"{name}_udf({keys}, separator, missing)"
@@ -282,14 +294,15 @@ def _register_labels(spark: SparkSession, lookup: Lookup, number: int) -> None:
             register_view(lookup.frame, view)
             _define(
                 spark,
-                f"{name}_found(codes ARRAY<{KEY_TYPES[kind]}>)",
+                f"{name}_found(keys ARRAY<{KEY_TYPES[kind]}>)",
                 "ARRAY<STRING>",
                 "(SELECT sort_array(collect_list(struct(p.position, l.label))).label "
-                f"FROM LATERAL posexplode({name}_found.codes) p(position, code) "
+                f"FROM LATERAL posexplode({name}_found.keys) p(position, code) "
                 f"LEFT JOIN {view} l ON l.key = p.code)",
             )
             text = codes.joined("found", "separator", "missing")
-            signature = f"{name}_text(found ARRAY<STRING>, separator STRING, missing STRING)"
-            _define(spark, signature, "STRING", text)
+            _define(spark, f"{name}_text(found ARRAY<STRING>, {options})", "STRING", text)
             body = f"{name}_text({name}_found({keys}), separator, missing)"
-        _define(spark, f"{name}({arguments})", "STRING", body)
+        _define(spark, f"{name}_codes(cells ARRAY<STRING>, {options})", "STRING", body)
+        body = f"{name}_codes({codes.codes(f'{name}.parts')}, separator, missing)"
+        _define(spark, f"{name}(parts ARRAY<STRING>, {options})", "STRING", body)

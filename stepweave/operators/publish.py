@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepweave.config import WRITE_FILES_DEFAULT
-from stepweave.session import delete_folder, matching_folders, quoted
+from stepweave.session import delete_folder, matching_folders, quoted, uncoalesced
 
 # The effective-time key, and how a null partition value is written.
 EFFECTIVE_KEY = "business_effective_timestamp"
@@ -38,13 +38,20 @@ def _checked(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     return df.withColumn(EFFECTIVE_KEY, F.coalesce(EFFECTIVE_KEY, missing))
 
 
-def _laid_out(df: DataFrame, partition_columns: Sequence[str], files: int) -> DataFrame:
-    """Rows of a partition brought together before the write.
+def _write(
+    df: DataFrame, path: str, mode: str, partition_columns: Sequence[str], files: int
+) -> None:
+    """Write with the rows of a partition brought together.
 
-    ``files`` is the number of write tasks to start from.  Adaptive execution splits
-    a task above the advisory size, so one hot key is written by many tasks.
+    ``files`` is the number of write tasks.  Adaptive execution splits a task above
+    the advisory size, so one hot key is written by many tasks.
     """
-    return df.hint("rebalance", files, *(F.col(quoted(c)) for c in partition_columns))
+    columns = [F.col(quoted(c)) for c in partition_columns]
+    writer = df.hint("rebalance", files, *columns).write.mode(mode)
+    if partition_columns:
+        writer = writer.partitionBy(*partition_columns)
+    with uncoalesced(df.sparkSession):
+        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def write_append(
@@ -54,10 +61,7 @@ def write_append(
     files: int = WRITE_FILES_DEFAULT,
 ) -> None:
     """Append ``df`` to the dataset at ``path``."""
-    writer = _laid_out(df, partition_columns, files).write.mode("append")
-    if partition_columns:
-        writer = writer.partitionBy(*partition_columns)
-    writer.parquet(path)
+    _write(df, path, "append", partition_columns, files)
 
 
 def replace_by_key(
@@ -84,13 +88,7 @@ def replace_by_key(
     written = Observation()
     values = F.array(*map(_folder_value, partition_columns))
     observed = df.observe(written, F.collect_set(values).alias("partitions"))
-    (
-        _laid_out(observed, partition_columns, files)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_columns)
-        .parquet(path)
-    )
+    _write(observed, path, "overwrite", partition_columns, files)
     if len(partition_columns) > 1:
         _delete_stale(df, path, partition_columns, _partitions(written, df))
 

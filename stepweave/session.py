@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
+
 
 @functools.cache
 def _local_folder() -> str:
@@ -33,6 +36,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/stepweave/{name}-{uuid.uuid4().hex}"
 
 
+@contextlib.contextmanager
+def uncoalesced(spark: SparkSession):
+    """Keep the number of shuffle partitions asked for; large ones are still split."""
+    before = spark.conf.get(COALESCE)
+    spark.conf.set(COALESCE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(COALESCE, before)
+
+
 def quoted(name: str) -> str:
     """A column name as a SQL identifier."""
     return "`" + name.replace("`", "``") + "`"

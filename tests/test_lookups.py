@@ -29,6 +29,7 @@ ID_CASES = [
     ("1,9", ",", None, "A;null"),
     ("1|2", "|", "NA", "A;NA;B"),
     ("1|2", "\\|", "NA", "A;B"),
+    ("1,2|2|1,", "\\|", "NA", "NA;B;NA"),
     ("1 - 2", "\\s*-\\s*", "NA", "A;B"),
     ("12", "", "NA", "A;B"),
     ("1", "", "NA", "A"),
