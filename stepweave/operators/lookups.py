@@ -34,7 +34,7 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 BROADCAST_SETTING = "spark.stepweave.lookup.broadcastBytes"
 INDEX_ENTRY_BYTES = 64
 # Cells that hold more than one in this many rows are hot; so there are fewer of them.
-HOT_SHARE = 1000
+HOT_SHARE = 20_000
 # Rows that need no join (null and hot cells) are spread over this many keys.
 SPREAD = 4096
 

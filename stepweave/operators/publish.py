@@ -38,20 +38,26 @@ def _checked(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     return df.withColumn(EFFECTIVE_KEY, F.coalesce(EFFECTIVE_KEY, missing))
 
 
-def _write(
-    df: DataFrame, path: str, mode: str, partition_columns: Sequence[str], files: int
-) -> None:
-    """Write with the rows of a partition brought together.
+def _laid_out(df: DataFrame, partition_columns: Sequence[str], files: int) -> DataFrame:
+    """Rows of a partition brought together, so that it gets few and large files.
 
-    ``files`` is the number of write tasks.  Adaptive execution splits a task above
-    the advisory size, so one hot key is written by many tasks.
+    There are at least ``files`` write tasks.  With partition columns there are as
+    many as the session shuffles to, or a task would hold, and split, many
+    partitions.  Adaptive execution splits a task above the advisory size, so one
+    hot key is written by many tasks.
     """
     columns = [F.col(quoted(c)) for c in partition_columns]
-    writer = df.hint("rebalance", files, *columns).write.mode(mode)
+    if columns:
+        files = max(files, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.hint("rebalance", files, *columns)
+
+
+def _write(df: DataFrame, path: str, mode: str, partition_columns: Sequence[str]) -> None:
+    writer = df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_columns:
         writer = writer.partitionBy(*partition_columns)
     with uncoalesced(df.sparkSession):
-        writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+        writer.parquet(path)
 
 
 def write_append(
@@ -61,7 +67,7 @@ def write_append(
     files: int = WRITE_FILES_DEFAULT,
 ) -> None:
     """Append ``df`` to the dataset at ``path``."""
-    _write(df, path, "append", partition_columns, files)
+    _write(_laid_out(df, partition_columns, files), path, "append", partition_columns)
 
 
 def replace_by_key(
@@ -84,13 +90,16 @@ def replace_by_key(
     if EFFECTIVE_KEY not in partition_columns:
         write_append(df, path, partition_columns, files)
         return
-    # Only folder names are gathered: at most one row per written partition.
+    laid_out = _laid_out(df, partition_columns, files)
+    if len(partition_columns) == 1:
+        _write(laid_out, path, "overwrite", partition_columns)
+        return
+    # The write tasks report the partitions they hold: a row each, and few per task.
     written = Observation()
     values = F.array(*map(_folder_value, partition_columns))
-    observed = df.observe(written, F.collect_set(values).alias("partitions"))
-    _write(observed, path, "overwrite", partition_columns, files)
-    if len(partition_columns) > 1:
-        _delete_stale(df, path, partition_columns, _partitions(written, df))
+    observed = laid_out.observe(written, F.collect_set(values).alias("partitions"))
+    _write(observed, path, "overwrite", partition_columns)
+    _delete_stale(df, path, partition_columns, _partitions(written, df))
 
 
 def _folder_value(column: str) -> Column:

@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from stepweave.config import LookupSpec
 from stepweave.operators import lookups as L
@@ -114,12 +115,34 @@ def test_empty_lookup(spark, form):
     assert _decode(spark, "id", form, ["1,2", "", None], ",", "NA", lookup) == ["NA;NA", "NA", None]
 
 
-def test_hot_cells_and_repeats(spark):
-    """A cell with most rows, null rows and rare cells give what the indexed form gives."""
-    cells = ["1,2"] * 500 + [None] * 300 + [f"{i},2" for i in range(1200)]
+@pytest.mark.parametrize("share", [1, 10, L.HOT_SHARE])
+def test_hot_cells_and_repeats(spark, monkeypatch, share):
+    """A cell with most rows, null rows and rare cells give what the indexed form gives,
+    with no, some and all cells taken for hot."""
+    monkeypatch.setattr(L, "HOT_SHARE", share)
+    cells = ["1,2"] * 500 + [None] * 300 + [f"{i},2" for i in range(1200)] + [str(i) for i in range(5000)]
     joined = _decode(spark, "id", "joined", cells, ",", "NA")
     assert joined == _decode(spark, "id", "indexed", cells, ",", "NA")
-    assert len(joined) == 2000
+    assert len(joined) == len(cells)
+
+
+def test_rows_without_a_join_do_not_meet_in_one_partition(spark):
+    """Null and hot cells are spread over the partitions of the join."""
+    rows = [("1,2",)] * 3000 + [(None,)] * 3000 + [(f"{i}",) for i in range(3000)]
+    df = spark.createDataFrame(rows, "cell string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        out = L.lookup_by_id(df, "cell", _lookup(spark, "id", "joined"), ",", ";", "NA")
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 1 and max(r["count"] for r in sizes) < 2 * len(rows) / len(sizes)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
 
 
 def test_null_delimiter_is_an_error(spark):
