@@ -32,7 +32,7 @@ SQL_NAMES = {"id": "lookupValueByIdList", "user": "lookupValueByUserList"}
 # A lookup is broadcast up to this many bytes, counting each row's index entry.
 BROADCAST_BYTES = 128 * 1024 * 1024
 BROADCAST_SETTING = "spark.stepweave.lookup.broadcastBytes"
-INDEX_ENTRY_BYTES = 64
+INDEX_ENTRY_BYTES = 200
 # Cells that hold more than one in this many rows are hot; so there are fewer of them.
 HOT_SHARE = 20_000
 # Rows that need no join (null and hot cells) are spread over this many keys.

@@ -11,6 +11,11 @@ from stepweave.operators.catalog import refresh_table
 from stepweave.operators.columns import cast_id_columns, derive_columns
 from stepweave.operators.joblog import JobLog
 from stepweave.operators.publish import replace_by_key
+from stepweave.sources.parquet import register_view
+
+
+# The views of a step's stages, before the table's name with ``_`` for ``.``.
+SQL_VIEW, CAST_VIEW, OUTPUT_VIEW = "dfSource0__", "dfSource__", "dfSource__DerivedColumns__"
 
 
 def sql_step(spark: SparkSession, step: Step) -> DataFrame:
@@ -18,9 +23,17 @@ def sql_step(spark: SparkSession, step: Step) -> DataFrame:
     return spark.sql(step.sql)
 
 
-def step_output(spark: SparkSession, step: Step, parameters: Mapping[str, str]) -> DataFrame:
-    """What a step publishes; nothing runs yet."""
-    return derive_columns(cast_id_columns(sql_step(spark, step)), step.pre, step.post, parameters)
+def step_output(
+    spark: SparkSession, step: Step, parameters: Mapping[str, str], table: str | None = None
+) -> DataFrame:
+    """What a step publishes; nothing runs yet.
+
+    Each stage is also a view that later SQL may read.
+    """
+    name = (table or step.table).replace(".", "_")
+    source = register_view(sql_step(spark, step), SQL_VIEW + name)
+    cast = register_view(cast_id_columns(source), CAST_VIEW + name)
+    return register_view(derive_columns(cast, step.pre, step.post, parameters), OUTPUT_VIEW + name)
 
 
 class StepFailed(RuntimeError):
@@ -37,7 +50,7 @@ def run_step(spark: SparkSession, job: Job, step: Step, log: JobLog) -> str:
     stage = "Generate output"
     try:
         log.info(stage, f'For table "{table}", start generating the output.')
-        output = step_output(spark, step, job.parameters)
+        output = step_output(spark, step, job.parameters, table)
         stage = "Replace by key and write"
         log.info(stage, f'For table "{table}", start writing to {path}.')
         replace_by_key(output, path, step.partition_columns, step.write_files)

@@ -2,6 +2,7 @@ import json
 
 import pytest
 
+from stepweave.__main__ import main
 from stepweave.config import ConfigError, parse_job, write_files
 from stepweave.operators.joblog import JobLog, refresh_log_table
 from stepweave.operators.publish import EFFECTIVE_KEY as KEY
@@ -182,6 +183,35 @@ def test_a_whole_job(spark, tmp_path, sf_dir):
     assert log.where("level <> 'INFO'").isEmpty()
 
 
+def test_later_steps_may_read_earlier_stages(spark, tmp_path):
+    first, second = "a_" + tmp_path.name, "b_" + tmp_path.name
+    config = _config(
+        tmp_path,
+        _step(
+            first,
+            f"SELECT 1.5D AS x_id, 1L AS {KEY}",
+            preDerivedColumnList=[{"colExpression": "x_id + 1", "colAlias": "y"}],
+        ),
+        _step(
+            second,
+            f"SELECT s.x_id AS raw, c.x_id AS x_id, o.y, o.{KEY} FROM dfSource0__default_{first} s "
+            f"JOIN dfSource__default_{first} c USING ({KEY}) "
+            f"JOIN dfSource__DerivedColumns__default_{first} o USING ({KEY})",
+        ),
+    )
+    run_job(spark, config, GIVEN)
+    row = spark.table(second).first()
+    assert (row.raw, row.x_id, row.y) == (1.5, 1, 2)
+
+
+def test_the_command_line(spark, tmp_path, sf_dir):
+    config, name = _whole_job(spark, tmp_path, sf_dir)
+    path = tmp_path / "job=1.json"
+    path.write_text(json.dumps(config))
+    main([f"{k}={v}" for k, v in {**GIVEN, "configFileFullPath": str(path)}.items()])
+    assert spark.table(name).count() > 0
+
+
 def test_a_job_from_a_file(spark, tmp_path, sf_dir):
     config, name = _whole_job(spark, tmp_path, sf_dir)
     path = tmp_path / "job.json"
