@@ -186,6 +186,17 @@ SELECT event_id, event_type, 2 AS version, {DAY} AS bet FROM events""",
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer""",
     "repair_partitions": """
 SELECT DISTINCT 'c_mktsegment=' || c_mktsegment AS partition FROM customer""",
+    "catalog_type_names": """
+SELECT o_orderkey, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d %H:%M:%S') AS o_year,
+       'bigint' AS type_0, 'double' AS type_1, 'string' AS type_2
+FROM orders""",
+    "write_partition_count": "SELECT count(*) AS n_rows, true AS enough FROM orders",
+    "step_filter": """
+SELECT count(*) AS n_rows, true AS done_exists, false AS ignored_exists FROM customer""",
+    "fail_fast": """
+SELECT count(*) AS n_rows, 'Generate output' AS stage, false AS late_exists,
+       CAST(1 AS BIGINT) AS n_errors
+FROM customer""",
     "run_job": JOB,
     "run_job_second_step": f"""
 SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users,

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepweave.config import DerivedColumn, Job, LookupSpec, Source, Step
+from stepweave.config import DerivedColumn, Job, LookupSpec, Source, Step, write_files
 from stepweave.functions.json import json_attr, json_nodes
 from stepweave.operators import lookups as L
 from stepweave.operators import publish
@@ -20,7 +20,7 @@ from stepweave.operators.catalog import create_external_table, repair_partitions
 from stepweave.operators.columns import cast_id_columns, derive_columns
 from stepweave.operators.publish import EFFECTIVE_KEY
 from stepweave.plans.job import run_job
-from stepweave.plans.step import sql_step, step_output
+from stepweave.plans.step import StepFailed, sql_step, step_output
 from stepweave.session import scratch_path
 from stepweave.sources import files, parquet
 
@@ -619,6 +619,32 @@ def repair_partitions_query(spark, sf_dir):
     return spark.sql(f"SHOW PARTITIONS {segment_table(spark, sf_dir)}")
 
 
+@query
+def catalog_type_names(spark, sf_dir):
+    """A BIGINT column, and a timestamp partition that the catalog keeps as text."""
+    name, path = f"default.typed_{uuid.uuid4().hex}", scratch_path(spark, "typed")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.date_trunc("year", "o_orderdate").alias("o_year")
+    )
+    publish.write_append(orders, path, ["o_year"])
+    create_external_table(spark, name, orders.schema, path, ["o_year"])
+    return spark.table(name).select(
+        "o_orderkey",
+        "o_year",
+        *(F.typeof(c).alias(f"type_{i}") for i, c in enumerate(orders.columns)),
+    )
+
+
+@query
+def write_partition_count(spark, sf_dir):
+    """At least the configured number of files; adaptive execution may make it more."""
+    path = scratch_path(spark, "counted")
+    publish.write_append(table(spark, sf_dir, "orders"), path, files=write_files("3"))
+    return spark.read.parquet(path).agg(
+        F.count("*").alias("n_rows"), (F.count_distinct("_metadata.file_path") >= 3).alias("enough")
+    )
+
+
 # Whole jobs
 
 
@@ -726,6 +752,67 @@ def job_log(spark, sf_dir):
     return log.select("level", "step", "msg", "job_name", "batch_id")
 
 
+def small_config(spark, sf_dir, *steps):
+    """A job of steps given as (type, table, SQL over the customers)."""
+    return {
+        "basePath": scratch_path(spark, "job"),
+        "projectDB": "default",
+        "jobLogTableName": f"job_log_{uuid.uuid4().hex}",
+        "stepList": [
+            {
+                "stepType": kind,
+                "stepCategory": "relationship",
+                "hiveTableName": name,
+                "sourceJoinTableList": [source_node(sf_dir, "customer")],
+                "sourceJoinSQL": sql,
+                "partitionColumnList": [EFFECTIVE_KEY],
+            }
+            for kind, name, sql in steps
+        ],
+    }
+
+
+CUSTOMER_STEP = f"SELECT c_custkey, c_name, 20240101120000 AS {EFFECTIVE_KEY} FROM customer"
+
+
+@query
+def step_filter(spark, sf_dir):
+    """Steps of another type are left out."""
+    done, ignored = (f"{word}_{uuid.uuid4().hex}" for word in ("done", "ignored"))
+    config = small_config(
+        spark, sf_dir, ("TRANSFORMATION", done, CUSTOMER_STEP), ("ingestion", ignored, "no SQL")
+    )
+    tables = run_job(spark, config, ARGUMENTS)
+    return spark.table(tables[0]).agg(
+        F.count("*").alias("n_rows"),
+        F.lit(parquet.table_exists(spark, f"default.{done}")).alias("done_exists"),
+        F.lit(parquet.table_exists(spark, f"default.{ignored}")).alias("ignored_exists"),
+    )
+
+
+@query
+def fail_fast(spark, sf_dir):
+    """After a step that fails nothing starts; what was published and logged stays."""
+    names = [f"{word}_{uuid.uuid4().hex}" for word in ("good", "bad", "late")]
+    sqls = [CUSTOMER_STEP, CUSTOMER_STEP.replace("c_name", "no_such_column"), CUSTOMER_STEP]
+    config = small_config(
+        spark, sf_dir, *(("transformation", n, q) for n, q in zip(names, sqls, strict=True))
+    )
+    try:
+        run_job(spark, config, ARGUMENTS)
+    except StepFailed as error:
+        stage = error.stage
+    log = parquet.scan_parquet_merged(spark, f"{config['basePath']}/{config['jobLogTableName']}")
+    errors = log.where("level = 'ERROR'").agg(F.count("*").alias("n_errors"))
+    late = parquet.table_exists(spark, f"default.{names[2]}")
+    return spark.table(names[0]).agg(
+        F.count("*").alias("n_rows"),
+        F.lit(stage).alias("stage"),
+        F.lit(late).alias("late_exists"),
+        F.lit(errors.first().n_errors).cast("bigint").alias("n_errors"),
+    )
+
+
 # The operator's own name where the function could not have it.
 for _name in ("cast_id_columns", "json_attr", "json_nodes", "repair_partitions", "run_job"):
     QUERIES[_name] = QUERIES.pop(f"{_name}_query")
