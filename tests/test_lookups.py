@@ -179,6 +179,33 @@ def test_the_lookup_may_differ_by_row(spark):
     assert {r.t: r.v for r in df.collect()} == {"t": "A", "o": "other", "u": "NA"}
 
 
+def test_an_unknown_name_matters_only_where_there_is_a_cell(spark):
+    L.register_sql_functions(spark, [_lookup(spark, "id", "sql")])
+    df = spark.createDataFrame([("t", "1"), ("other", None), ("other", ",")], "t string, c string")
+    df.createOrReplaceTempView("named")
+    out = spark.sql("SELECT t, c, lookupValueByIdList(t, c, ',', ';', 'NA') AS v FROM named")
+    assert {tuple(r) for r in out.collect()} == {("t", "1", "A"), ("other", None, None), ("other", ",", "")}
+
+
+def test_lookups_may_be_called_in_any_clause(spark):
+    L.register_sql_functions(spark, [_lookup(spark, "id", "sql")])
+    call = "lookupValueByIdList('t', CAST(id AS STRING), ',', ';', 'NA')"
+    out = spark.sql(
+        f"SELECT {call} AS v, count(*) AS n FROM range(5) WHERE {call} <> 'zero' "
+        f"GROUP BY {call} ORDER BY v"
+    )
+    assert [tuple(r) for r in out.collect()] == [("A", 1), ("B", 1), ("NA", 2)]
+
+
+def test_the_limit_comes_from_the_session(spark):
+    spark.conf.set(L.BROADCAST_SETTING, "1")
+    try:
+        assert not L.lookup_from(spark.createDataFrame(IDS, "k bigint, v string"), "t", "id").broadcast
+    finally:
+        spark.conf.unset(L.BROADCAST_SETTING)
+    assert L.lookup_from(spark.createDataFrame(IDS, "k bigint, v string"), "t", "id").broadcast
+
+
 def _lookup_user(spark):
     return L.lookup_from(spark.createDataFrame(USERS, "k string, v string"), "u", "user")
 

@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -16,6 +18,18 @@ def test_shared_folder_comes_from_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def test_a_cluster_must_name_its_shared_folder():
+    def session(master):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda key, default: default),
+            sparkContext=SimpleNamespace(master=master),
+        )
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("spark://host:7077"))
+    assert shared_folder(session("local[2]"))
+
+
 def test_merged_scan_unites_drifting_schemas(spark, tmp_path):
     path = str(tmp_path / "drift")
     spark.sql("SELECT 1 AS a, 'x' AS b").write.parquet(path)
