@@ -285,7 +285,8 @@ def _register_labels(spark: SparkSession, lookup: Lookup, number: int) -> None:
         cells = f"{name}_codes.cells"
         keys = codes.keys(kind, cells)
         if kind != lookup.kind:  # no key can match
-            body = codes.joined(f"array_repeat(missing, size({cells}))", "separator", "missing")
+            nothing = f"array_repeat(coalesce(missing, 'null'), size({cells}))"
+            body = f"array_join({nothing}, coalesce(separator, 'null'))"
         elif lookup.broadcast:
             spark.udf.register(f"{name}_udf", _index_udf(spark, lookup))
             body = f"{name}_udf({keys}, separator, missing)"
