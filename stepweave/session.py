@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import contextlib
 import functools
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -17,6 +19,18 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="stepweave-")
 
 
+@functools.cache
+def _ship(application: str, add) -> None:
+    package = Path(__file__).resolve().parent
+    target = f"{tempfile.mkdtemp(prefix='stepweave-')}/{package.name}-{application}"
+    add(shutil.make_archive(target, "zip", package.parent, package.name))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package; once per application."""
+    _ship(spark.sparkContext.applicationId, spark.sparkContext.addPyFile)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
