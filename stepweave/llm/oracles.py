@@ -22,11 +22,11 @@ gone AS (
 told AS (SELECT doc_id, words, coalesce(positions, []) AS positions FROM docs LEFT JOIN out USING (doc_id)),
 kept AS (
     SELECT doc_id, len(words) AS n, len(positions) AS removed, words, map_from_entries(
-        list_transform(positions, p -> struct_pack(k := p, v := true))) AS gone FROM told
+        list_transform(positions, lambda p: struct_pack(k := p, v := true))) AS gone FROM told
 )
 SELECT doc_id, n::BIGINT AS n_words, removed::BIGINT AS n_removed,
     sha256(array_to_string(
-        list_transform(list_filter(range(1, n + 1), i -> NOT map_contains(gone, i)), i -> words[i]),
+        list_transform(list_filter(range(1, n + 1), lambda i: NOT map_contains(gone, i)), lambda i: words[i]),
         ' ')) AS kept_sha256
 FROM kept
 """
@@ -35,8 +35,8 @@ OP5 = """
 WITH RECURSIVE v AS (
     SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
 ), ok AS (
-    SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0
+    SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
 ), links AS (
     SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b
     ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.95
@@ -121,11 +121,11 @@ WITH p AS (
 ), d AS (
     SELECT page_id, octet_length(payload) AS n, sha1(payload) AS hex FROM p
 ), bits AS (
-    SELECT *, list_aggregate(list_transform(range(1, 41), i ->
+    SELECT *, list_aggregate(list_transform(range(1, 41), lambda i: 
         lpad(bin(strpos('0123456789abcdef', hex[i]) - 1), 4, '0')), 'string_agg', '') AS b FROM d
 ), named AS (
-    SELECT page_id, n, list_aggregate(list_transform(range(0, 32), i ->
-        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(0, 5), j ->
+    SELECT page_id, n, list_aggregate(list_transform(range(0, 32), lambda i: 
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(0, 5), lambda j: 
             CASE WHEN b[i * 5 + j + 1] = '1' THEN 1 << (4 - j) ELSE 0 END))::INT]),
         'string_agg', '') AS digest FROM bits
 ), last AS (SELECT *, max(page_id) OVER (PARTITION BY digest) AS response FROM named)
