@@ -44,8 +44,15 @@ LEAST_ANCHOR = 0.4
 _SEGMENT_WORDS = 100_000
 # Hashes are first compared among the texts of about so many bytes.
 _TOGETHER_BYTES = 8 << 20
-_PLACES = "slot long, h1 long, h2 long, k1 long, k2 long, position int, known boolean"
-_NAMES = ["slot", "h1", "h2", "k1", "k2", "position", "known"]
+# Places are shuffled in packets: per bucket of hashes the hashes (64 and 16 bits), the
+# texts' keys, how many places each text has, and the positions in two halves.
+_PACKET = (
+    "bucket int, h1 binary, h2 binary, k1 binary, k2 binary, counts binary, low binary, "
+    "high binary"
+)
+_NAMES = ["bucket", "h1", "h2", "k1", "k2", "counts", "low", "high"]
+_KINDS = ["u8", "u2", "u2", "u8", "u4", "u2", "u2"]
+_FOUND = "k1 int, k2 long, positions array<int>"
 
 
 def cover_for(window: int) -> tuple[int, np.ndarray]:
@@ -90,72 +97,138 @@ def _hashed(rows: Iterable[tuple[int, list[bytes]]], length: int, hashers, wante
             yield np.concatenate(owners), np.concatenate(positions), hashes
 
 
-def _places(batch: pa.RecordBatch, found: list, split: bool) -> pa.RecordBatch | None:
-    """Windows to be compared: a row each, dealt by their hash.
+def _packets(batch: pa.RecordBatch, found: list, buckets: int) -> pa.RecordBatch | None:
+    """Windows to be compared, in packets by their hash.
 
-    A hash that occurs twice here is known to be repeated: its places are settled and
-    dealt anywhere, and one row without a place tells the others of it.
+    A hash that occurs twice here is known to be repeated: its places go without it to
+    any bucket, and the hash alone goes to its own to tell the others.
     """
     if not found:
         return None
     owners, positions = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-    h1, h2 = (np.concatenate([f[2][i] for f in found]) for i in (0, -1))
-    h2 = h2 if split else np.zeros(len(h1), np.uint64)
-    order = np.lexsort((h2, h1)) if split else np.argsort(h1, kind="stable")
+    h1 = np.concatenate([f[2][0] for f in found])
+    h2 = np.zeros(len(h1), np.uint16)  # anchors have none
+    if len(found[0][2]) > 1:
+        h2 = (np.concatenate([f[2][1] for f in found]) & np.uint64(0xFFFF)).astype(np.uint16)
+    k1, k2 = (batch[name].to_numpy() for name in ("k1", "k2"))
+    order = np.lexsort((h2, h1))
     same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
     known = np.zeros(len(h1), bool)
     known[order[1:]] = same
     known[order[:-1]] |= same
     witness = order[np.append(True, ~same) & known[order]]
-    k1, k2 = (batch[name].to_numpy()[owners] for name in ("k1", "k2"))
-    slot = np.where(known, k2.view(np.uint64) + positions.astype(np.uint64), h1)
-    columns = [
-        np.append(slot, h1[witness]).view(np.int64),
-        np.append(h1, h1[witness]).view(np.int64),
-        np.append(h2, h2[witness]).view(np.int64),
-        np.append(k1, k1[witness]),
-        np.append(k2, k2[witness]),
-        np.append(positions, np.full(len(witness), -1)).astype(np.int32),
-        np.append(known, np.zeros(len(witness), bool)),
-    ]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], _NAMES)
+    rows: list[tuple] = []
+
+    def deal(chosen: np.ndarray, bucket: np.ndarray, hashes: bool, places: bool) -> None:
+        """Packets of the chosen windows, with their hashes, their places or both."""
+        chosen = chosen[np.argsort(bucket, kind="stable")]
+        bucket = np.sort(bucket)
+        if not len(chosen):
+            return
+        starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        for start, stop in zip(starts, [*starts[1:], len(bucket)], strict=True):
+            part = chosen[start:stop]
+            hash_part = part if hashes else part[:0]
+            part = part if places else part[:0]
+            text = owners[part]
+            first = np.flatnonzero(np.append(True, text[1:] != text[:-1])) if len(part) else part
+            columns = (
+                h1[hash_part],
+                h2[hash_part],
+                (k1[text[first]] & 0xFFFF).astype(np.uint16),
+                k2[text[first]],
+                np.diff(np.append(first, len(part))).astype(np.uint32),
+                (positions[part] & 0xFFFF).astype(np.uint16),
+                (positions[part] >> 16).astype(np.uint16),
+            )
+            rows.append((int(bucket[start]), *(c.tobytes() for c in columns)))
+
+    def of(windows: np.ndarray) -> np.ndarray:
+        return (h1[windows] % np.uint64(buckets)).astype(np.int64)
+
+    alone, settled_here = np.flatnonzero(~known), np.flatnonzero(known)
+    deal(alone, of(alone), True, True)
+    deal(witness, of(witness), True, False)
+    deal(settled_here, (k2[owners[settled_here]] % buckets).astype(np.int64), False, True)
+    columns = zip(*rows, strict=True)
+    kinds = [pa.int32()] + [pa.binary()] * 7
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)], _NAMES
+    )
 
 
 def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows in the order of their hashes, those whose hash comes twice or is known.
+    """Of packets in the order of their buckets, the places whose hash comes twice.
 
-    Only the last row is held, so a hash may have any number of rows.
+    One bucket is held at a time.
     """
-    held = None
+    bucket, held = None, []
     for batch in batches:
-        columns = [batch[name].to_numpy(zero_copy_only=False) for name in _NAMES[1:]]
-        if held is not None:
-            columns = [np.append(h, c) for h, c in zip(held, columns, strict=True)]
-        h1, h2, k1, k2, position, known = columns
+        for packet in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if packet[0] != bucket:
+                if held:
+                    yield _twice(held)
+                bucket, held = packet[0], []
+            held.append(packet[1:])
+    if held:
+        yield _twice(held)
+
+
+def _twice(packets: list[tuple]) -> pa.RecordBatch:
+    places, keys, hashes = [], [], []
+    texts = 0
+    for packet in packets:
+        h1, h2, k1, k2, counts, low, high = (
+            np.frombuffer(data, kind) for data, kind in zip(packet, _KINDS, strict=True)
+        )
+        position = low.astype(np.int32) + (high.astype(np.int32) << 16)
+        owner = np.repeat(np.arange(len(k2)), counts) + texts
+        texts += len(k2)
+        keys.append((k1, k2))
+        if len(h1) and len(owner):  # to be compared
+            hashes.append((h1, h2, owner, position))
+        elif len(h1):  # known to be repeated
+            hashes.append((h1, h2, np.full(len(h1), -1), np.zeros(len(h1), np.int32)))
+        else:
+            places.append((owner, position))
+    if hashes:
+        h1, h2, owner, position = (np.concatenate(c) for c in zip(*hashes, strict=True))
+        order = np.lexsort((h2, h1))
+        h1, h2 = h1[order], h2[order]
         same = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
-        shared = known.copy()
-        shared[1:] |= same
-        shared[:-1] |= same
-        # The last row waits for its successor; if it is shared already, its place is
-        # given out now and only its hash waits.
-        give = shared & (position >= 0)
-        held = [column[-1:].copy() for column in columns]
-        if shared[-1]:
-            held[4][:] = -1
-        if give.any():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c[give]) for c in (k1, k2, position)], ["k1", "k2", "position"]
-            )
+        twice = np.zeros(len(order), bool)
+        twice[order[1:]] = same
+        twice[order[:-1]] |= same
+        twice &= owner >= 0
+        places.append((owner[twice], position[twice]))
+    owner, position = (np.concatenate(c) for c in zip(*places, strict=True))
+    k1, k2 = (np.concatenate(c) for c in zip(*keys, strict=True))
+    order = np.argsort(owner, kind="stable")
+    owner, position = owner[order], position[order]
+    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
+    offsets = np.append(first, len(owner)).astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(k1[owner[first]].astype(np.int32)),
+            pa.array(k2[owner[first]].view(np.int64)),
+            pa.ListArray.from_arrays(pa.array(offsets), pa.array(position)),
+        ],
+        ["k1", "k2", "positions"],
+    )
 
 
-def _by_text(places: DataFrame) -> DataFrame:
-    """``k1, k2, positions`` of the repeated ones among the places."""
-    dealt = places.repartition("slot").sortWithinPartitions("h1", "h2")
-    found = dealt.mapInArrow(_repeated, "k1 long, k2 long, position int")
-    return settled(found.groupBy("k1", "k2").agg(F.collect_set("position").alias("positions")))
+def _by_text(texts: DataFrame, find, window: int) -> DataFrame:
+    """``k1, k2, positions`` of the windows that ``find`` chooses and that are repeated."""
+    buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packets = texts.mapInArrow(find(window, buckets), _PACKET)
+    dealt = packets.repartition("bucket").sortWithinPartitions("bucket")
+    parts = dealt.mapInArrow(_repeated, _FOUND)
+    return settled(
+        parts.groupBy("k1", "k2").agg(F.flatten(F.collect_list("positions")).alias("positions"))
+    )
 
 
-def _anchors(window: int):
+def _anchors(window: int, buckets: int):
     period, cover = cover_for(window)
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,13 +240,13 @@ def _anchors(window: int):
         for batch in batches:
             for rows in _long_enough(batch, window):
                 found = list(_hashed(rows, window - period + 1, [hasher], wanted))
-                if places := _places(batch, found, False):
-                    yield places
+                if packets := _packets(batch, found, buckets):
+                    yield packets
 
     return find
 
 
-def _windows(window: int):
+def _windows(window: int, buckets: int):
     period, _ = cover_for(window)
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,8 +264,8 @@ def _windows(window: int):
                     return marks[row][positions]
 
                 found = list(_hashed(rows, window, hashers, wanted))
-                if places := _places(batch, found, True):
-                    yield places
+                if packets := _packets(batch, found, buckets):
+                    yield packets
 
     return find
 
@@ -250,17 +323,18 @@ def remove_repeats(
     """
     number = isinstance(docs.schema[ident].dataType, T.IntegralType)
     first = docs[ident].cast("long") if number else F.xxhash64(docs[ident])
-    # Rows that share both keys have the same text and so the same repeats.
+    first = F.pmod(F.coalesce(first, F.lit(0)), F.lit(1 << 16)).cast("int")
+    # Rows that share both keys have the same text (80 bits) and so the same repeats.
     keyed = docs.select(
         docs[ident].alias("ident"),
-        F.coalesce(first, F.lit(0)).alias("k1"),
+        first.alias("k1"),
         F.xxhash64(docs[text]).alias("k2"),
         docs[text].alias("text"),
     )
     texts = keyed.select("k1", "k2", "text")
-    shared = _by_text(texts.mapInArrow(_anchors(window), _PLACES))
+    shared = _by_text(texts, _anchors, window)
     marked = _of_few(texts, shared, "left_semi").join(shared, ["k1", "k2"])
-    repeats = _by_text(marked.mapInArrow(_windows(window), _PLACES))
+    repeats = _by_text(marked, _windows, window)
     alone = _of_few(keyed, repeats, "left_anti")
     touched = _of_few(keyed, repeats, "left_semi")
     if alone is keyed:  # too many texts to tell them apart before the join
