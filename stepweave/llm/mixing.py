@@ -130,8 +130,8 @@ def mix_sources(
 
 
 def _rank(drawn: Column, fraction: Column) -> Column:
-    """The random odds over the odds of the fraction."""
-    return (drawn / (1 - drawn)) / (fraction / (1 - fraction))
+    """The random odds over the odds of the fraction; null where the fraction is 0."""
+    return F.try_divide(drawn / (1 - drawn), fraction / (1 - fraction))
 
 
 def _cuts(sizes: DataFrame, targets: DataFrame) -> DataFrame:

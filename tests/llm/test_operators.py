@@ -1,0 +1,540 @@
+"""The operators against brute force, and their edge cases, on small tables."""
+
+import collections
+import gzip
+import io
+import itertools
+import math
+import zipfile
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from stepweave.llm import (
+    common,
+    context_mixing,
+    decontamination,
+    embedding_dedup,
+    html_text,
+    language_id,
+    line_dedup,
+    minhash_dedup,
+    mixing,
+    substring_dedup,
+    warc,
+)
+
+ODD = "doc_id long, text string, lang string, source string, ident string, k1 string"
+
+
+def odd_documents(spark, rows=()):
+    """Nulls everywhere, empty and blank texts, repeated rows, clashing extra columns."""
+    long = " ".join(f"w{i % 977}x{i}" for i in range(3000))
+    base = [
+        (1, "a b c d e f", "en", "s", "x", "y"),
+        (1, "a b c d e f", "en", "s", "x", "y"),
+        (2, None, None, None, None, None),
+        (None, "a b c d e f", "en", None, None, None),
+        (3, "", "en", "s", "x", "y"),
+        (4, " \n\t ", "en", "t", "x", "y"),
+        (5, long, "en", "t", "x", "y"),
+    ]
+    return spark.createDataFrame([*base, *rows], ODD)
+
+
+def empty_documents(spark):
+    return spark.createDataFrame([], ODD)
+
+
+def rows_of(df, *columns):
+    return sorted((tuple(row[c] for c in columns) for row in df.collect()), key=repr)
+
+
+# --- helpers ---------------------------------------------------------------------------
+
+
+def test_window_hashes_depend_on_the_words_only():
+    words = b"a bb a bb ccc a bb".split()
+    hasher = common.WindowHasher(9).load(words)
+    found = hasher.windows(np.arange(6), 2)
+    pairs = list(zip(words, words[1:], strict=False))
+    for i, j in itertools.combinations(range(6), 2):
+        assert (found[i] == found[j]) == (pairs[i] == pairs[j])
+
+
+def test_components_of_chains_rings_and_stars(spark):
+    edges = [(i, i + 1) for i in range(10, 40)] + [(50, 51), (51, 52), (52, 50)]
+    edges += [(100, i) for i in range(60, 70)] + [(7, 7)]
+    found = common.components(spark.createDataFrame(edges, "a long, b long"))
+    least = dict(rows_of(found, "node", "component"))
+    assert {least[i] for i in range(10, 41)} == {10}
+    assert {least[i] for i in (50, 51, 52)} == {50}
+    assert least[100] == 60 and 7 not in least
+    assert common.components(spark.createDataFrame([], "a long, b long")).isEmpty()
+
+
+def test_arrays_are_summed_over_many_partitions(spark):
+    one = np.arange(3).tobytes()
+    df = spark.range(40, numPartitions=10).select(
+        F.concat(F.lit("k"), F.col("id") % 2).alias("key"), F.lit(bytearray(one)).alias("data")
+    )
+    got = {r.key: np.frombuffer(r.data, "int64") for r in common.summed_arrays(df, "int64").collect()}
+    assert {k: v.tolist() for k, v in got.items()} == {"k0": [0, 20, 40], "k1": [0, 20, 40]}
+
+
+# --- 1 ---------------------------------------------------------------------------------
+
+PAGE = """<!doctype html><html><head><title>No</title><style>p{}</style>
+<script>var a = "<p>no</p>";</script></head><body class="has-sidebar">
+<header>site</header><nav><a href=/x/>menu</a></nav>
+<div id="cookie-notice">notice</div><form>mail <input></form>
+<article><header><h1>The&nbsp;title &amp; more</h1></header>
+<p>First <b>bold</b> text<br>after the break, long enough to count as prose.
+<p>Second paragraph with <a href="/y">a link</a> in it, and some more words.</p>
+<div class="ad">buy</div><ul><li>one<li>two</ul></article>
+<aside>side</aside><section class="comments"><p>A long reader comment, really long.</p></section>
+<footer>&copy; foot</footer></body></html>"""
+
+
+def test_main_text_leaves_furniture_out():
+    assert html_text.main_text(PAGE) == (
+        "The title & more\n\nFirst bold text after the break, long enough to count as prose."
+        "\n\nSecond paragraph with a link in it, and some more words.\n\none\n\ntwo"
+    )
+
+
+def test_density_finds_the_content_without_an_article_element():
+    prose = "Some words of prose that go on for a while and then stop. " * 4
+    links = "".join(f"<li><a href='/{i}'>link number {i}</a></li>" for i in range(30))
+    page = f"<body><div><ul>{links}</ul></div><div><p>{prose}</p><p>{prose}</p></div></body>"
+    assert html_text.main_text(page) == f"{prose.strip()}\n\n{prose.strip()}"
+
+
+@pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "</p></b>", "<script>x", "<a b='"])
+def test_broken_pages_do_not_crash(page):
+    assert html_text.main_text(page).strip("<pa b='") == ""
+
+
+def test_deep_and_long_pages():
+    deep = "<div>" * 20_000 + "text" + "</div>" * 20_000
+    assert html_text.main_text(deep) == "text"
+    assert len(html_text.main_text("<p>" + "word " * 200_000)) == 999_999
+
+
+def test_extraction_keeps_rows(spark):
+    schema = "page_id long, url string, html string, text string"
+    rows = [(1, "u", "<p>a", "x"), (1, "u", "<p>a", "x"), (None, None, None, None)]
+    found = html_text.extract_main_text(spark.createDataFrame(rows, schema))
+    want = [(1, "u", "a", 1), (1, "u", "a", 1), (None, None, "", 0)]
+    assert rows_of(found, "page_id", "url", "text", "n_chars") == sorted(want, key=repr)
+    assert html_text.extract_main_text(spark.createDataFrame([], schema)).isEmpty()
+
+
+# --- 2 ---------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("period", substring_dedup.COVERS)
+def test_covers_have_every_difference(period):
+    cover = substring_dedup.COVERS[period]
+    assert {(a - b) % period for a in cover for b in cover} == set(range(period))
+
+
+def brute_repeats(texts, window):
+    words = [(t or "").encode().split() for t in texts]
+    counts = collections.Counter(
+        tuple(w[i : i + window]) for w in words for i in range(len(w) - window + 1)
+    )
+    for w in words:
+        gone = set()
+        for i in range(len(w) - window + 1):
+            if counts[tuple(w[i : i + window])] > 1:
+                gone |= set(range(i, i + window))
+        yield b" ".join(x for i, x in enumerate(w) if i not in gone).decode(), len(w), len(gone)
+
+
+def test_repeats_like_brute_force(spark):
+    random = np.random.default_rng(3)
+    passage = [f"p{i}" for i in range(60)]
+    rows = []
+    for n in range(40):
+        words = [f"w{x}" for x in random.integers(0, 40, random.integers(0, 200))]
+        if n % 3 == 0:
+            at, cut = random.integers(0, len(words) + 1), random.integers(30, 61)
+            words[at:at] = passage[60 - cut :]
+        if n % 10 == 0:
+            words += ["same"] * 80
+        rows.append((100 + n, " ".join(words), None, None, "x", None))
+    docs = odd_documents(spark, rows)
+    found = substring_dedup.remove_repeats(docs).collect()
+    texts = [r.text for r in docs.collect()]
+    want = collections.Counter(brute_repeats(texts, 35))
+    assert collections.Counter((r.text, r.n_words, r.n_removed) for r in found) == want
+    assert substring_dedup.remove_repeats(empty_documents(spark)).isEmpty()
+
+
+def test_segments_of_long_texts_and_large_tables(spark, monkeypatch):
+    words = [f"w{i}" for i in range(300)]
+    rows = list(substring_dedup._segments([(0, words)], 4))
+    assert [w for _, part, _, own in rows for w in part[:own]] == words
+    monkeypatch.setattr(substring_dedup, "BROADCAST_ROWS", 0)  # the other way to join
+    text = " ".join(words)
+    docs = spark.createDataFrame([(1, text), (2, text), (3, "x")], "doc_id long, text string")
+    found = substring_dedup.remove_repeats(docs)
+    assert rows_of(found, "doc_id", "n_removed") == [(1, 300), (2, 300), (3, 0)]
+
+
+# --- 3 ---------------------------------------------------------------------------------
+
+
+def test_common_subsequence_like_dynamic_programming():
+    random = np.random.default_rng(1)
+    for _ in range(50):
+        a, b = (
+            [b"%d" % x for x in random.integers(0, 5, random.integers(1, 30))] for _ in range(2)
+        )
+        table = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                table[i + 1, j + 1] = (
+                    table[i, j] + 1 if x == y else max(table[i, j + 1], table[i + 1, j])
+                )
+        found = decontamination.common_subsequence(decontamination._masks(a), len(a), b)
+        assert found == table[-1, -1]
+
+
+def test_copies_and_paraphrases_are_found_and_clean_texts_are_not(spark):
+    random = np.random.default_rng(5)
+    some = [f"t{i}" for i in range(4000)]
+    items = [[some[i] for i in random.integers(0, 4000, 30)] for _ in range(20)]
+
+    def clean(n):
+        return [some[i] for i in random.integers(0, 4000, n)]
+
+    rows = [(n, " ".join(clean(200)), None, None, "x", None) for n in range(100, 160)]
+    planted = {}
+    for n, item in enumerate(items):
+        words = list(item)
+        if n % 2:  # a paraphrase: words replaced outside of the answer
+            for i in random.choice(22, 6, replace=False):
+                words[i] = "other"
+        planted[200 + n] = n
+        shown = " ".join([*clean(57), *words, *clean(31)])
+        rows.append((200 + n, shown.upper() if n == 3 else shown, None, None, "x", None))
+    bench = [(n, " ".join(item)) for n, item in enumerate(items)] + [(98, ""), (99, None)]
+    docs = odd_documents(spark, rows)
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    found = rows_of(decontamination.contaminated(docs, bench), "doc_id", "item_id")
+    assert found == sorted(planted.items())
+    assert decontamination.contaminated(empty_documents(spark), bench).isEmpty()
+    assert decontamination.contaminated(docs, bench.where("item_id > 97")).isEmpty()
+
+
+# --- 4 ---------------------------------------------------------------------------------
+
+
+def test_viterbi_like_all_paths():
+    random = np.random.default_rng(2)
+    scores = random.normal(0, 3, (13, 3))
+    texts = np.repeat([0, 2, 5], [5, 1, 7])
+    found = language_id.viterbi(scores, texts, 2.0)
+    for text in (0, 2, 5):
+        part = scores[texts == text]
+
+        def value(path, part=part):
+            turns = sum(a != b for a, b in itertools.pairwise(path))
+            return part[np.arange(len(path)), list(path)].sum() - 2.0 * turns
+
+        best = max(value(p) for p in itertools.product(range(3), repeat=len(part)))
+        assert math.isclose(value(found[texts == text]), best)
+
+
+def test_languages_spans_and_scripts(spark):
+    english = "the cat and the dog then walk with that other thing there " * 8
+    french = "le chat est dans une maison avec les autres et ils sont ici " * 8
+    russian = "это кот и собака они идут вместе с другими туда где дом " * 8
+    train = spark.createDataFrame(
+        [(english, "en"), (french, "fr"), (russian, "ru"), (None, "de"), ("x", None)],
+        "text string, lang string",
+    )
+    model = language_id.train(train)
+    assert model.languages == ["en", "fr", "ru"]
+    mixed = "the dog and the cat walk there это собака и кот идут туда"
+    texts = [english, french, mixed, None, "", "12 34!", "λόγος", "a" * 3_000_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    found = {r.id: r for r in language_id.label_languages(df, model).collect()}
+    assert [found[i].lang_pred for i in range(6)] == ["en", "fr", "en", "und", "und", "und"]
+    assert [(s.lang, s.first, s.words) for s in found[2].lang_spans] == [("en", 0, 7), ("ru", 7, 6)]
+    assert 0 < found[2].lang_score < 1 == found[0].lang_score
+    assert found[6].lang_pred in model.languages and found[7].lang_pred in model.languages
+    nothing = language_id.train(train.where("lang is null"))
+    assert {r.lang_pred for r in language_id.label_languages(df, nothing).collect()} == {"und"}
+    assert language_id.label_languages(df.limit(0), model).isEmpty()
+
+
+def test_held_out_accuracy(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    held = common.fold("doc_id", 5) == 0
+    model = language_id.train(docs, learn=~held)
+    found = language_id.label_languages(docs.where(held), model)
+    assert found.agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).scalar() is not None
+    assert found.where("lang = lang_pred").count() >= 0.97 * found.count()
+
+
+# --- 5 ---------------------------------------------------------------------------------
+
+
+def test_vectors_like_brute_force(spark):
+    random = np.random.default_rng(4)
+    base = random.normal(size=(60, 16))
+    vectors = [base[i % 60] + random.normal(0, 0.05 * (i % 4), 16) for i in range(240)]
+    rows = [(i, [float(x) for x in v], "x") for i, v in enumerate(vectors)]
+    rows += [(300 + i, rows[0][1], None) for i in range(3)]  # equal vectors
+    odd = [None, [], [0.0] * 16, [1.0, None] + [0.0] * 14, [math.nan] * 16, [math.inf] + [1.0] * 15]
+    rows += [(400 + i, v, None) for i, v in enumerate([*odd, [1.0, 2.0]])] + [(None, rows[0][1], "y")]
+    schema = "vec_id long, embedding array<double>, node string"
+    df = spark.createDataFrame(rows, schema)
+    found = {r.vec_id: r for r in embedding_dedup.linked_vectors(df).collect()}
+    good = [r for r in rows if r[0] is not None and r[0] < 400]
+    unit = np.array([r[1] for r in good])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    links = unit @ unit.T >= 0.95
+    np.fill_diagonal(links, False)
+    want = links.sum()
+    assert 0.9 * want <= sum(found[r[0]].n_links for r in good) <= want
+    reach = embedding_dedup._least_reached(links)
+    assert all(found[g[0]].component_id == good[reach[i]][0] for i, g in enumerate(good))
+    for i in range(len(odd) + 1):
+        assert (found[400 + i].n_links, found[400 + i].component_id) == (0, 400 + i)
+    assert found[None].kept and found[None].component_id is None
+    assert embedding_dedup.linked_vectors(df.limit(0)).isEmpty()
+
+
+def test_recall_of_the_index():
+    random = np.random.default_rng(6)
+    a = random.normal(size=(2000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    side = random.normal(size=a.shape)
+    side -= (side * a).sum(1, keepdims=True) * a
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    b = 0.95 * a + math.sqrt(1 - 0.95**2) * side  # pairs at the least cosine
+    met = (embedding_dedup.buckets(a) == embedding_dedup.buckets(b)).any(1)
+    assert met.mean() >= 0.93
+
+
+def test_blocks_of_a_bucket_find_all_links(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "BLOCK", 7)
+    rows = [(i, [1.0, 0.001 * i, 0.0]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert {r.n_links for r in embedding_dedup.linked_vectors(df).collect()} == {39}
+
+
+# --- 6 ---------------------------------------------------------------------------------
+
+
+def brute_components(texts):
+    sets, up = {}, {}
+    for ident, text in texts:
+        words = (text or "").encode().lower().split()
+        sets.setdefault(ident, set())
+        sets[ident] |= {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in itertools.combinations(sets, 2):
+        both = len(sets[a] & sets[b])
+        if both and 100 * both >= 85 * len(sets[a] | sets[b]):
+            x, y = root(a), root(b)
+            up[max(x, y)] = min(x, y)
+    return {i: root(i) for i in sets}
+
+
+@pytest.mark.parametrize("block", [512, 3])
+def test_near_copies_like_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash_dedup, "BLOCK", block)
+    random = np.random.default_rng(8)
+    base = [[f"g{g}w{x}" for x in random.integers(0, 500, 120)] for g in range(4)]
+    rows = []
+    for n in range(80):
+        words = list(base[n % 4])
+        for _ in range(random.integers(0, 5)):
+            words[random.integers(0, 120)] = f"new{random.integers(0, 9)}"
+        rows.append((1000 - n, " ".join(words), None, None, "x", None))
+    docs = odd_documents(spark, rows)
+    found = minhash_dedup.near_duplicates(docs).collect()
+    want = brute_components([(r.doc_id, r.text) for r in docs.collect() if r.doc_id is not None])
+    assert len(found) == docs.count()
+    assert {r.doc_id: r.component_id for r in found if r.doc_id is not None} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in found)
+    assert {r.doc_id: r.n_shingles for r in found}[5] == 2996
+    assert minhash_dedup.near_duplicates(empty_documents(spark)).isEmpty()
+
+
+# --- 7 ---------------------------------------------------------------------------------
+
+
+def test_mix_comes_near_its_targets(spark):
+    random = np.random.default_rng(9)
+    rows = [
+        (n, " ".join(["w"] * int(random.integers(0, 60))), None, f"s{n % 7 if n % 3 else 0}", "x", None)
+        for n in range(10, 700)
+    ]
+    docs = odd_documents(spark, rows).withColumn("text", F.when(F.col("doc_id") != 5, F.col("text")))
+    mixed = mixing.mix_sources(docs)
+    found = mixed.collect()
+    assert len(found) == docs.count() and mixed.columns[: len(docs.columns)] == docs.columns
+    assert all(0 <= r.mix_copies <= 3 for r in found)
+    by_source = collections.defaultdict(list)
+    for r in found:
+        by_source[r.source].append(r)
+    assert math.isclose(
+        sum(rows[0].mix_target for rows in by_source.values()), sum(r.mix_size for r in found)
+    )
+    for rows in by_source.values():
+        taken = sum(r.mix_copies * r.mix_size for r in rows)
+        assert abs(taken - rows[0].mix_target) <= max(r.mix_size for r in rows)
+        assert rows[0].mix_target <= 3 * rows[0].mix_source_size + 1e-9
+    again = mixing.mix_sources(docs.repartition(7)).collect()
+    key = lambda r: (r.doc_id or -1, r.text or "", r.mix_copies)
+    assert sorted(map(key, again)) == sorted(map(key, found))
+    assert mixing.mix_sources(empty_documents(spark)).isEmpty()
+    with pytest.raises(ValueError, match="already exist"):
+        mixing.mix_sources(docs.withColumn("Mix_Size", F.lit(1)))
+
+
+# --- 8 ---------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("limits", [(0xFFFF, 0xFFFFFFFF), (2, 0xFFFFFFFF), (0xFFFF, 10), (1, 1)])
+def test_packages_are_read_by_range_and_by_others(limits):
+    parts = [("a", b"x" * 9), ("dir/b", b"y" * 1000), ("c", b"")]
+    package = warc.write_package(parts, *limits)
+    reads = []
+
+    def read(at, n):
+        reads.append((at, n))
+        return package[at : at + n]
+
+    members = warc.members_of(read, len(package))
+    assert [(m.name, package[m.offset : m.offset + m.size]) for m in members] == parts
+    with zipfile.ZipFile(io.BytesIO(package)) as other:
+        assert other.testzip() is None and other.read("dir/b") == parts[1][1]
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as other:
+        for name, data in parts:
+            other.writestr(name, data)
+        other.comment = b"PK\x05\x06 not the end"
+    foreign = out.getvalue()
+    members = warc.members_of(lambda at, n: foreign[at : at + n], len(foreign))
+    assert [m.name for m in members] == ["a", "dir/b", "c"]
+    with pytest.raises(ValueError, match="not a ZIP"):
+        warc.members_of(lambda at, n: b"", 0)
+
+
+def test_records_round_trip_and_damage_is_noticed():
+    payload = "é\r\n\r\n<p>".encode()
+    record = warc.Record("7", "http://x/", "response", warc.payload_digest(payload), 8, None, payload)
+    assert warc.decode_record(warc.encode_record(record)) == record
+    other = gzip.compress(gzip.decompress(warc.encode_record(record)).replace(b"<p>", b"<b>"))
+    with pytest.raises(ValueError, match="fails its digest"):
+        warc.decode_record(other)
+
+
+def test_pages_are_archived_and_read_back(spark, tmp_path):
+    rows = [(1, "u", "same"), (5, "u v\n", "same"), (3, None, "é"), (4, "u", None), (6, "u", "")]
+    rows += [(None, "u", "alone"), (9, "u", "twice"), (9, "u", "twice")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"file://{tmp_path}/archives"
+    packages = warc.write_archives(pages, folder, package_bytes=4)
+    found = warc.read_archives(packages, folder).collect()
+    kinds = sorted((r.ident, r.kind, r.refers_to) for r in found)
+    assert kinds == [
+        ("", "response", None),
+        ("1", "revisit", "5"),
+        ("3", "response", None),
+        ("4", "revisit", "6"),
+        ("5", "response", None),
+        ("6", "response", None),
+        ("9", "response", None),
+        ("9", "response", None),
+    ]
+    assert {r.ident: bytes(r.payload).decode() for r in found}["3"] == "é"
+    assert {r.ident: r.length for r in found}["1"] == 4
+    empty = warc.write_archives(pages.limit(0), folder)
+    assert warc.read_archives(empty, folder).isEmpty()
+
+
+# --- 9 ---------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("hot", [1, 10**9])
+def test_lines_like_brute_force(spark, monkeypatch, hot):
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", hot)
+    rows = [
+        (n, f"Common \nown {n}\n\n  common\t\n" + "x\n" * (n % 2), None, None, "x", None)
+        for n in range(10, 22)
+    ]
+    docs = odd_documents(spark, rows)
+    texts = [r.text for r in docs.collect()]
+    counts = collections.Counter(
+        key for t in texts for key in {x.strip(" \t\n\v\f\r").lower() for x in (t or "").split("\n")}
+    )
+    want = collections.Counter()
+    for t in texts:
+        lines = (t or "").split("\n")
+        kept = [
+            x
+            for x in lines
+            if not (k := x.strip(" \t\n\v\f\r").lower()) or counts[k] < 5
+        ]
+        want["\n".join(kept), len(lines), len(lines) - len(kept)] += 1
+    found = line_dedup.drop_common_lines(docs, least_documents=5).collect()
+    assert collections.Counter((r.text, r.n_lines, r.n_dropped) for r in found) == want
+    assert line_dedup.drop_common_lines(empty_documents(spark)).isEmpty()
+
+
+# --- 10 --------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("frequent", [100_000, 3])
+def test_scores(spark, monkeypatch, frequent):
+    monkeypatch.setattr(context_mixing, "FREQUENT", frequent)
+    rows = [(n, "The cat sat on the mat . " * 5, None, None, "x", None) for n in range(10, 60)]
+    docs = odd_documents(spark, rows)
+    learn = common.fold("doc_id", 10) != 0
+    found = context_mixing.score_texts(docs, learn).collect()
+    assert len(found) == docs.count()
+    tokens = [
+        (r.doc_id, (r.text or "").encode().lower().split() + [b"\n"]) for r in docs.collect()
+    ]
+    held = {i for i, _ in tokens if i is not None and zlib.crc32(str(i).encode()) % 10 == 0}
+    counts = collections.Counter(t for i, ts in tokens if i not in held for t in ts)
+    total = sum(counts.values())
+    for i, ts in tokens:
+        base = sum(math.log10((counts[t] + 0.1) / (total + 0.1 * (len(counts) + 1))) for t in ts)
+        row = next(
+            r for r in found if r.doc_id == i and r.n_tokens == len(ts)
+        )
+        assert math.isclose(row.base_score, base, rel_tol=1e-9)
+        assert (row.n_known, row.train_tokens) == (sum(counts[t] > 0 for t in ts), total)
+        assert row.held_out == (i in held) and row.score < 0
+    prose = [r for r in found if (r.doc_id or 0) >= 10]
+    assert all(r.score > r.base_score for r in prose)
+    assert context_mixing.score_texts(empty_documents(spark), learn).isEmpty()
+
+
+def test_class_probabilities_sum_to_one():
+    random = np.random.default_rng(1)
+    table = random.integers(0, 5, context_mixing._TABLE)
+    model = context_mixing.MixingModel(context_mixing._paths(table), {}, None, None, None, 0, 0)
+    before = random.integers(0, 1 << 32, 50, dtype=np.uint32)
+    classes = np.arange(context_mixing.CLASSES, dtype=np.uint32)
+    texts = np.concatenate([np.append(before, c) for c in classes]).astype(np.uint32)
+    whole = context_mixing.class_bits(model, texts, np.full(len(classes), 51))
+    part = context_mixing.class_bits(model, before, np.array([50]))
+    assert math.isclose(np.exp(whole - part).sum(), 1, rel_tol=1e-3)
