@@ -203,13 +203,13 @@ SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users,
        {DAY} AS business_effective_timestamp
 FROM events GROUP BY event_type, {DAY}""",
     "job_log": """
-SELECT 'INFO' AS level, 'Generate look up list' AS step,
-       'Look up table "customer_names" size: ' || count(DISTINCT c_custkey) AS msg,
+SELECT 'INFO' AS level, 'build lookups' AS step,
+       'customer_names has ' || count(DISTINCT c_custkey) || ' keys' AS msg,
        'catalogue' AS job_name, 20240102030405 AS batch_id
 FROM customer
 UNION ALL
-SELECT 'INFO', 'Generate look up list',
-       'Look up table "statuses" size: ' || count(DISTINCT o_orderstatus), 'catalogue',
+SELECT 'INFO', 'build lookups',
+       'statuses has ' || count(DISTINCT o_orderstatus) || ' keys', 'catalogue',
        20240102030405
 FROM orders""",
 }

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stepweave.config import DerivedColumn, Job, LookupSpec, Source, Step, write_files
+from stepweave.config import STEP_TYPE, DerivedColumn, Job, LookupSpec, Source, Step, write_files
 from stepweave.functions.json import json_attr, json_nodes
 from stepweave.operators import lookups as L
 from stepweave.operators import publish
@@ -663,7 +663,7 @@ def job_config(spark, sf_dir):
         "jobType": "full",
         "stepList": [
             {
-                "stepType": "transformation",
+                "stepType": STEP_TYPE,
                 "stepCategory": "object",
                 "hiveTableName": f"orders_{mark}",
                 "numOfWriteRepartition": "8",
@@ -715,7 +715,7 @@ def job_config(spark, sf_dir):
                 ],
             },
             {
-                "stepType": "transformation",
+                "stepType": STEP_TYPE,
                 "stepCategory": "relationship",
                 "hiveTableName": f"event_days_{mark}",
                 "sourceJoinTableList": [source_node(sf_dir, "events")],
@@ -748,7 +748,7 @@ def job_log(spark, sf_dir):
     """The size of each lookup, as the job logged it."""
     config = job_config(spark, sf_dir)
     run_job(spark, config, ARGUMENTS)
-    log = spark.table(config["jobLogTableName"]).where("msg LIKE 'Look up table%'")
+    log = spark.table(config["jobLogTableName"]).where("step = 'build lookups'")
     return log.select("level", "step", "msg", "job_name", "batch_id")
 
 
@@ -796,7 +796,7 @@ def fail_fast(spark, sf_dir):
     names = [f"{word}_{uuid.uuid4().hex}" for word in ("good", "bad", "late")]
     sqls = [CUSTOMER_STEP, CUSTOMER_STEP.replace("c_name", "no_such_column"), CUSTOMER_STEP]
     config = small_config(
-        spark, sf_dir, *(("transformation", n, q) for n, q in zip(names, sqls, strict=True))
+        spark, sf_dir, *((STEP_TYPE, n, q) for n, q in zip(names, sqls, strict=True))
     )
     try:
         run_job(spark, config, ARGUMENTS)

@@ -1 +1 @@
-"""Config-driven batch table transformations, expressed as Spark DataFrames and SQL."""
+"""Config-driven batch table jobs, expressed as Spark DataFrames and SQL."""

@@ -24,9 +24,16 @@ def json_nodes(df: DataFrame, column: str, path: str, output: str = "node") -> D
 
     An array gives its elements, bare values wrapped as ``{"value": x}``; a lone
     object gives itself; nothing or blank text gives no row; any other bare value is
-    an error.
+    an error.  So is a document that cannot be read: it is no JSON, or larger than a
+    variant may be.  The keys of an object come in alphabetical order.
     """
-    parsed = F.try_variant_get(F.try_parse_json(F.col(column)), _path(path), "variant")
+    document = F.try_parse_json(F.col(column))
+    size = F.octet_length(column).cast("string")
+    unread = F.raise_error(F.concat(F.lit("not JSON, or too large: bytes "), size))
+    # Inside the path's input, so that no document is passed over unread.
+    blank = F.col(column).isNull() | (F.trim(F.col(column)) == "")
+    read = F.when(~blank, F.coalesce(document, unread.cast("variant")))
+    parsed = F.try_variant_get(read, _path(path), "variant")
     # Columns of their own, so that each is computed once.
     found = df.withColumn("__found", parsed)
     found = found.withColumn("__kind", F.schema_of_variant("__found"))

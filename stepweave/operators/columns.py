@@ -39,7 +39,7 @@ def _derived(column: DerivedColumn, parameters: Mapping[str, str]) -> Column:
     if column.source == "param":
         name = column.source_expression
         if name not in OPEN_PARAMETERS or parameters.get(name) is None:
-            raise ColumnError(f'"{name}" not found from parameters')
+            raise ColumnError(f'there is no parameter "{name}"')
         expression = expression.replace(name, str(parameters[name]))
     return F.expr(expression).alias(column.alias)
 

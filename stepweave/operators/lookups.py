@@ -11,7 +11,7 @@ Two ways to decode, with the same results:
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark import StorageLevel
@@ -34,7 +34,9 @@ BROADCAST_BYTES = 128 * 1024 * 1024
 BROADCAST_SETTING = "spark.stepweave.lookup.broadcastBytes"
 INDEX_ENTRY_BYTES = 200
 # Cells that hold more than one in this many rows are hot; so there are fewer of them.
+# A hot cell is broadcast if it has at most this many bytes.
 HOT_SHARE = 20_000
+HOT_BYTES = 1024
 # Rows that need no join (null and hot cells) are spread over this many keys.
 SPREAD = 4096
 
@@ -53,6 +55,8 @@ class Lookup:
     rows: int
     size: int
     broadcast: bool
+    # The index, once it has been broadcast: every use shares it.
+    shared: list = field(default_factory=list, compare=False, repr=False)
 
 
 def build_lookup(
@@ -108,10 +112,12 @@ def lookup_from(
 
 def _index_udf(spark: SparkSession, lookup: Lookup):
     """Keys to one string of labels, from a broadcast index; whole Arrow batches."""
-    table = lookup.frame.toArrow().sort_by("key")
-    lookup.frame.unpersist()
-    keys, labels = (table.column(name).combine_chunks() for name in ("key", "label"))
-    shared = spark.sparkContext.broadcast({"keys": keys, "labels": labels})
+    if not lookup.shared:
+        table = lookup.frame.toArrow().sort_by("key")
+        lookup.frame.unpersist()
+        keys, labels = (table.column(name).combine_chunks() for name in ("key", "label"))
+        lookup.shared.append(spark.sparkContext.broadcast({"keys": keys, "labels": labels}))
+    shared = lookup.shared[0]
 
     def positions(index: dict, wanted: pa.Array) -> pa.Array:
         """Where each wanted key is in the index; null where it is not."""
@@ -196,16 +202,25 @@ def _decode_indexed(df, cell, lookup, split, separator, missing, output):
 
 def _decode_joined(df, cell, lookup, split, separator, missing, output):
     value = F.col(quoted(cell))
+    # Cells and rows come from one evaluation, also where another would give other cells.
+    path = scratch_path(df.sparkSession, "lookup/facts")
+    df.write.parquet(path)  # as they lie: no exchange
+    df = df.sparkSession.read.schema(df.schema).parquet(path)
     cells = df.where(value.isNotNull()).groupBy(value.alias("cell")).agg(F.count("*").alias("n"))
     miss = F.coalesce(F.lit(missing).cast("string"), F.lit("null"))
     keys = F.expr(codes.keys(lookup.kind, "__codes"))
 
     def decoded(some: DataFrame) -> DataFrame:
         # A cell without parts comes through with a null position and joins to ''.
+        codes_of = _with_codes(some, "cell", split).select(
+            "cell", F.posexplode_outer(keys).alias("position", "key")
+        )
+        # Codes that cannot be read have no partner and must not meet under the null key.
+        unread = codes_of.where("key is null").select("cell", "position")
+        found = codes_of.where("key is not null").join(lookup.frame, "key", "left")
         return (
-            _with_codes(some, "cell", split)
-            .select("cell", F.posexplode_outer(keys).alias("position", "key"))
-            .join(lookup.frame, "key", "left")
+            found.select("cell", "position", "label")
+            .unionByName(unread, allowMissingColumns=True)
             .withColumn("label", F.when(F.col("position").isNotNull(), F.coalesce("label", miss)))
             .groupBy("cell")
             .agg(F.sort_array(F.collect_list(F.struct("position", "label"))).alias("labels"))
@@ -215,16 +230,19 @@ def _decode_joined(df, cell, lookup, split, separator, missing, output):
     # A hot cell must not gather its rows in one task: the few cells above a fixed
     # share of the rows are broadcast, and their rows need no shuffle key.
     is_hot = F.col("n") * HOT_SHARE > cells.agg(F.sum("n")).scalar()
+    is_hot &= F.octet_length("cell") <= HOT_BYTES
     hot = decoded(cells.where(is_hot)).toDF("__hot", "__hot_text")
     marked = df.join(F.broadcast(hot), value == F.col("__hot"), "left")
-    # Rows that are settled must not meet under one key either.  Should a spread key
+    # Rows that are settled must not meet under one key either; the facts are files, in
+    # which a row has the same number whenever its task is run again.  Should a spread key
     # equal some cell, that changes nothing: their text does not come from this join.
     settled = F.col("__hot").isNotNull() | value.isNull()
     spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string")
     keyed = marked.withColumn("__cell", F.when(settled, spread).otherwise(value))
     rest = decoded(cells.where(~is_hot)).toDF("__cell", "__text")
     joined = keyed.join(rest, "__cell", "left")
-    text = F.when(value.isNotNull(), F.coalesce("__hot_text", "__text"))
+    lost = F.raise_error(F.concat(F.lit("no text was decoded for the cell "), value))
+    text = F.when(value.isNotNull(), F.coalesce("__hot_text", "__text", lost.cast("string")))
     return joined.select(*(F.col(quoted(c)) for c in df.columns), text.alias(output))
 
 

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepweave.config import WRITE_FILES_DEFAULT
-from stepweave.session import delete_folder, matching_folders, quoted, uncoalesced
+from stepweave.session import (
+    delete_folder,
+    matching_folders,
+    partition_names,
+    quoted,
+    uncoalesced,
+)
 
 # The effective-time key, and how a null partition value is written.
 EFFECTIVE_KEY = "business_effective_timestamp"
@@ -38,6 +44,15 @@ def _checked(df: DataFrame, partition_columns: Sequence[str]) -> DataFrame:
     return df.withColumn(EFFECTIVE_KEY, F.coalesce(EFFECTIVE_KEY, missing))
 
 
+def _check_layout(df: DataFrame, path: str, partition_columns: Sequence[str]) -> None:
+    """Before anything is written: another partition list would leave old rows behind."""
+    there = partition_names(df.sparkSession, path)
+    if there is not None and there != list(partition_columns):
+        raise PublishError(
+            f"{path} is partitioned by ({', '.join(there)}), not by ({', '.join(partition_columns)})"
+        )
+
+
 def _laid_out(df: DataFrame, partition_columns: Sequence[str], files: int) -> DataFrame:
     """Rows of a partition brought together, so that it gets few and large files.
 
@@ -66,7 +81,8 @@ def write_append(
     partition_columns: Sequence[str] = (),
     files: int = WRITE_FILES_DEFAULT,
 ) -> None:
-    """Append ``df`` to the dataset at ``path``."""
+    """Append ``df`` to the dataset at ``path``, which must have the same partitions."""
+    _check_layout(df, path, partition_columns)
     _write(_laid_out(df, partition_columns, files), path, "append", partition_columns)
 
 
@@ -87,6 +103,7 @@ def replace_by_key(
     are deleted afterwards; should that be interrupted, the re-run does it.
     """
     df = _checked(df, partition_columns)
+    _check_layout(df, path, partition_columns)
     if EFFECTIVE_KEY not in partition_columns:
         write_append(df, path, partition_columns, files)
         return

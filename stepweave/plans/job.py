@@ -20,7 +20,7 @@ def prepare(spark: SparkSession, job: Job, log: JobLog) -> list:
     """
     held = []
     for source in job.sources():
-        log.info("Generate source tables", f'For view "{source.view}", reading {source.path}')
+        log.info("read sources", f"{source.view} comes from {source.path}")
         df = load_source(spark, source, job)
         if source.cache:
             held.append(df)
@@ -29,7 +29,7 @@ def prepare(spark: SparkSession, job: Job, log: JobLog) -> list:
         lookup = build_lookup(spark, spec)
         if lookup is not None:
             lookups[spec.name] = lookup
-            log.info("Generate look up list", f'Look up table "{spec.name}" size: {lookup.rows}')
+            log.info("build lookups", f"{spec.name} has {lookup.rows} keys")
     register_sql_functions(spark, lookups.values())
     return held
 
@@ -50,7 +50,7 @@ def run_job(
         if job.steps:
             held = prepare(spark, job, log)
         else:
-            log.warn("Read stepList from config file", "stepList in config file is empty.")
+            log.warn("read the job", "it has no steps")
         for step in job.steps:
             child = job.table_name(step)
             tables.append(run_step(spark, job, step, log))
@@ -60,7 +60,7 @@ def run_job(
     except Exception as error:
         if isinstance(error, StepFailed):
             child = f"{child}, {error.stage}"
-        log.error(f"{parent}, {child}", f"ERROR:{error}")
+        log.error(f"{parent}, {child}", f"failed: {error}")
         raise
     finally:
         for df in held:

@@ -106,6 +106,20 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def partition_names(spark: SparkSession, path: str) -> list[str] | None:
+    """The partition columns of the first data file under ``path``; None without one."""
+    fs, target = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return None
+    root = fs.getFileStatus(target).getPath().toString()
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        *folders, name = files.next().getPath().toString()[len(root) :].strip("/").split("/")
+        if not any(part.startswith(("_", ".")) for part in (*folders, name)):
+            return [folder.split("=", 1)[0] for folder in folders if "=" in folder]
+    return None
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     """Delete one folder and what lies in it, and make sure it is gone."""
     fs, target = hadoop_path(spark, path)

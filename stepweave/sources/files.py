@@ -49,9 +49,13 @@ def read_header_map(spark: SparkSession, path: str, delimiter: str = ",") -> Dat
     ``delimiter`` is a regular expression and there is no quoting.  Empty fields at
     the end of a line are dropped, short lines lack keys, and more fields than the
     header is an error.  The header is the first row of the object's first split,
-    so a large object is still read in parallel.
+    so a large object is still read in parallel.  A path that holds more than one
+    object is an error: each would have a header of its own.
     """
-    lines = spark.read.text(path).withColumn("position", F.monotonically_increasing_id())
+    text = spark.read.text(path)
+    if len(text.inputFiles()) > 1:
+        raise ValueError(f"{path} holds more than one object; read them one by one")
+    lines = text.withColumn("position", F.monotonically_increasing_id())
     first = lines.select(_fields(F.col("value"), delimiter)).first()
     if first is None:
         raise ValueError(f"{path} has no header line")

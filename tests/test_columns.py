@@ -56,7 +56,7 @@ def test_parameters_are_substituted_everywhere(spark):
     name = DerivedColumn("'jobName'", "n", "param", "jobName")
     assert tuple(derive_columns(df, [column], [name], given).first()) == (84, 0, "nightly")
     for unknown in ("s3SecretKey", "other", "configFileFullPath"):
-        with pytest.raises(ColumnError, match="not found from parameters"):
+        with pytest.raises(ColumnError, match="there is no parameter"):
             derive_columns(df, [DerivedColumn("1", "x", "param", unknown)], [], given)
 
 
@@ -89,8 +89,10 @@ def test_json_nodes(spark):
         '{"value":[1]}',
     ]
     assert _nodes(spark, '{"l": ["{\\"a\\":1}"]}') == ['{"value":"{\\"a\\":1}"}']
-    for nothing in ('{"l": []}', '{"l": null}', '{"l": "  "}', "{}", "broken", None):
+    for nothing in ('{"l": []}', '{"l": null}', '{"l": "  "}', "{}", " ", None):
         assert _nodes(spark, nothing) == []
+    with pytest.raises(PySparkException, match="not JSON, or too large"):
+        _nodes(spark, "broken")
     for bad in ('{"l": 5}', '{"l": "text"}'):
         with pytest.raises(PySparkException, match="no JSON object or array"):
             _nodes(spark, bad)

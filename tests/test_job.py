@@ -3,7 +3,7 @@ import json
 import pytest
 
 from stepweave.__main__ import main
-from stepweave.config import ConfigError, parse_job, write_files
+from stepweave.config import STEP_TYPE, ConfigError, parse_job, write_files
 from stepweave.operators.joblog import JobLog, refresh_log_table
 from stepweave.operators.publish import EFFECTIVE_KEY as KEY
 from stepweave.plans.job import run_job, run_job_file
@@ -88,7 +88,7 @@ def test_bucket_and_folder_make_the_base_path(tmp_path):
 
 
 @pytest.mark.parametrize(
-    "change", [{"projectDB": None}, {"stepList": [{"stepType": "transformation"}]}, {"stepList": 5}]
+    "change", [{"projectDB": None}, {"stepList": [{"stepType": STEP_TYPE}]}, {"stepList": 5}]
 )
 def test_missing_settings_are_named(tmp_path, change):
     with pytest.raises(ConfigError):
@@ -179,7 +179,7 @@ def test_a_whole_job(spark, tmp_path, sf_dir):
     assert {r.run for r in rows.select("run").distinct().collect()} == {20210502120001}
     log = spark.table(config["jobLogTableName"])
     sizes = log.where("msg LIKE '%size: %'").select("msg").distinct().collect()
-    assert [r.msg for r in sizes] == ['Look up table "customers" size: 150']
+    assert [r.msg for r in sizes] == ["customers has 150 keys"]
     assert log.where("level <> 'INFO'").isEmpty()
 
 
@@ -236,7 +236,7 @@ def test_the_first_failure_stops_the_job(spark, tmp_path):
     errors = log.where("level = 'ERROR'").collect()
     assert len(errors) == 1
     assert errors[0].step == f"run_job, default.{steps[1]['hiveTableName']}, Generate output"
-    assert errors[0].msg.startswith("ERROR:")
+    assert errors[0].msg.startswith("failed: ")
 
 
 @pytest.mark.parametrize(
@@ -245,7 +245,7 @@ def test_the_first_failure_stops_the_job(spark, tmp_path):
         ({"sourceJoinSQL": "SELECT 1 AS v"}, KEY),
         ({"sourceJoinSQL": f"SELECT CAST(NULL AS BIGINT) AS {KEY}, 1 AS v"}, "is null"),
         ({"preDerivedColumnList": [{"colExpression": "p", "colSource": "param",
-          "colSourceExpression": "p", "colAlias": "x"}]}, "not found from parameters"),
+          "colSourceExpression": "p", "colAlias": "x"}]}, "there is no parameter"),
         ({"postDerivedColumnList": [{"colExpression": "lookupValueByNoList('t')",
           "colAlias": "x"}]}, "lookupValueByNoList"),
         ({"partitionColumnList": ["absent"]}, "absent"),

@@ -246,3 +246,21 @@ def test_the_indexed_form_does_not_shuffle_the_facts(spark):
     df = spark.createDataFrame([("1",)], "cell string")
     plan = L.lookup_by_id(df, "cell", _lookup(spark, "id", "indexed"))
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("limit", [10**9, 0])
+def test_cells_that_change_when_they_are_computed_again(spark, limit):
+    names = spark.range(50).selectExpr("id AS key", "concat('n', id) AS label")
+    lookup = L.lookup_from(names, "names", "id", limit)
+    facts = spark.range(500).withColumn("cell", (F.rand() * 50).cast("int").cast("string"))
+    found = L.lookup_by_id(facts, "cell", lookup, output="label")
+    assert found.where("label IS NULL OR label <> concat('n', cell)").isEmpty()
+
+
+def test_one_broadcast_serves_every_use(spark):
+    names = spark.range(5).selectExpr("id AS key", "'n' AS label")
+    lookup = L.lookup_from(names, "names", "id")
+    facts = spark.range(2).selectExpr("'1,2' AS cell")
+    for _ in range(3):
+        L.lookup_by_id(facts, "cell", lookup).collect()
+    assert len(lookup.shared) == 1

@@ -184,3 +184,13 @@ def test_repair_finds_partitions_written_elsewhere(spark, tmp_path):
     assert spark.table(table).count() == 1
     repair_partitions(spark, table)
     assert spark.table(table).count() == 2
+
+
+def test_another_partition_list_is_refused_before_anything_is_written(spark, tmp_path):
+    df = spark.range(3).selectExpr("id", "1L AS business_effective_timestamp", "'a' AS kind")
+    path = str(tmp_path / "t")
+    publish.replace_by_key(df, path, ["business_effective_timestamp"])
+    for columns in (["business_effective_timestamp", "kind"], []):
+        with pytest.raises(publish.PublishError, match="is partitioned by"):
+            publish.replace_by_key(df, path, columns)
+    assert spark.read.parquet(path).count() == 3

@@ -179,3 +179,10 @@ def test_header_map_of_an_object_in_many_splits(spark, tmp_path):
         assert sorted(int(m["a"]) for m in got) == list(range(3000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_header_maps_of_several_objects_are_refused(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.txt").write_text("x,y\n1,2\n")
+    with pytest.raises(ValueError, match="more than one object"):
+        files.read_header_map(spark, str(tmp_path))
