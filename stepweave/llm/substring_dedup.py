@@ -25,6 +25,7 @@ from stepweave.llm.common import (
     WindowHasher,
     byte_texts,
     in_pieces,
+    mixed,
     settled,
 )
 
@@ -52,6 +53,8 @@ _PACKET = (
 )
 _NAMES = ["bucket", "h1", "h2", "k1", "k2", "counts", "low", "high"]
 _KINDS = ["u8", "u2", "u2", "u8", "u4", "u2", "u2"]
+# Places go back to their texts in packets too, without hashes.
+_PLACES = "bucket int, k1 binary, k2 binary, counts binary, low binary, high binary"
 _FOUND = "k1 int, k2 long, positions array<int>"
 
 
@@ -149,7 +152,8 @@ def _packets(batch: pa.RecordBatch, found: list, buckets: int) -> pa.RecordBatch
     alone, settled_here = np.flatnonzero(~known), np.flatnonzero(known)
     deal(alone, of(alone), True, True)
     deal(witness, of(witness), True, False)
-    deal(settled_here, (k2[owners[settled_here]] % buckets).astype(np.int64), False, True)
+    home = _home(k1, k2, buckets)
+    deal(settled_here, home[owners[settled_here]], False, True)
     columns = zip(*rows, strict=True)
     kinds = [pa.int32()] + [pa.binary()] * 7
     return pa.RecordBatch.from_arrays(
@@ -157,24 +161,63 @@ def _packets(batch: pa.RecordBatch, found: list, buckets: int) -> pa.RecordBatch
     )
 
 
-def _repeated(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of packets in the order of their buckets, the places whose hash comes twice.
+def _home(k1: np.ndarray, k2: np.ndarray, buckets: int) -> np.ndarray:
+    """The bucket of each text; copies of one text have different ones."""
+    both = k2.astype(np.uint64) ^ (k1.astype(np.uint64) << np.uint64(32))
+    return (mixed(both) % np.uint64(buckets)).astype(np.int64)
 
-    One bucket is held at a time.
-    """
+
+def _by_bucket(batches: Iterable[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The packets of one bucket at a time, of packets in the order of their buckets."""
     bucket, held = None, []
     for batch in batches:
         for packet in zip(*(column.to_pylist() for column in batch.columns), strict=True):
             if packet[0] != bucket:
                 if held:
-                    yield _twice(held)
+                    yield held
                 bucket, held = packet[0], []
             held.append(packet[1:])
     if held:
-        yield _twice(held)
+        yield held
+
+
+def _repeated(buckets: int):
+    """Of packets in the order of their buckets, the places whose hash comes twice."""
 
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for packets in _by_bucket(batches):
+            yield _twice(packets, buckets)
 
-def _twice(packets: list[tuple]) -> pa.RecordBatch:
+    return compare
+
+
+def _gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text's places together, from packets in the order of their buckets."""
+    for packets in _by_bucket(batches):
+        k1, k2, counts, low, high = (
+            np.concatenate([np.frombuffer(packet[i], kind) for packet in packets])
+            for i, kind in enumerate(_KINDS[2:])
+        )
+        k1, k2 = np.repeat(k1, counts), np.repeat(k2, counts)
+        position = low.astype(np.int32) + (high.astype(np.int32) << 16)
+        order = np.lexsort((position, k2, k1))
+        k1, k2, position = k1[order], k2[order], position[order]
+        text = np.append(True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1]))
+        fresh = text | np.append(True, position[1:] != position[:-1])
+        k1, k2, position, text = (column[fresh] for column in (k1, k2, position, text))
+        first = np.flatnonzero(text)
+        offsets = pa.array(np.append(first, len(position)).astype(np.int32))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(k1[first].astype(np.int32)),
+                pa.array(k2[first].view(np.int64)),
+                pa.ListArray.from_arrays(offsets, pa.array(position)),
+            ],
+            ["k1", "k2", "positions"],
+        )
+
+
+def _twice(packets: list[tuple], buckets: int) -> pa.RecordBatch:
     places, keys, hashes = [], [], []
     texts = 0
     for packet in packets:
@@ -203,17 +246,26 @@ def _twice(packets: list[tuple]) -> pa.RecordBatch:
         places.append((owner[twice], position[twice]))
     owner, position = (np.concatenate(c) for c in zip(*places, strict=True))
     k1, k2 = (np.concatenate(c) for c in zip(*keys, strict=True))
-    order = np.argsort(owner, kind="stable")
-    owner, position = owner[order], position[order]
-    first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else owner
-    offsets = np.append(first, len(owner)).astype(np.int32)
+    home = _home(k1, k2, buckets)[owner]
+    order = np.lexsort((owner, home))
+    owner, position, home = owner[order], position[order], home[order]
+    rows = []
+    for bucket in np.unique(home):
+        start, stop = np.searchsorted(home, [bucket, bucket + 1])
+        text, at = owner[start:stop], position[start:stop]
+        first = np.flatnonzero(np.append(True, text[1:] != text[:-1]))
+        columns = (
+            k1[text[first]],
+            k2[text[first]],
+            np.diff(np.append(first, len(text))).astype(np.uint32),
+            (at & 0xFFFF).astype(np.uint16),
+            (at >> 16).astype(np.uint16),
+        )
+        rows.append((int(bucket), *(c.tobytes() for c in columns)))
+    kinds = [pa.int32()] + [pa.binary()] * 5
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array(k1[owner[first]].astype(np.int32)),
-            pa.array(k2[owner[first]].view(np.int64)),
-            pa.ListArray.from_arrays(pa.array(offsets), pa.array(position)),
-        ],
-        ["k1", "k2", "positions"],
+        [pa.array([row[i] for row in rows], kind) for i, kind in enumerate(kinds)],
+        ["bucket", "k1", "k2", "counts", "low", "high"],
     )
 
 
@@ -222,10 +274,9 @@ def _by_text(texts: DataFrame, find, window: int) -> DataFrame:
     buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packets = texts.mapInArrow(find(window, buckets), _PACKET)
     dealt = packets.repartition("bucket").sortWithinPartitions("bucket")
-    parts = dealt.mapInArrow(_repeated, _FOUND)
-    return settled(
-        parts.groupBy("k1", "k2").agg(F.flatten(F.collect_list("positions")).alias("positions"))
-    )
+    places = dealt.mapInArrow(_repeated(buckets), _PLACES)
+    home = places.repartition("bucket").sortWithinPartitions("bucket")
+    return settled(home.mapInArrow(_gathered, _FOUND))
 
 
 def _anchors(window: int, buckets: int):
