@@ -32,6 +32,8 @@ WRONG_SCRIPT = 50.0
 UNDETERMINED = "und"
 _SMOOTHING = 0.5
 _PIECE_CHARS = 1 << 20
+# Texts are taken out of an Arrow batch so many at a time.
+_TOGETHER = 4096
 
 # The first code points of ranges of one script, and the scripts.
 SCRIPT_RANGES = (
@@ -158,12 +160,24 @@ def _parts(text: str) -> list[str]:
     return [*parts, text[start:]]
 
 
-def _pieces(texts: Iterable[str | None]) -> Iterator[list[tuple[int, str]]]:
-    """Lists of (row, part), of bounded length together."""
-    parts = ((row, part) for row, text in enumerate(texts) for part in _parts(text or ""))
+def _pieces(texts: list[str | None]) -> Iterator[list[tuple[int, str]]]:
+    """Lists of (row, part), of bounded length together; the shortest texts come first.
+
+    So the texts of a list have much the same length, and take their steps together.
+    """
+    order = sorted(range(len(texts)), key=lambda row: len(texts[row] or ""))
+    parts = ((row, part) for row in order for part in _parts(texts[row] or ""))
     return in_pieces(parts, lambda part: len(part[1]) + 1, _PIECE_CHARS)
 
 
+def _slices(batches: Iterable) -> Iterator:
+    """Some rows of each batch at a time; memory that Arrow holds unused goes back."""
+    for batch in batches:
+        for start in range(0, len(batch), _TOGETHER):
+            yield batch.slice(start, _TOGETHER)
+        pa.default_memory_pool().release_unused()
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     """Scores by trigram bucket and language, and each language's scripts."""
@@ -183,7 +197,7 @@ def train(
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in _slices(batches):
             langs = batch["lang"].to_pylist()
             for piece in _pieces(batch["text"].to_pylist()):
                 # One label after the other: counts of a label are one array.
@@ -266,7 +280,10 @@ def label_languages(
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def label(column: pa.Array) -> pa.Array:
-        return pa.array(_labelled(column.to_pylist(), shared.value, penalty), _LABEL)
+        parts = [pa.array([], _LABEL)]
+        for part in _slices([column]):
+            parts.append(pa.array(_labelled(part.to_pylist(), shared.value, penalty), _LABEL))
+        return pa.concat_arrays(parts)
 
     found = F.arrow_udf(label, "pred string, score double, " + _SPANS)(docs[text])
     return docs.select("*", found.alias("__found")).select(
