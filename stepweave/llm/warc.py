@@ -41,6 +41,8 @@ DATE = "2000-01-01T00:00:00Z"
 
 #: A package is closed when its records exceed so many bytes.
 PACKAGE_BYTES = 32 << 20
+#: A task reads about so many packages, fewer where there are cores to spare.
+PACKAGES_A_TASK = 4
 
 RangeReader = Callable[[int, int], bytes]
 
@@ -367,7 +369,12 @@ def read_archives(packages: DataFrame, folder: str) -> DataFrame:
                     if held:
                         yield pa.RecordBatch.from_pylist(held, schema)
 
-    named = packages.select("name", "bytes").repartition("name")
+    # The list is short for what it stands for: a number of tasks that is stated is kept,
+    # where adaptive execution would put the whole list into one task.
+    count = packages.count()
+    cores = packages.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, -(-count // PACKAGES_A_TASK), min(count, cores))
+    named = packages.select("name", "bytes").repartition(tasks, "name")
     return named.mapInArrow(read, RECORD_SCHEMA)
 
 

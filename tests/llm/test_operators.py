@@ -451,7 +451,10 @@ def test_pages_are_archived_and_read_back(spark, tmp_path):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     folder = f"file://{tmp_path}/archives"
     packages = warc.write_archives(pages, folder, package_bytes=4)
-    found = warc.read_archives(packages, folder).collect()
+    records = warc.read_archives(packages, folder)
+    found = records.collect()
+    cores = spark.sparkContext.defaultParallelism
+    assert records.rdd.getNumPartitions() == min(packages.count(), cores) > 1
     kinds = sorted((r.ident, r.kind, r.refers_to) for r in found)
     assert kinds == [
         ("", "response", None),
