@@ -231,6 +231,43 @@ def test_copies_and_paraphrases_are_found_and_clean_texts_are_not(spark):
     assert decontamination.contaminated(docs, bench.where("item_id > 97")).isEmpty()
 
 
+@pytest.mark.parametrize("count", [50, 500, 2500])
+def test_leaks_like_brute_force_however_many_items(spark, count):
+    random = np.random.default_rng(count)
+    share = 1 / np.arange(1, 20_001)
+    share /= share.sum()
+
+    def words(n):
+        return [f"z{x}" for x in random.choice(20_000, n, p=share)]
+
+    items = [words(int(random.integers(25, 45))) for _ in range(count)]
+    told = random.choice(count, min(count, 250), replace=False).tolist()
+    texts = [[*words(33), *items[i], *words(int(random.integers(20, 60)))] for i in told]
+    texts += [words(120) for _ in range(30)]
+
+    def leaks(item, text):
+        item, text = [w.encode() for w in item], [w.encode() for w in text]
+        masks, tail = decontamination._masks(item), item[-8:]
+        copied = decontamination.common_subsequence(masks, len(item), text) / len(item)
+        answer = decontamination.common_subsequence(decontamination._masks(tail), 8, text) / 8
+        return copied >= 0.8 or copied >= 0.6 and answer >= 0.75
+
+    want = {(i, j) for i, j in enumerate(told)}
+    if count <= 500:  # the others are not likely, but count
+        sets = [collections.Counter(item) for item in items]
+        for i, text in enumerate(texts):
+            there = set(text)
+            for j, item in enumerate(items):
+                if sum(n for w, n in sets[j].items() if w in there) >= 0.6 * len(item):
+                    want |= {(i, j)} if leaks(item, text) else set()
+    docs = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = [(j, " ".join(item)) for j, item in enumerate(items)]
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    found = set(rows_of(decontamination.contaminated(docs, bench), "doc_id", "item_id"))
+    assert (want <= found) if count > 500 else (found == want)
+
+
 # --- 4 ---------------------------------------------------------------------------------
 
 
