@@ -268,6 +268,27 @@ def test_leaks_like_brute_force_however_many_items(spark, count):
     assert (want <= found) if count > 500 else (found == want)
 
 
+def test_long_items_are_found(spark):
+    random = np.random.default_rng(12)
+    some = [f"t{i}" for i in range(8000)]
+
+    def words(n):
+        return [some[i] for i in random.integers(0, 8000, n)]
+
+    sizes = [45, 130, 500, 2000, 7000]
+    items = [words(n) for n in sizes]
+    texts = [[*words(51), *item, *words(77)] for item in items]
+    # Of a copy every ninth word is another one; of the last text only half is there.
+    texts.append([*words(9), *("other" if i % 9 == 4 else w for i, w in enumerate(items[3]))])
+    texts += [items[3][:1000], *(words(3000) for _ in range(4))]
+    docs = [(i, " ".join(text)) for i, text in enumerate(texts)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = [(i, " ".join(item)) for i, item in enumerate(items)]
+    bench = spark.createDataFrame(bench, "item_id long, text string")
+    found = rows_of(decontamination.contaminated(docs, bench), "doc_id", "item_id")
+    assert found == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (5, 3)]
+
+
 # --- 4 ---------------------------------------------------------------------------------
 
 
