@@ -289,6 +289,15 @@ def test_long_items_are_found(spark):
     assert found == [(0, 0), (1, 1), (2, 2), (3, 3), (4, 4), (5, 3)]
 
 
+def test_repeated_passages_are_one_row_of_the_sample(spark):
+    text = " ".join(f"w{i}" for i in range(50))
+    docs = spark.createDataFrame([(text,)] * 300 + [("x y",), (None,)], "text string")
+    found = decontamination.sampled(docs, 1).collect()
+    assert sorted((len(r.terms), round(r.scale**2)) for r in found) == [
+        (2, 1), (10, 300), (30, 300), (40, 300)
+    ]
+
+
 # --- 4 ---------------------------------------------------------------------------------
 
 
