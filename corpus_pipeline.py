@@ -15,6 +15,8 @@ from stepweave.session import scratch_path, ship_package
 
 #: A document whose best language has less than this share of its letters is rejected.
 LEAST_LANGUAGE = 0.25
+#: Documents of at least this similarity are near copies here.
+NEAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +44,11 @@ def common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least identifier stays."""
-    found = minhash_dedup.near_duplicates(docs)
+    """Of each group of near copies the document with the least identifier stays.
+
+    Copies have at least ``NEAR_PERCENT`` of their windows of five words in common.
+    """
+    found = minhash_dedup.near_duplicates(docs, percent=NEAR_PERCENT)
     return _without(docs, found.where(~F.col("kept")).select("doc_id"))
 
 

@@ -31,6 +31,23 @@ def test_stages_take_empty_tables(spark, sf_dir, stage):
     assert stage[1](spark, docs, sf_dir).isEmpty()
 
 
+def test_near_copies_have_a_similarity_of_four_fifths(spark, sf_dir):
+    def copy(group, changed):
+        words = [f"g{group}w{i}" for i in range(200)]
+        for i in range(changed):
+            words[20 + 10 * i] = f"other{i}"
+        return words
+
+    texts = [copy(group, n) for group, changed in enumerate([3, 4, 5]) for n in (0, changed)]
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    alike = [len(a & b) / len(a | b) for a, b in zip(sets[::2], sets[1::2], strict=True)]
+    assert alike[0] > 0.85 > alike[1] > 0.8 > alike[2] > 0.75
+    rows = [(i, " ".join(t), "en", "s", len(" ".join(t))) for i, t in enumerate(texts)]
+    schema = spark.read.parquet(f"{sf_dir}/documents.parquet").schema
+    left = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, schema), sf_dir)
+    assert sorted(r.doc_id for r in left.collect()) == [0, 2, 4, 5]
+
+
 @pytest.mark.parametrize("name", ORACLES)
 def test_queries_like_their_sql(spark, sf_dir, name):
     found = QUERIES[name](spark, sf_dir).toPandas()
