@@ -13,6 +13,8 @@ from stepweave.session import shared_folder
 
 # Fixed value: the characters that separate words, as a pattern for Spark.
 SPACES = r"[\x20\x09-\x0D]"
+# The same characters; SQL has no escape for some of them, so they are not written there.
+EDGES = " \t\n\v\f\r"
 # Identifiers are broadcast up to this many; beyond it they are joined.
 BROADCAST_ROWS = 250_000
 # Texts are hashed in pieces of about this many bytes.

@@ -10,17 +10,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stepweave.llm.common import EDGES
+
 # A line in more than one in this many lines is hot; so there are fewer of them, and
 # they can be broadcast: 16 bytes each.
 HOT_SHARE = 20_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_EDGES = "' \\t\\n\\u000B\\f\\r'"
 
 
 def line_key(line: Column) -> Column:
     """A line without white space at its ends, A-Z in lower case."""
-    edges = F.expr(_EDGES)
-    return F.translate(F.btrim(line, edges), _UPPER, _UPPER.lower())
+    return F.translate(F.btrim(line, F.lit(EDGES)), _UPPER, _UPPER.lower())
 
 
 def _hashed(line: Column) -> Column:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepweave.llm.common import SPACES, settled
+from stepweave.llm.common import EDGES, SPACES, settled
 from stepweave.session import literal
 
 #: Weights of the sources in the order of their names, repeating.
@@ -29,7 +29,7 @@ _HEX_DIGITS = 13
 
 def word_count(text: Column) -> Column:
     """Words of a text; 0 for null."""
-    inner = F.btrim(text, F.expr(r"' \t\n\u000B\f\r'"))
+    inner = F.btrim(text, F.lit(EDGES))
     words = F.size(F.split(inner, SPACES + "+"))
     return F.when(F.length(inner) > 0, words).otherwise(0)
 

@@ -474,6 +474,13 @@ def test_mix_comes_near_its_targets(spark):
         mixing.mix_sources(docs.withColumn("Mix_Size", F.lit(1)))
 
 
+def test_words_with_the_letter_f_or_form_feeds_at_the_ends(spark):
+    texts = ["f a b f", "f", "ff", "\fa b\f", "\f", "\v x\r\ff\n", "if of", "", None, "\\f \\"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    found = rows_of(df.select("id", mixing.word_count(F.col("text")).alias("n")), "id", "n")
+    assert found == [(i, len((t or "").split())) for i, t in enumerate(texts)]
+
+
 # --- 8 ---------------------------------------------------------------------------------
 
 
@@ -568,6 +575,27 @@ def test_lines_like_brute_force(spark, monkeypatch, hot):
     assert line_dedup.drop_common_lines(empty_documents(spark)).isEmpty()
 
 
+def test_lines_with_the_letter_f_or_form_feeds_at_the_ends(spark):
+    lines = ["{}rom x", "end o{}", "{}", "sta{}{}", "sta", "line\f", "\fline", "\vu000B", "\\f"]
+    texts = [
+        "\n".join(line.replace("{}", "Ff"[n % 2]) for line in lines[n % 3 :: 1 + n % 2])
+        for n in range(14)
+    ]
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+
+    def key(line):
+        return line.strip(" \t\n\v\f\r").lower()
+
+    counts = collections.Counter(k for t in texts for k in {key(x) for x in t.split("\n")})
+    assert counts["f"] >= 8 > min(counts.values())
+    want = [
+        (n, "\n".join(x for x in t.split("\n") if not (k := key(x)) or counts[k] < 8))
+        for n, t in enumerate(texts)
+    ]
+    found = line_dedup.drop_common_lines(docs, least_documents=8)
+    assert rows_of(found, "doc_id", "text") == sorted(want, key=repr)
+
+
 # --- 10 --------------------------------------------------------------------------------
 
 
