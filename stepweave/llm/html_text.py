@@ -3,8 +3,10 @@
 Every DOM node gets its characters per tag, adjusted for the share of link text; a
 node's density sum adds its children's densities.  The node with the greatest sum is
 the content; the least density on its path to the body is the threshold that other
-parts must reach.  What names itself as furniture (menus, notices, forms and so on)
-is left out before and after.
+parts must reach.  Where the content is in an article, the article is whole and the
+threshold is the least density from it to the body.  What names itself as furniture
+(menus, notices, forms and so on) is left out before and after; a class or identifier
+does not name what holds the page's main text.
 """
 
 from __future__ import annotations
@@ -58,8 +60,12 @@ _TOKEN = re.compile(
     re.S | re.X,
 )
 _MARKS = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
+_VALUES = re.compile(r"""=\s*(?:"[^"]*"|'[^']*'|[^\s>]+)""")
+_HIDDEN_NAME = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)", re.I)
 _HIDDEN = re.compile(
-    r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I
+    r"""(?:^|\s)aria-hidden\s*=\s*["']?true
+    | (?:^|\s)style\s*=\s*(?:"[^"]*?|'[^']*?|[^\s"']*?)display\s*:\s*none""",
+    re.I | re.X,
 )
 _WORDS = re.compile(r"[a-z]+")
 # The logarithm's base is kept above 1, which it would be on a page without links.
@@ -71,9 +77,11 @@ class _Page:
 
     def __init__(self, source: str):
         self.tags, self.parents, self.left_out = ["#root"], [0], [False]
+        self._named: set[int] = set()  # nodes that a class or identifier calls furniture
         self.runs: list[tuple[int, int, str]] = []  # node, block, text
         self._open = [0]
         self._read(source)
+        self._leave_out_named()
 
     def _read(self, source: str) -> None:
         at, block, n = 0, 0, len(source)
@@ -110,7 +118,10 @@ class _Page:
         parent = stack[-1]
         self.tags.append(tag)
         self.parents.append(parent)
-        self.left_out.append(self.left_out[parent] or self._is_furniture(tag, attributes, parent))
+        furniture = self._is_furniture(tag, attributes, parent)
+        self.left_out.append(self.left_out[parent] or furniture)
+        if not furniture and tag not in HOLDERS and self._has_furniture_name(attributes):
+            self._named.add(len(self.tags) - 1)
         if tag not in VOID:
             stack.append(len(self.tags) - 1)
 
@@ -140,16 +151,44 @@ class _Page:
             return tag != "header" or not self._in_article(parent)
         if not attributes or attributes.isspace():
             return False
-        if _HIDDEN.search(attributes):
+        if _HIDDEN.search(attributes) or _HIDDEN_NAME.search(_VALUES.sub("=", attributes)):
             return True
-        for name, value in _MARKS.findall(attributes):
-            words = _WORDS.findall(value.lower())
-            if name.lower() == "role":
-                if not FURNITURE_ROLES.isdisjoint(words):
-                    return True
-            elif not FURNITURE_WORDS.isdisjoint(words):
-                return True
-        return False
+        return any(
+            name.lower() == "role" and not FURNITURE_ROLES.isdisjoint(_WORDS.findall(value.lower()))
+            for name, value in _MARKS.findall(attributes)
+        )
+
+    def _has_furniture_name(self, attributes: str) -> bool:
+        return any(
+            name.lower() != "role" and not FURNITURE_WORDS.isdisjoint(_WORDS.findall(value.lower()))
+            for name, value in _MARKS.findall(attributes)
+        )
+
+    def _leave_out_named(self) -> None:
+        """Leave out what has furniture's name, but never what holds the main text.
+
+        That is a node around a main or article element, or, on a page that has none
+        elsewhere, one with half or more of the text outside of links.
+        """
+        if not self._named:
+            return
+        n = len(self.tags)
+        holders, plain, in_link = [0] * n, [0] * n, [False] * n
+        for i in range(1, n):
+            in_link[i] = in_link[self.parents[i]] or self.tags[i] == "a"
+            holders[i] = self.tags[i] in ("main", "article") and not self.left_out[i]
+        for node, _, text in self.runs:
+            if not (in_link[node] or self.left_out[node]):
+                plain[node] += len("".join(text.split()))
+        for i in range(n - 1, 0, -1):
+            holders[self.parents[i]] += holders[i]
+            plain[self.parents[i]] += plain[i]
+        for i in range(1, n):
+            up = self.parents[i]
+            named = i in self._named and not holders[i]
+            if named and not holders[0] and 2 * plain[i] >= plain[0] > 0:
+                named = False
+            self.left_out[i] = self.left_out[i] or self.left_out[up] or named
 
     def _in_article(self, node: int) -> bool:
         while node and self.tags[node] != "article":
@@ -205,12 +244,11 @@ class _Page:
         while path[-1]:
             path.append(self.parents[path[-1]])
         article = next((i for i in path if self.tags[i] == "article"), None)
-        if article is not None:  # the page itself says where it ends
-            roots = {article}
-        else:
-            least = min(density[i] for i in path)
-            body = next((i for i in path if self.tags[i] == "main"), 0)
-            roots = {best} | self._others(density, least, body, set(path))
+        if article is not None:  # it is whole, and others may stand beside it
+            best, path = article, path[path.index(article) :]
+        least = min(density[i] for i in path)
+        body = next((i for i in path if self.tags[i] == "main"), 0)
+        roots = {best} | self._others(density, least, body, set(path))
         inside = [False] * n
         for i in range(n):
             inside[i] = not self.left_out[i] and (i in roots or (i > 0 and inside[self.parents[i]]))

@@ -112,6 +112,30 @@ def test_density_finds_the_content_without_an_article_element():
     assert html_text.main_text(page) == f"{prose.strip()}\n\n{prose.strip()}"
 
 
+def test_all_articles_of_a_page_and_what_stands_beside_them():
+    prose = "Some words of prose that go on for a while and then stop."
+    parts = [[f"{a} {b} {prose}" for b in range(10)] for a in range(3)]
+    blocks = "".join(f"<article>{''.join(f'<p>{p}</p>' for p in part)}</article>" for part in parts)
+    nav = "<nav><a href='/'>home</a></nav><div class='share'><a href='/s'>share</a></div>"
+    page = f"<body>{nav}<main><h1>The headline of the page, long</h1>{blocks}</main></body>"
+    assert html_text.main_text(page).split("\n\n") == [
+        "The headline of the page, long", *(p for part in parts for p in part)
+    ]
+
+
+@pytest.mark.parametrize(
+    "wrap",
+    ["class='content-sidebar-wrap'", "class='content has-sidebar'", "id='form-guide'",
+     "title='a hidden gem'", "data-note='use display: none'"],
+)
+@pytest.mark.parametrize("inner", ["div", "article", "main"])
+def test_names_and_values_do_not_hide_the_main_text(wrap, inner):
+    prose = "Some words of prose that go on for a while and then stop. " * 4
+    page = f"<div {wrap}><{inner}><p>{prose}</p></{inner}><div class='sidebar'>side</div></div>"
+    assert html_text.main_text(f"<body>{page}</body>") == prose.strip()
+    assert html_text.main_text(f"<p>{prose}<div style='display:none'>x</div><div hidden>y</div>") == prose.strip()
+
+
 @pytest.mark.parametrize("page", [None, "", "   ", "<", "<p", "</p></b>", "<script>x", "<a b='"])
 def test_broken_pages_do_not_crash(page):
     assert html_text.main_text(page).strip("<pa b='") == ""
