@@ -151,6 +151,50 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(common.key)::BIGINT AS n_dropp
 FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id
 """
 
+
+
+def _op12_round(number: int) -> str:
+    """Assignments ``a<number>`` to book ``number``, and the book after it."""
+    return f"""
+a{number} AS MATERIALIZED (
+    SELECT vec_id, p, x, min(list_sum(list_transform(range(1, len(x) + 1),
+        lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT * 64 + entry) AS best
+    FROM parts JOIN book{number} USING (p) GROUP BY vec_id, p, x
+), s{number} AS (
+    SELECT p, entry, list(m ORDER BY i) AS c FROM (
+        SELECT p, best % 64 AS entry, i, floor_mean(sum(x[i])::BIGINT, count(*)) AS m
+        FROM a{number}, range(1, (SELECT max(len(x)) FROM parts) + 1) t(i) GROUP BY ALL) GROUP BY p, entry
+), book{number + 1} AS MATERIALIZED (
+    SELECT p, entry, coalesce(s{number}.c, book{number}.c) AS c
+    FROM book{number} LEFT JOIN s{number} USING (p, entry)
+)""".replace("floor_mean(sum(x[i])::BIGINT, count(*))",
+             "((sum(x[i])::BIGINT - ((sum(x[i])::BIGINT % count(*)) + count(*)) % count(*)) // count(*))")
+
+
+OP12 = f"""
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT vec_id, p, list_slice(v, p * (len(v) // 16) + 1, (p + 1) * (len(v) // 16)) AS x
+    FROM kept, range(16) t(p)
+), book0 AS MATERIALIZED (
+    SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS entry, x AS c
+    FROM parts QUALIFY row_number() OVER (PARTITION BY p ORDER BY vec_id) <= 64
+),{_op12_round(0)},{_op12_round(1)},{_op12_round(2)},
+codes AS (
+    SELECT vec_id, string_agg(format('{{:02x}}', best % 64), '' ORDER BY p) AS code,
+        sum(best // 64)::BIGINT AS error FROM a2 GROUP BY vec_id
+), books AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, entry)) AS codebooks_sha256
+    FROM book2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+    codebooks_sha256
+FROM kept JOIN codes USING (vec_id), books
+"""
+
 ORACLES = {
     "op2_substring_dedup": OP2,
     "op5_embedding_dedup": OP5,
@@ -158,4 +202,5 @@ ORACLES = {
     "op7_mixing": OP7,
     "op8_warc": OP8,
     "op9_line_dedup": OP9,
+    "op12_vector_codes": OP12,
 }

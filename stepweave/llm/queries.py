@@ -17,6 +17,7 @@ from stepweave.llm import (
     minhash_dedup,
     mixing,
     substring_dedup,
+    vector_codes,
     warc,
 )
 from stepweave.llm.common import fold
@@ -117,6 +118,13 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score_texts(docs, learn=fold("doc_id", SCORE_FOLDS) != 0)
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors."""
+    coded, books = vector_codes.compress_vectors(_read(spark, sf_dir, "embeddings"))
+    digest = F.lit(vector_codes.codebooks_digest(books)).alias("codebooks_sha256")
+    return coded.select("vec_id", "code", "error", "label_error", digest)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the stages of the corpus pipeline keep."""
     import corpus_pipeline
@@ -137,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_line_dedup,
         op10_lm_scoring,
+        op12_vector_codes,
         pipeline,
     )
 }
