@@ -16,6 +16,7 @@ from stepweave.llm import (
     line_dedup,
     minhash_dedup,
     mixing,
+    quality,
     substring_dedup,
     vector_codes,
     warc,
@@ -26,6 +27,7 @@ from stepweave.session import ship_package
 #: Parts of the documents that are held out, by identifier.
 LANGUAGE_FOLDS = 5
 SCORE_FOLDS = 10
+QUALITY_FOLDS, QUALITY_HELD_OUT = 3, 1
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -125,6 +127,18 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", digest)
 
 
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document, learned from two of three."""
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    # A null identifier is in no fold.
+    part = F.crc32(F.col("doc_id").cast("string").cast("binary")) % QUALITY_FOLDS
+    held_out = F.coalesce(part == QUALITY_HELD_OUT, F.lit(False))
+    labels = _read(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~held_out), learn=~held_out)
+    scored = quality.score_quality(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that the stages of the corpus pipeline keep."""
     import corpus_pipeline
@@ -146,6 +160,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_line_dedup,
         op10_lm_scoring,
         op12_vector_codes,
+        op13_quality_classifier,
         pipeline,
     )
 }
