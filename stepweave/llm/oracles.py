@@ -153,6 +153,37 @@ FROM keyed LEFT JOIN common USING (key) GROUP BY doc_id
 
 
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+OP11 = f"""
+WITH docs AS (
+    SELECT doc_id, {_TERMS} AS terms FROM documents
+), words AS (
+    SELECT doc_id, term, count(*) AS tf
+    FROM (SELECT doc_id, unnest(terms) AS term FROM docs) GROUP BY ALL
+), totals AS (
+    SELECT count(*) AS n_docs, sum(len(terms)) AS n_terms FROM docs WHERE len(terms) > 0
+), lengths AS (
+    SELECT doc_id, (10 + (90 * len(terms) * n_docs) // n_terms)::BIGINT AS m
+    FROM docs, totals WHERE len(terms) > 0
+), asked AS (
+    SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), weights AS (
+    SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+    FROM words, totals GROUP BY term, n_docs
+), scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM asked JOIN words USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id)
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank,
+    doc_id, score
+FROM scored WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 10
+"""
+
+
 def _op12_round(number: int) -> str:
     """Assignments ``a<number>`` to book ``number``, and the book after it."""
     return f"""
@@ -202,5 +233,6 @@ ORACLES = {
     "op7_mixing": OP7,
     "op8_warc": OP8,
     "op9_line_dedup": OP9,
+    "op11_lexical_search": OP11,
     "op12_vector_codes": OP12,
 }

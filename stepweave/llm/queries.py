@@ -13,6 +13,7 @@ from stepweave.llm import (
     embedding_dedup,
     html_text,
     language_id,
+    lexical_search,
     line_dedup,
     minhash_dedup,
     mixing,
@@ -120,6 +121,12 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_mixing.score_texts(docs, learn=fold("doc_id", SCORE_FOLDS) != 0)
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best documents for every benchmark item."""
+    index = lexical_search.build_index(_read(spark, sf_dir, "documents"))
+    return lexical_search.search(index, _read(spark, sf_dir, "benchmark"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Codes of all vectors."""
     coded, books = vector_codes.compress_vectors(_read(spark, sf_dir, "embeddings"))
@@ -159,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_line_dedup,
         op10_lm_scoring,
+        op11_lexical_search,
         op12_vector_codes,
         op13_quality_classifier,
         pipeline,
