@@ -29,6 +29,20 @@ SELECT coalesce(s.s_name, 'NA') || ';' || coalesce(p.s_name, 'NA') AS names,
 {LINES}
 JOIN orders ON l_orderkey = o_orderkey"""
 
+LOOKUP_ORDER_BY = f"""
+SELECT l_orderkey, l_linenumber, l_suppkey {LINES}
+ORDER BY coalesce(s.s_name, 'NA') || ';' || coalesce(p.s_name, 'NA') DESC, l_orderkey, l_linenumber
+LIMIT 500"""
+
+LOOKUP_EXPLODE = f"""
+SELECT l_orderkey, l_linenumber, 0 AS position, coalesce(s.s_name, 'NA') AS name {LINES}
+UNION ALL SELECT l_orderkey, l_linenumber, 1 AS position, coalesce(p.s_name, 'NA') AS name {LINES}"""
+
+LOOKUP_JOIN_ON = f"""
+SELECT l_orderkey, l_linenumber, s_suppkey, o_orderpriority FROM lineitem
+JOIN supplier ON l_suppkey = s_suppkey JOIN orders ON l_orderkey = o_orderkey
+WHERE {PRIORITY} <> 'low'"""
+
 EDGE_CASES = f"""
 SELECT l_orderkey, l_linenumber,
        CASE l_linenumber WHEN 1 THEN NULL WHEN 2 THEN 'NA' WHEN 3 THEN ''
@@ -147,13 +161,24 @@ SELECT event_id, 'null_string', unnest([CAST(event_id AS VARCHAR), event_type])
 FROM events WHERE event_type = 'purchase'""",
     "lookup_by_id": LOOKUP_BY_ID,
     "lookup_by_id_joined": LOOKUP_BY_ID,
+    "lookup_by_id_sharded": LOOKUP_BY_ID,
     "lookup_by_user": LOOKUP_BY_USER,
     "lookup_by_user_joined": LOOKUP_BY_USER,
+    "lookup_by_user_sharded": LOOKUP_BY_USER,
     "lookup_null_no_match": LOOKUP_BY_ID.replace("'NA'", "'null'"),
     "lookup_sql_functions": LOOKUP_SQL,
     "lookup_sql_functions_joined": LOOKUP_SQL,
     "lookup_edge_cases": EDGE_CASES,
     "lookup_edge_cases_joined": EDGE_CASES,
+    "lookup_edge_cases_sharded": EDGE_CASES,
+    "lookup_sql_edge_cases": EDGE_CASES,
+    "lookup_sql_edge_cases_joined": EDGE_CASES,
+    "lookup_sql_order_by": LOOKUP_ORDER_BY,
+    "lookup_sql_order_by_joined": LOOKUP_ORDER_BY,
+    "lookup_sql_explode": LOOKUP_EXPLODE,
+    "lookup_sql_explode_joined": LOOKUP_EXPLODE,
+    "lookup_sql_join_on": LOOKUP_JOIN_ON,
+    "lookup_sql_join_on_joined": LOOKUP_JOIN_ON,
     "lookup_wrong_kind": """
 SELECT l_orderkey, l_linenumber, 'NA;NA' AS by_id, 'NA' AS by_user FROM lineitem""",
     "lookup_build": """

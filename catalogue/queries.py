@@ -27,7 +27,7 @@ from stepweave.sources import files, parquet
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-JOIN_ONLY = -1  # a broadcast limit that no lookup meets
+LARGE = -1  # a broadcast limit that no lookup meets
 
 
 def query(function: Query) -> Query:
@@ -356,21 +356,21 @@ def json_nodes_query(spark, sf_dir):
 # Lookups
 
 
-def supplier_lookup(spark, sf_dir, limit=None):
+def supplier_lookup(spark, sf_dir, limit=None, way=""):
     spec = LookupSpec(
         "suppliers", "id", f"{sf_dir}/supplier.parquet", "SELECT s_suppkey, s_name FROM suppliers"
     )
-    return L.build_lookup(spark, spec, limit)
+    return L.build_lookup(spark, spec, limit, way)
 
 
-def priority_lookup(spark, sf_dir, limit=None):
+def priority_lookup(spark, sf_dir, limit=None, way=""):
     spec = LookupSpec(
         "priorities",
         "User",
         f"{sf_dir}/orders.parquet",
         "SELECT o_orderpriority, lower(substr(o_orderpriority, 3)) FROM priorities",
     )
-    return L.build_lookup(spark, spec, limit)
+    return L.build_lookup(spark, spec, limit, way)
 
 
 def line_codes(spark, sf_dir):
@@ -392,7 +392,13 @@ def lookup_by_id(spark, sf_dir):
 
 @query
 def lookup_by_id_joined(spark, sf_dir):
-    lookup = supplier_lookup(spark, sf_dir, JOIN_ONLY)
+    lookup = supplier_lookup(spark, sf_dir, way="joined")
+    return L.lookup_by_id(line_codes(spark, sf_dir), "codes", lookup, ",", ";", "NA", "names")
+
+
+@query
+def lookup_by_id_sharded(spark, sf_dir):
+    lookup = supplier_lookup(spark, sf_dir, LARGE)
     return L.lookup_by_id(line_codes(spark, sf_dir), "codes", lookup, ",", ";", "NA", "names")
 
 
@@ -404,7 +410,13 @@ def lookup_by_user(spark, sf_dir):
 
 @query
 def lookup_by_user_joined(spark, sf_dir):
-    lookup = priority_lookup(spark, sf_dir, JOIN_ONLY)
+    lookup = priority_lookup(spark, sf_dir, way="joined")
+    return L.lookup_by_user(order_codes(spark, sf_dir), "codes", lookup, r"\|", "+", "?", "labels")
+
+
+@query
+def lookup_by_user_sharded(spark, sf_dir):
+    lookup = priority_lookup(spark, sf_dir, LARGE)
     return L.lookup_by_user(order_codes(spark, sf_dir), "codes", lookup, r"\|", "+", "?", "labels")
 
 
@@ -443,7 +455,54 @@ def lookup_sql_functions(spark, sf_dir):
 
 @query
 def lookup_sql_functions_joined(spark, sf_dir):
-    return by_sql(spark, sf_dir, JOIN_ONLY)
+    return by_sql(spark, sf_dir, LARGE)
+
+
+def in_clause(name: str, sql: str):
+    """Queries that call a lookup function in a clause, below and above the limit."""
+
+    def below(spark, sf_dir):
+        return asked(spark, sf_dir, None)
+
+    def above(spark, sf_dir):
+        return asked(spark, sf_dir, LARGE)
+
+    def asked(spark, sf_dir, limit):
+        lookups = (f(spark, sf_dir, limit) for f in (supplier_lookup, priority_lookup))
+        L.register_sql_functions(spark, lookups)
+        views(spark, sf_dir, "lineitem", "orders", "supplier")
+        edge_codes(spark, sf_dir).createOrReplaceTempView("edge_codes")
+        return spark.sql(sql)
+
+    below.__name__, above.__name__ = name, f"{name}_joined"
+    query(below)
+    query(above)
+
+
+in_clause(
+    "lookup_sql_order_by",
+    "SELECT l_orderkey, l_linenumber, l_suppkey FROM lineitem ORDER BY "
+    "lookupValueByIdList('suppliers', concat_ws(',', l_suppkey, l_partkey), ',', ';', 'NA') DESC, "
+    "l_orderkey, l_linenumber LIMIT 500",
+)
+in_clause(
+    "lookup_sql_explode",
+    "SELECT l_orderkey, l_linenumber, position, name FROM lineitem LATERAL VIEW posexplode(split("
+    "lookupValueByIdList('suppliers', concat_ws(',', l_suppkey, l_partkey), ',', ';', 'NA'), ';'"
+    ")) AS position, name",
+)
+in_clause(
+    "lookup_sql_join_on",
+    "SELECT l_orderkey, l_linenumber, s_suppkey, o_orderpriority FROM lineitem JOIN supplier "
+    "ON lookupValueByIdList('suppliers', l_suppkey, ',', ';', 'NA') = s_name JOIN orders "
+    "ON l_orderkey = o_orderkey AND "
+    "lookupValueByUserList('priorities', o_orderpriority, ',', ';', '?') <> 'low'",
+)
+in_clause(
+    "lookup_sql_edge_cases",
+    "SELECT l_orderkey, l_linenumber, "
+    "lookupValueByIdList('suppliers', codes, ',', ';', 'NA') AS names FROM edge_codes",
+)
 
 
 def edge_codes(spark, sf_dir):
@@ -467,7 +526,14 @@ def lookup_edge_cases(spark, sf_dir):
 
 @query
 def lookup_edge_cases_joined(spark, sf_dir):
-    lookup = supplier_lookup(spark, sf_dir, JOIN_ONLY)
+    lookup = supplier_lookup(spark, sf_dir, way="joined")
+    df = L.lookup_by_id(edge_codes(spark, sf_dir), "codes", lookup, ",", ";", "NA", "names")
+    return df.drop("codes")
+
+
+@query
+def lookup_edge_cases_sharded(spark, sf_dir):
+    lookup = supplier_lookup(spark, sf_dir, LARGE)
     df = L.lookup_by_id(edge_codes(spark, sf_dir), "codes", lookup, ",", ";", "NA", "names")
     return df.drop("codes")
 

@@ -1,27 +1,43 @@
 """Lookups: build them, decode delimited cells with them, call them from SQL.
 
-Two ways to decode, with the same results:
+Three ways to decode, with the same results:
 
-* *indexed* - a lookup of proven small size is broadcast and each cell is decoded
-  where it lies.  The facts are not shuffled at all.
-* *joined* - a lookup of any size.  Distinct cells are taken apart, joined and put
-  together again, then joined back to the facts.
+* *broadcast* - a lookup of proven small size is broadcast and each cell is decoded where
+  it lies.  The facts are not shuffled at all.
+* *sharded* - a larger one is written as sorted files to the shared folder, once; tasks
+  open the files that their rows ask for.  The facts are not shuffled either.
+* *joined* - where Python cannot open the shared folder, distinct cells are taken apart,
+  joined and put together again, then joined back to the facts.
+
+All lookups of a session together are broadcast up to one limit.
 """
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stepweave.config import LookupSpec
+from stepweave.functions import cells as arrow_cells
 from stepweave.functions import codes
-from stepweave.session import literal, quoted, scratch_path
+from stepweave.operators.lookup_index import MemoryIndex, build_shards, reachable
+from stepweave.session import (
+    drop_scratch,
+    literal,
+    quoted,
+    scratch_path,
+    shared_folder,
+    ship_package,
+)
 from stepweave.sources.parquet import materialize, register_view, scan_parquet_merged
 
 # The two kinds of lookup, with the type of their keys.
@@ -29,15 +45,15 @@ KEY_TYPES = {"id": "bigint", "user": "string"}
 # The SQL names, by kind.
 SQL_NAMES = {"id": "lookupValueByIdList", "user": "lookupValueByUserList"}
 
-# A lookup is broadcast up to this many bytes, counting each row's index entry.
+# The lookups of a session are broadcast up to this many bytes together, counting each
+# row's index entry: every Python worker holds them.
 BROADCAST_BYTES = 128 * 1024 * 1024
 BROADCAST_SETTING = "spark.stepweave.lookup.broadcastBytes"
 INDEX_ENTRY_BYTES = 200
 # Cells that hold more than one in this many rows are hot; so there are fewer of them.
-# A hot cell is broadcast if it has at most this many bytes.
+# The rows of a hot cell meet as many copies of its text as they are times as many.
 HOT_SHARE = 20_000
-HOT_BYTES = 1024
-# Rows that need no join (null and hot cells) are spread over this many keys.
+# Rows without a cell are spread over this many keys.
 SPREAD = 4096
 
 
@@ -45,22 +61,69 @@ class LookupBuildError(ValueError):
     """A lookup that cannot be built."""
 
 
-@dataclass(frozen=True)
+class BroadcastBudget:
+    """What a session may broadcast, and what its lookups have taken of it."""
+
+    _of_sessions: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+    def __init__(self) -> None:
+        self.taken = 0
+
+    @classmethod
+    def of(cls, spark: SparkSession) -> BroadcastBudget:
+        """The budget that all lookups of a session share."""
+        context = spark.sparkContext
+        if context not in cls._of_sessions:
+            cls._of_sessions[context] = cls()
+        return cls._of_sessions[context]
+
+    def take(self, size: int, limit: int) -> bool:
+        """Whether ``size`` more bytes fit; if so they are taken."""
+        if self.taken + size > limit:
+            return False
+        self.taken += size
+        return True
+
+    def give_back(self, size: int) -> None:
+        self.taken -= size
+
+
+@dataclass(frozen=True, eq=False)
 class Lookup:
-    """Unique, non-null (key, label) rows, and how large they are."""
+    """Unique, non-null (key, label) rows, how large they are and how they are probed."""
 
     name: str
     kind: str
     frame: DataFrame
     rows: int
     size: int
-    broadcast: bool
-    # The index, once it has been broadcast: every use shares it.
-    shared: list = field(default_factory=list, compare=False, repr=False)
+    way: str  # broadcast, sharded or joined
+    # The index, once it has been made: every use shares it.
+    shared: list = field(default_factory=list, repr=False)
+    # Folders of the shared folder that hold it.
+    folders: list = field(default_factory=list, repr=False)
+
+    @property
+    def broadcast(self) -> bool:
+        return self.way == "broadcast"
+
+    def release(self) -> None:
+        """Give back what the lookup holds: broadcast, files and cached rows.
+
+        Nothing that decodes with it may run afterwards.
+        """
+        self.frame.unpersist()
+        while self.shared:
+            self.shared.pop().destroy()
+        if self.broadcast and self.size:
+            BroadcastBudget.of(self.frame.sparkSession).give_back(self.size)
+            object.__setattr__(self, "size", 0)
+        while self.folders:
+            drop_scratch(self.frame.sparkSession, self.folders.pop())
 
 
 def build_lookup(
-    spark: SparkSession, spec: LookupSpec, broadcast_bytes: int | None = None
+    spark: SparkSession, spec: LookupSpec, broadcast_bytes: int | None = None, way: str = ""
 ) -> Lookup | None:
     """Read a lookup, expose it as a view and run its SQL; other kinds build nothing.
 
@@ -68,19 +131,21 @@ def build_lookup(
     greatest label.
     """
     register_view(scan_parquet_merged(spark, spec.path), spec.name)
-    return lookup_from(spark.sql(spec.sql), spec.name, spec.kind, broadcast_bytes)
+    return lookup_from(spark.sql(spec.sql), spec.name, spec.kind, broadcast_bytes, way)
 
 
 def lookup_from(
-    df: DataFrame, name: str, kind: str, broadcast_bytes: int | None = None
+    df: DataFrame, name: str, kind: str, broadcast_bytes: int | None = None, way: str = ""
 ) -> Lookup | None:
     """The lookup that the first two columns of ``df`` describe.
 
-    It is broadcast up to ``broadcast_bytes``, or else the session's setting.
+    It is broadcast if it fits into what the session's lookups leave of the session's
+    limit, or of ``broadcast_bytes``; else it is sharded, or joined where Python cannot
+    open the shared folder.  ``way`` states the way instead.
     """
+    spark = df.sparkSession
     if broadcast_bytes is None:
-        setting = df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES))
-        broadcast_bytes = int(setting)
+        broadcast_bytes = int(spark.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES)))
     if kind.lower() not in KEY_TYPES:
         return None
     kind = kind.lower()
@@ -102,53 +167,57 @@ def lookup_from(
     text = F.octet_length("label") + F.octet_length(F.col("key").cast("string"))
     rows, content = unique.agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
     size = content + rows * INDEX_ENTRY_BYTES
-    small = size <= broadcast_bytes
-    if not small:
+    if not way:
+        fits = BroadcastBudget.of(spark).take(size, broadcast_bytes)
+        way = "broadcast" if fits else "sharded" if reachable(shared_folder(spark)) else "joined"
+    folders = []
+    if way != "broadcast":
         cached = unique
-        unique = materialize(cached, scratch_path(df.sparkSession, f"lookup/{name}"))
+        folders.append(scratch_path(spark, f"lookup/{name}"))
+        unique = materialize(cached, folders[0])
         cached.unpersist()
-    return Lookup(name, kind, unique, rows, size, small)
+    return Lookup(name, kind, unique, rows, size, way, folders=folders)
 
 
-def _index_udf(spark: SparkSession, lookup: Lookup):
-    """Keys to one string of labels, from a broadcast index; whole Arrow batches."""
+def _index(lookup: Lookup):
+    """The broadcast of a lookup's index: all of it, or where its files are."""
     if not lookup.shared:
-        table = lookup.frame.toArrow().sort_by("key")
-        lookup.frame.unpersist()
-        keys, labels = (table.column(name).combine_chunks() for name in ("key", "label"))
-        lookup.shared.append(spark.sparkContext.broadcast({"keys": keys, "labels": labels}))
-    shared = lookup.shared[0]
-
-    def positions(index: dict, wanted: pa.Array) -> pa.Array:
-        """Where each wanted key is in the index; null where it is not."""
-        import numpy as np
-
-        if pa.types.is_integer(wanted.type):  # the index is sorted
-            keys = index["keys"].to_numpy()
-            asked = wanted.fill_null(0).to_numpy()
-            at = np.searchsorted(keys, asked)
-            hit = at < len(keys)
-            hit[hit] = keys[at[hit]] == asked[hit]
-            return pa.array(at, mask=~(hit & wanted.is_valid().to_numpy(zero_copy_only=False)))
-        if "places" not in index:  # once per worker process
-            index["places"] = {key: i for i, key in enumerate(index["keys"].to_pylist())}
-        coded = wanted.dictionary_encode()
-        found = [index["places"].get(key) for key in coded.dictionary.to_pylist()]
-        return pa.array(found, pa.int64()).take(coded.indices)
-
-    def decode(cells: pa.Array, separator: pa.Array, missing: pa.Array) -> pa.Array:
-        import pyarrow.compute as pc
-
-        index = shared.value
-        label = index["labels"].take(positions(index, cells.flatten()))
-        label = pc.coalesce(label, missing.take(pc.list_parent_indices(cells)), "null")
-        lengths = pc.fill_null(pc.list_value_length(cells), 0)
-        ends = pc.cumulative_sum(lengths.cast(pa.int32()))
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
-        text = pc.binary_join(
-            pa.ListArray.from_arrays(offsets, label), pc.fill_null(separator, "null")
-        )
-        return pc.if_else(cells.is_valid(), text, pa.scalar(None, pa.string()))
+        spark = lookup.frame.sparkSession
+        ship_package(spark)
+        if lookup.broadcast:
+            index = MemoryIndex(lookup.frame.toArrow())
+            lookup.frame.unpersist()
+        elif lookup.way == "sharded":
+            lookup.folders.append(scratch_path(spark, f"lookup-index/{lookup.name}"))
+            index = build_shards(lookup.frame, lookup.size, lookup.folders[-1])
+        else:
+            raise LookupBuildError(
+                f"lookup {lookup.name}: too large to be broadcast, and Python cannot open "
+                f"{shared_folder(spark)}; mount the shared folder, or raise {BROADCAST_SETTING}"
+            )
+        lookup.shared.append(spark.sparkContext.broadcast(index))
+    return lookup.shared[0]
+
+
+def _joined_labels(
+    labels: pa.Array, keys: pa.ListArray, separator: pa.Array, missing: pa.Array
+) -> pa.Array:
+    """Labels of a list of keys as one text for each row."""
+    labels = pc.coalesce(labels, missing.take(pc.list_parent_indices(keys)), "null")
+    lengths = pc.fill_null(pc.list_value_length(keys), 0)
+    ends = pc.cumulative_sum(lengths.cast(pa.int32()))
+    offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends])
+    lists = pa.ListArray.from_arrays(offsets, labels)
+    return pc.binary_join(lists, pc.fill_null(separator, "null"))
+
+
+def _decoder(lookup: Lookup):
+    """Keys to one string of labels; whole Arrow batches."""
+    shared = _index(lookup)
+
+    def decode(keys: pa.Array, separator: pa.Array, missing: pa.Array) -> pa.Array:
+        text = _joined_labels(shared.value.labels(keys.flatten()), keys, separator, missing)
+        return pc.if_else(keys.is_valid(), text, pa.scalar(None, pa.string()))
 
     return F.arrow_udf(decode, "string")
 
@@ -163,7 +232,7 @@ def decode_cells(
     output: str,
 ) -> DataFrame:
     """``df`` with ``output``: the labels of the codes in column ``cell``, in order."""
-    way = _decode_indexed if lookup.broadcast else _decode_joined
+    way = _decode_joined if lookup.way == "joined" else _decode_indexed
     return way(df, cell, lookup, split, separator, missing, output)
 
 
@@ -183,7 +252,7 @@ def _of_kind(lookup: Lookup, kind: str) -> Lookup:
         return lookup
     spark = lookup.frame.sparkSession
     none = spark.createDataFrame([], f"key {KEY_TYPES[kind]}, label string")
-    return Lookup(lookup.name, kind, none, 0, 0, True)
+    return Lookup(lookup.name, kind, none, 0, 0, "broadcast")
 
 
 def _with_codes(df: DataFrame, cell: str, delimiter: str) -> DataFrame:
@@ -193,7 +262,7 @@ def _with_codes(df: DataFrame, cell: str, delimiter: str) -> DataFrame:
 
 
 def _decode_indexed(df, cell, lookup, split, separator, missing, output):
-    labels = _index_udf(df.sparkSession, lookup)
+    labels = _decoder(lookup)
     keys = F.expr(codes.keys(lookup.kind, "__codes"))
     text = labels(keys, F.lit(separator), F.lit(missing).cast("string"))
     columns = (F.col(quoted(c)) for c in df.columns)
@@ -227,22 +296,36 @@ def _decode_joined(df, cell, lookup, split, separator, missing, output):
             .select("cell", F.array_join("labels.label", separator).alias("text"))
         )
 
-    # A hot cell must not gather its rows in one task: the few cells above a fixed
-    # share of the rows are broadcast, and their rows need no shuffle key.
-    is_hot = F.col("n") * HOT_SHARE > cells.agg(F.sum("n")).scalar()
-    is_hot &= F.octet_length("cell") <= HOT_BYTES
-    hot = decoded(cells.where(is_hot)).toDF("__hot", "__hot_text")
-    marked = df.join(F.broadcast(hot), value == F.col("__hot"), "left")
-    # Rows that are settled must not meet under one key either; the facts are files, in
-    # which a row has the same number whenever its task is run again.  Should a spread key
-    # equal some cell, that changes nothing: their text does not come from this join.
-    settled = F.col("__hot").isNotNull() | value.isNull()
-    spread = F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD)).cast("string")
-    keyed = marked.withColumn("__cell", F.when(settled, spread).otherwise(value))
-    rest = decoded(cells.where(~is_hot)).toDF("__cell", "__text")
-    joined = keyed.join(rest, "__cell", "left")
+    # A hot cell must not gather its rows in one task: its text is there in several copies,
+    # and its rows are dealt to them by their number.  The facts are files, in which a row
+    # has the same number whenever its task is run again.  Cells are told by their hash, so
+    # that only the numbers of a fixed share of them are broadcast, whatever their length;
+    # other cells of the same hash are dealt alike.
+    marks = cells.groupBy(F.xxhash64("cell").alias("mark")).agg(F.sum("n").alias("n"))
+    copies = F.ceil(F.col("n") * HOT_SHARE / cells.agg(F.sum("n")).scalar()).cast("int")
+    hot = F.broadcast(marks.select("mark", copies.alias("copies")).where("copies > 1"))
+    row = F.monotonically_increasing_id()
+    marked = df.withColumns({"__mark": F.xxhash64(value), "__row": row}).join(
+        hot, F.col("__mark") == F.col("mark"), "left"
+    )
+    # Rows without a cell need no text; they are spread over all partitions.
+    keyed = marked.withColumns(
+        {
+            "__cell": value,
+            "__copy": F.when(value.isNull(), F.pmod("__row", F.lit(SPREAD)))
+            .otherwise(F.pmod("__row", F.coalesce("copies", F.lit(1))))
+            .cast("int"),
+        }
+    )
+    texts = decoded(cells).toDF("__of", "__text").join(
+        hot, F.xxhash64("__of") == F.col("mark"), "left"
+    )
+    last = F.coalesce("copies", F.lit(1)) - 1
+    texts = texts.select("__of", "__text", F.explode(F.sequence(F.lit(0), last)).alias("__number"))
+    same = (F.col("__cell") == F.col("__of")) & (F.col("__copy") == F.col("__number"))
+    joined = keyed.join(texts, same, "left")
     lost = F.raise_error(F.concat(F.lit("no text was decoded for the cell "), value))
-    text = F.when(value.isNotNull(), F.coalesce("__hot_text", "__text", lost.cast("string")))
+    text = F.when(value.isNotNull(), F.coalesce("__text", lost.cast("string")))
     return joined.select(*(F.col(quoted(c)) for c in df.columns), text.alias(output))
 
 
@@ -250,78 +333,66 @@ def register_sql_functions(spark: SparkSession, lookups: Iterable[Lookup]) -> No
     """Make the lookups callable from SQL, if there are any.
 
     ``lookupValueByIdList`` and ``lookupValueByUserList`` take the lookup's name, the
-    cell, the split pattern, the output separator and the text for what is not
-    found; typed parameters let Spark convert the arguments.  A lookup above the
-    broadcast limit is decoded by a correlated subquery, which Spark plans as
-    joins over the distinct cells.
+    cell, the split pattern, the output separator and the text for what is not found.
+    Each is one function on Arrow batches, over the indexes of all lookups, so it may
+    stand in any clause and works alike at every size.  Cells of other types are taken
+    as the text that Spark casts them to.
     """
-    by_name = {lookup.name: lookup for lookup in lookups}
+    by_name = {lookup.name: (lookup.kind, _index(lookup)) for lookup in lookups}
     if not by_name:
         return
-    for number, lookup in enumerate(by_name.values()):
-        _register_labels(spark, lookup, number)
-    _define(
-        spark,
-        "stepweave_unknown(parts ARRAY<STRING>, name STRING)",
-        "STRING",
-        f"CASE WHEN size({codes.codes('parts')}) = 0 THEN '' "
-        "ELSE raise_error(concat('Error: no lookup named ', name)) END",
-    )
     for kind, function in SQL_NAMES.items():
-        parts = codes.parts(f"{function}.lookupCode", f"{function}.splitDelimiter")
-        branches = " ".join(
-            f"WHEN {literal(lookup.name)} THEN {_labels_name(number, kind)}"
-            f"({parts}, outputDelimiter, descriptionForNotMatch)"
-            for number, lookup in enumerate(by_name.values())
-        )
-        unknown = f"stepweave_unknown({parts}, lookupTableName)"
-        spark.sql(
-            f"CREATE OR REPLACE TEMPORARY FUNCTION {function}("
-            "lookupTableName STRING, lookupCode STRING, splitDelimiter STRING, "
-            "outputDelimiter STRING, descriptionForNotMatch STRING) RETURNS STRING RETURN "
-            f"CASE WHEN {function}.lookupCode IS NOT NULL THEN "
-            f"CASE lookupTableName {branches} ELSE {unknown} END END"
-        )
-
-
-def _labels_name(number: int, kind: str) -> str:
-    return f"stepweave_labels_{number}_{kind}"
-
-
-def _define(spark: SparkSession, signature: str, returns: str, body: str) -> None:
-    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS {returns} RETURN {body}")
-
-
-def _register_labels(spark: SparkSession, lookup: Lookup, number: int) -> None:
-    """For one lookup, the functions from (parts, separator, missing) to text.
-
-    Each stage is a function of its own, so that its argument is computed once.
-    """
-    options = "separator STRING, missing STRING"
-    for kind in SQL_NAMES:
-        name = _labels_name(number, kind)
-        cells = f"{name}_codes.cells"
-        keys = codes.keys(kind, cells)
-        if kind != lookup.kind:  # no key can match
-            nothing = f"array_repeat(coalesce(missing, 'null'), size({cells}))"
-            body = f"array_join({nothing}, coalesce(separator, 'null'))"
-        elif lookup.broadcast:
-            spark.udf.register(f"{name}_udf", _index_udf(spark, lookup))
-            body = f"{name}_udf({keys}, separator, missing)"
+        spark.udf.register(function, F.arrow_udf(_sql_decoder(kind, by_name), "string"))
+
+
+def _sql_decoder(kind: str, by_name: dict):
+    """The function of one kind over the named indexes."""
+
+    def one(name, index, rows, split, separator, missing):
+        """Texts of cells that share a lookup and a split pattern."""
+        if split is None:
+            raise ValueError("Error: the split delimiter is null")
+        coded = rows.dictionary_encode()
+        parts = arrow_cells.cell_codes(coded.dictionary, split)
+        found = parts.values
+        if name not in by_name and len(found):
+            raise ValueError(f"Error: no lookup named {name}")
+        if index is None:  # no key can match
+            labels = pa.nulls(len(found), pa.string())
         else:
-            view = f"stepweave_lookup_{number}"
-            register_view(lookup.frame, view)
-            _define(
-                spark,
-                f"{name}_found(keys ARRAY<{KEY_TYPES[kind]}>)",
-                "ARRAY<STRING>",
-                "(SELECT sort_array(collect_list(struct(p.position, l.label))).label "
-                f"FROM LATERAL posexplode({name}_found.keys) p(position, code) "
-                f"LEFT JOIN {view} l ON l.key = p.code)",
+            labels = index.labels(arrow_cells.code_keys(found, kind))
+        # Each row takes its cell's labels: separators and texts may differ by row.
+        lists = pa.ListArray.from_arrays(parts.offsets, labels).take(coded.indices)
+        return _joined_labels(lists.flatten(), lists, separator, missing)
+
+    def decode(names, rows, splits, separators, missing):
+        rows, separators, missing = map(arrow_cells.as_text, (rows, separators, missing))
+        names, splits = (arrow_cells.as_text(x).dictionary_encode() for x in (names, splits))
+        # Most often all rows have one lookup and one pattern.
+        of_name, of_split = (_positions(x) for x in (names, splits))
+        settings = of_name * (len(splits.dictionary) + 1) + of_split
+        settings[~rows.is_valid().to_numpy(zero_copy_only=False)] = -1
+        found, order = [pa.array([], pa.string())], [np.zeros(0, np.int64)]
+        for setting in np.unique(settings[settings >= 0]).tolist():
+            at = np.flatnonzero(settings == setting)
+            own = pa.array(at)
+            name, split = (
+                x.dictionary[i].as_py() if i < len(x.dictionary) else None
+                for x, i in zip((names, splits), divmod(setting, len(splits.dictionary) + 1))
             )
-            text = codes.joined("found", "separator", "missing")
-            _define(spark, f"{name}_text(found ARRAY<STRING>, {options})", "STRING", text)
-            body = f"{name}_text({name}_found({keys}), separator, missing)"
-        _define(spark, f"{name}_codes(cells ARRAY<STRING>, {options})", "STRING", body)
-        body = f"{name}_codes({codes.codes(f'{name}.parts')}, separator, missing)"
-        _define(spark, f"{name}(parts ARRAY<STRING>, {options})", "STRING", body)
+            of_kind, shared = by_name.get(name, (None, None))
+            index = shared.value if of_kind == kind else None
+            given = (x.take(own) for x in (separators, missing))
+            found.append(one(name, index, rows.take(own), split, *given))
+            order.append(at)
+        order = np.concatenate(order)
+        places = np.full(len(rows), -1)
+        places[order] = np.arange(len(order))
+        return pa.concat_arrays(found).take(pa.array(places, mask=places < 0))
+
+    return decode
+
+
+def _positions(coded: pa.DictionaryArray) -> np.ndarray:
+    """The place of each value in the dictionary; one beyond it for null."""
+    return coded.indices.fill_null(len(coded.dictionary)).to_numpy().astype(np.int64)

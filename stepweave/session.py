@@ -3,16 +3,26 @@
 from __future__ import annotations
 
 import contextlib
+import contextvars
 import functools
 import shutil
 import tempfile
+import time
 import uuid
+import warnings
+from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import SparkSession
 
 COALESCE = "spark.sql.adaptive.coalescePartitions.enabled"
 
+# Scratch of runs that ended without clearing it goes after so many hours without a change.
+SCRATCH_HOURS = 7 * 24
+SCRATCH_SETTING = "spark.stepweave.scratch.hours"
+_RUNS = "stepweave/runs"
+_run: contextvars.ContextVar[str] = contextvars.ContextVar("run", default="")
+
 
 @functools.cache
 def _local_folder() -> str:
@@ -46,8 +56,61 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/stepweave/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; in the run's folder, if any."""
+    run = _run.get()
+    base = f"{_RUNS}/{run}" if run else "stepweave"
+    return f"{shared_folder(spark)}/{base}/{name}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder; that it stays behind is no error."""
+    try:
+        delete_folder(spark, path)
+    except OSError as error:
+        warnings.warn(f"scratch stays behind: {error}", stacklevel=2)
+
+
+@contextlib.contextmanager
+def run_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch paths taken within lie in one folder, which goes at the end, come what may.
+
+    First, what runs that died have left behind is cleared: folders in which nothing has
+    changed for ``SCRATCH_HOURS``, or the session's setting.
+    """
+    sweep_scratch(spark)
+    token = _run.set(uuid.uuid4().hex)
+    try:
+        yield
+    finally:
+        run = _run.get()
+        _run.reset(token)
+        with contextlib.suppress(ValueError):  # without a shared folder there is no scratch
+            drop_scratch(spark, f"{shared_folder(spark)}/{_RUNS}/{run}")
+
+
+def sweep_scratch(spark: SparkSession, hours: float | None = None) -> list[str]:
+    """Clear the folders of runs in which nothing has changed for so long; gives their paths."""
+    if hours is None:
+        hours = float(spark.conf.get(SCRATCH_SETTING, str(SCRATCH_HOURS)))
+    try:
+        folders = matching_folders(spark, f"{shared_folder(spark)}/{_RUNS}/*")
+    except ValueError:
+        return []
+    before = (time.time() - hours * 3600) * 1000
+    old = [folder for folder in folders if _last_change(spark, folder) < before]
+    for folder in old:
+        drop_scratch(spark, folder)
+    return old
+
+
+def _last_change(spark: SparkSession, path: str) -> int:
+    """When a file under ``path``, or the folder itself, was last changed; milliseconds."""
+    fs, target = hadoop_path(spark, path)
+    last = fs.getFileStatus(target).getModificationTime()
+    files = fs.listFiles(target, True)
+    while files.hasNext():
+        last = max(last, files.next().getModificationTime())
+    return last
 
 
 @contextlib.contextmanager

@@ -178,7 +178,7 @@ def test_a_whole_job(spark, tmp_path, sf_dir):
     assert got.count() == expected.count() and got.exceptAll(expected).isEmpty()
     assert {r.run for r in rows.select("run").distinct().collect()} == {20210502120001}
     log = spark.table(config["jobLogTableName"])
-    sizes = log.where("msg LIKE '%size: %'").select("msg").distinct().collect()
+    sizes = log.where("msg LIKE 'customers has %'").select("msg").distinct().collect()
     assert [r.msg for r in sizes] == ["customers has 150 keys"]
     assert log.where("level <> 'INFO'").isEmpty()
 

@@ -1,15 +1,24 @@
 """Decoding rules, each checked in the indexed, the joined and the SQL form."""
 
+import pickle
+import weakref
+from pathlib import Path
+
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stepweave.config import LookupSpec
+from stepweave.functions import cells
+from stepweave.operators import lookup_index
 from stepweave.operators import lookups as L
 
 IDS = [(1, "A"), (2, "B"), (0, "zero"), (9223372036854775807, "max"), (-9223372036854775808, "min")]
 USERS = [("ann", "Ann A."), ("Bob", "Bob B."), (" x", "spaced")]
-FORMS = ["indexed", "joined", "sql", "sql_joined"]
+FORMS = ["indexed", "sharded", "joined", "sql", "sql_sharded"]
+WAYS = {"sharded": "sharded", "joined": "joined", "sql_sharded": "sharded"}
 
 # (cell, delimiter, text for no match, expected)
 ID_CASES = [
@@ -53,8 +62,11 @@ USER_CASES = [
 
 def _lookup(spark, kind, form):
     rows, schema = (IDS, "k bigint, v string") if kind == "id" else (USERS, "k string, v string")
-    limit = 0 if "joined" in form else L.BROADCAST_BYTES
-    return L.lookup_from(spark.createDataFrame(rows, schema), "t", kind, limit)
+    return _made(spark.createDataFrame(rows, schema), form, kind)
+
+
+def _made(df, form, kind="id", name="t"):
+    return L.lookup_from(df, name, kind, way=WAYS.get(form, "broadcast"))
 
 
 def _decode(spark, kind, form, cells, delimiter, missing, lookup=None):
@@ -85,7 +97,7 @@ def _by_setting(cases):
 @pytest.mark.parametrize("kind,cases", [("id", ID_CASES), ("user", USER_CASES)])
 def test_rules(spark, kind, cases, form):
     lookup = _lookup(spark, kind, form)
-    assert lookup.broadcast == ("joined" not in form)
+    assert lookup.way == WAYS.get(form, "broadcast")
     for (delimiter, missing), pairs in _by_setting(cases):
         cells = [cell for cell, _ in pairs]
         got = _decode(spark, kind, form, cells, delimiter, missing, lookup)
@@ -100,18 +112,18 @@ def test_wrong_kind_matches_nothing(spark, form):
     assert _decode(spark, "user", form, ["1"], ",", "NA", ids) == ["NA"]
 
 
-@pytest.mark.parametrize("form", ["indexed", "joined"])
+@pytest.mark.parametrize("form", ["indexed", "sharded", "joined"])
 def test_duplicate_keys_keep_the_greatest_label(spark, form):
     rows = spark.createDataFrame([(1, "a"), (1, "c"), (1, "b")], "k bigint, v string")
-    lookup = L.lookup_from(rows, "t", "id", 0 if form == "joined" else L.BROADCAST_BYTES)
+    lookup = _made(rows, form)
     assert lookup.rows == 1
     assert _decode(spark, "id", form, ["1,1"], ",", "NA", lookup) == ["c;c"]
 
 
-@pytest.mark.parametrize("form", ["indexed", "joined"])
+@pytest.mark.parametrize("form", FORMS)
 def test_empty_lookup(spark, form):
     rows = spark.createDataFrame([], "k bigint, v string")
-    lookup = L.lookup_from(rows, "t", "id", -1 if form == "joined" else L.BROADCAST_BYTES)
+    lookup = _made(rows, form)
     assert _decode(spark, "id", form, ["1,2", "", None], ",", "NA", lookup) == ["NA;NA", "NA", None]
 
 
@@ -126,25 +138,6 @@ def test_hot_cells_and_repeats(spark, monkeypatch, share):
     assert len(joined) == len(cells)
 
 
-def test_rows_without_a_join_do_not_meet_in_one_partition(spark):
-    """Null and hot cells are spread over the partitions of the join."""
-    rows = [("1,2",)] * 3000 + [(None,)] * 3000 + [(f"{i}",) for i in range(3000)]
-    df = spark.createDataFrame(rows, "cell string")
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false",
-    }
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        out = L.lookup_by_id(df, "cell", _lookup(spark, "id", "joined"), ",", ";", "NA")
-        sizes = out.groupBy(F.spark_partition_id()).count().collect()
-        assert len(sizes) > 1 and max(r["count"] for r in sizes) < 2 * len(rows) / len(sizes)
-    finally:
-        for key in settings:
-            spark.conf.unset(key)
-
-
 def test_null_delimiter_is_an_error(spark):
     L.register_sql_functions(spark, [_lookup(spark, "id", "sql")])
     ask = "SELECT lookupValueByIdList('t', {}, CAST(NULL AS STRING), ';', 'NA') AS v"
@@ -248,10 +241,10 @@ def test_the_indexed_form_does_not_shuffle_the_facts(spark):
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("limit", [10**9, 0])
-def test_cells_that_change_when_they_are_computed_again(spark, limit):
+@pytest.mark.parametrize("way", ["broadcast", "sharded", "joined"])
+def test_cells_that_change_when_they_are_computed_again(spark, way):
     names = spark.range(50).selectExpr("id AS key", "concat('n', id) AS label")
-    lookup = L.lookup_from(names, "names", "id", limit)
+    lookup = L.lookup_from(names, "names", "id", way=way)
     facts = spark.range(500).withColumn("cell", (F.rand() * 50).cast("int").cast("string"))
     found = L.lookup_by_id(facts, "cell", lookup, output="label")
     assert found.where("label IS NULL OR label <> concat('n', cell)").isEmpty()
@@ -264,3 +257,178 @@ def test_one_broadcast_serves_every_use(spark):
     for _ in range(3):
         L.lookup_by_id(facts, "cell", lookup).collect()
     assert len(lookup.shared) == 1
+
+
+CALL = "lookupValueByIdList('t', {}, ',', ';', 'NA')"
+
+
+@pytest.mark.parametrize("form", ["sql", "sql_sharded"])
+def test_lookups_order_explode_and_join_at_every_size(spark, form):
+    L.register_sql_functions(spark, [_lookup(spark, "id", form)])
+    ordered = spark.sql(f"SELECT id FROM range(4) ORDER BY {CALL.format('id')} DESC, id")
+    assert [r.id for r in ordered.collect()] == [0, 3, 2, 1]  # zero, NA, B, A
+    parts = spark.sql(
+        f"SELECT id, name FROM range(3) LATERAL VIEW explode(split({CALL.format('concat(id, 1)')}, "
+        f"'N')) AS name"
+    )
+    assert sorted(map(tuple, parts.collect())) == [
+        (0, "A"), (1, ""), (1, "A"), (2, ""), (2, "A")
+    ]
+    pairs = spark.sql(
+        f"SELECT a.id, b.n FROM range(5) a LEFT JOIN VALUES ('A'), ('B') b(n) "
+        f"ON {CALL.format('a.id')} = b.n ORDER BY a.id"
+    )
+    assert [tuple(r) for r in pairs.collect()] == [(0, None), (1, "A"), (2, "B"), (3, None), (4, None)]
+    windows = spark.sql(
+        f"SELECT id, rank() OVER (PARTITION BY {CALL.format('id')} ORDER BY id) AS r FROM range(6)"
+    )
+    assert {r.id: r.r for r in windows.collect()} == {0: 1, 1: 1, 2: 1, 3: 1, 4: 2, 5: 3}
+    inside = spark.sql(
+        f"SELECT id FROM range(9) WHERE {CALL.format('id')} IN "
+        f"(SELECT {CALL.format('x')} FROM VALUES (1), (2) t(x))"
+    )
+    assert sorted(r.id for r in inside.collect()) == [1, 2]
+
+
+def test_lookup_names_separators_and_patterns_may_differ_by_row(spark):
+    L.register_sql_functions(spark, [_lookup(spark, "id", "sql"), _lookup_user(spark)])
+    rows = [
+        ("t", "1,2", ",", "+", "NA"),
+        ("t", "1|9", r"\|", "-", None),
+        ("t", None, ",", "+", "NA"),
+        ("u", "1", ",", "+", "none"),
+        ("t", "1  2", r"\s+", None, "NA"),
+    ]
+    df = spark.createDataFrame(rows, "t string, c string, d string, s string, m string")
+    df.repartition(1).createOrReplaceTempView("mixed_calls")
+    out = spark.sql("SELECT *, lookupValueByIdList(t, c, d, s, m) AS v FROM mixed_calls")
+    got = {(r.t, r.c): r.v for r in out.collect()}
+    assert got == {
+        ("t", "1,2"): "A+B",
+        ("t", "1|9"): "A-null",
+        ("t", None): None,
+        ("u", "1"): "none",
+        ("t", "1  2"): "AnullB",
+    }
+
+
+@pytest.mark.parametrize("way", ["broadcast", "sharded"])
+def test_cells_of_other_types_are_the_text_that_a_cast_gives(spark, way):
+    values = "1.5D, 100.0D, 1.0E10D, -0.0D, CAST(0.1 AS FLOAT), 12.50BD, true, DATE'2024-02-03', 7Y"
+    casts = spark.sql(f"SELECT explode(array({', '.join(f'CAST({v} AS STRING)' for v in values.split(', '))}))")
+    texts = [r[0] for r in casts.collect()]
+    rows = spark.createDataFrame([(t, f"<{t}>") for t in dict.fromkeys(texts)], "k string, v string")
+    L.register_sql_functions(spark, [L.lookup_from(rows, "texts", "user", way=way)])
+    for value, text in zip(values.split(", "), texts, strict=True):
+        sql = f"SELECT lookupValueByUserList('texts', {value}, ';', ';', 'NA') AS v"
+        assert spark.sql(sql).first().v == f"<{text}>", value
+
+
+PATTERNS = [
+    ("a,b,,c,", ","), ("a|b", r"\|"), ("a|b", "|"), ("a.b.c", r"\."), ("a1b22c", r"\d+"),
+    ("a  b\tc", r"\s+"), ("aXbxc", "(?i)x"), ("a[b", r"\["), ("a.b|c", r"\Q.\E|\Q|\E"),
+    ("abc", ""), ("", ""), ("", ","), ("aAbBc", r"\p{Upper}"), ("a\u00a0b c", r"\h"),
+    ("a\r\nb\nc", r"\R"), ("a-b_c", "[-_]"), ("a]b", "[]]"), ("a,b;c", "[,;]"), ("xaxb", "(?=a)"),
+    ("a1b", r"(?<n>\d)"), ("aéb", r"\w"), ("1,,2", ",+"), ("a\\b", r"\\"), ("a^b", "[\\^]"),
+    ("ab,cd", r"(?<=b),"), ("aab", "a*?"), ("a b", r"\p{Space}"), ("tab", r"[\x61]"),
+]
+
+
+def test_patterns_split_as_the_built_in_function_does(spark):
+    df = spark.createDataFrame(PATTERNS, "cell string, pattern string")
+    wanted = [
+        r.parts
+        for r in df.selectExpr(
+            "CASE WHEN pattern = '' AND cell <> '' THEN concat(split(cell, '', -1), array('')) "
+            "ELSE split(cell, pattern, -1) END AS parts"
+        ).collect()
+    ]
+    found = [cells.splitter(pattern)(cell) for cell, pattern in PATTERNS]
+    for case, one, other in zip(PATTERNS, found, wanted, strict=True):
+        assert one == other, case
+
+
+@pytest.mark.parametrize("pattern", ["(", r"\p{Greek}", "[a-z&&[b]]", r"\Gx", "a\\"])
+def test_patterns_without_a_counterpart_are_errors(pattern):
+    with pytest.raises(cells.PatternError):
+        cells.splitter(pattern)("x")
+
+
+@pytest.mark.parametrize("kind", ["id", "user"])
+def test_a_sharded_index_gives_what_one_in_memory_gives(spark, tmp_path, monkeypatch, kind):
+    monkeypatch.setattr(lookup_index, "SHARD_BYTES", 20_000)
+    rng = np.random.default_rng(5)
+    numbers = np.unique(rng.integers(-(10**9), 10**9, 5000))
+    # Texts whose hashes are equal lie side by side.
+    keys = numbers.tolist() if kind == "id" else [f"k{n}" for n in numbers] + ["plumless", "buckeroo"]
+    schema = f"key {L.KEY_TYPES[kind]}, label string"
+    df = spark.createDataFrame([(k, f"label of {k}") for k in keys], schema)
+    index = lookup_index.build_shards(df, 200_000, str(tmp_path / "shards"))
+    assert len(index.names) == 10
+    whole = lookup_index.MemoryIndex(df.toArrow())
+    kinds = {"id": pa.int64(), "user": pa.string()}
+    asked = [*rng.permutation(keys).tolist()[:1000], *keys[:3], None, keys[-1]]
+    asked += [10**12, -(10**12)] if kind == "id" else ["", "none", "k"]
+    asked = pa.array([int(x) if kind == "id" and x is not None else x for x in asked], kinds[kind])
+    for _ in range(2):
+        assert index.labels(asked).to_pylist() == whole.labels(asked).to_pylist()
+    monkeypatch.setattr(lookup_index, "OPEN_SHARDS", 2)
+    index = pickle.loads(pickle.dumps(index))
+    assert index.labels(asked).to_pylist() == whole.labels(asked).to_pylist()
+    assert len(index._open) <= 2
+
+
+def test_lookups_of_a_session_share_one_limit(spark, monkeypatch):
+    """Fifty lookups, each a third of the limit: three are broadcast, until some are released."""
+    monkeypatch.setattr(L.BroadcastBudget, "_of_sessions", weakref.WeakKeyDictionary())
+    names = spark.range(20).selectExpr("id AS key", "concat('n', id) AS label")
+    size = L.lookup_from(names, "first", "id").size
+    budget = L.BroadcastBudget.of(spark)
+    budget.give_back(size)
+    limit = 3 * size
+    made = [L.lookup_from(names, f"l{i}", "id", limit) for i in range(50)]
+    assert [x.way for x in made] == ["broadcast"] * 3 + ["sharded"] * 47
+    assert budget.taken == limit
+    L.register_sql_functions(spark, made)
+    out = spark.sql(
+        "SELECT lookupValueByIdList(concat('l', id), '1,2', ',', ';', 'NA') AS v FROM range(50)"
+    )
+    assert {r.v for r in out.collect()} == {"n1;n2"}
+    folders = [folder for x in made for folder in x.folders]
+    assert len(folders) == 2 * 47 and all(Path(folder).exists() for folder in folders)
+    for lookup in made:
+        lookup.release()
+        lookup.release()
+    assert budget.taken == 0 and not any(Path(folder).exists() for folder in folders)
+    assert L.lookup_from(names, "next", "id", limit).way == "broadcast"
+
+
+def test_a_hot_cell_of_any_length_is_dealt_to_many_tasks(spark):
+    """Its rows do not meet in one partition of the join, nor do those without a cell."""
+    long = ",".join(str(i) for i in range(1100))
+    assert len(long) > 4096
+    rows = [(long,)] * 3000 + [(None,)] * 3000 + [(f"{i}",) for i in range(3000)]
+    df = spark.createDataFrame(rows, "cell string")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        out = L.lookup_by_id(df, "cell", _lookup(spark, "id", "joined"), ",", ";", "NA")
+        sizes = out.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) > 1 and max(r["count"] for r in sizes) < 2 * len(rows) / len(sizes)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
+def test_a_folder_that_python_cannot_open(spark, monkeypatch):
+    assert not lookup_index.reachable("nosuchscheme://host/folder")
+    monkeypatch.setattr(L, "reachable", lambda path: False)
+    lookup = L.lookup_from(spark.createDataFrame(IDS, "k bigint, v string"), "t", "id", -1)
+    assert lookup.way == "joined"
+    assert _decode(spark, "id", "joined", ["1,7"], ",", "NA", lookup) == ["A;NA"]
+    with pytest.raises(L.LookupBuildError, match="mount the shared folder"):
+        L.register_sql_functions(spark, [lookup])

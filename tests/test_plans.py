@@ -29,16 +29,30 @@ def test_indexed_lookup_splits_a_cell_once(spark, sf_dir):
 
 
 def test_joined_lookup_never_makes_a_cartesian_product(spark, sf_dir):
-    lookup = Q.supplier_lookup(spark, sf_dir, Q.JOIN_ONLY)
+    lookup = Q.supplier_lookup(spark, sf_dir, way="joined")
     plan = _plan(L.lookup_by_id(Q.line_codes(spark, sf_dir), "codes", lookup, ",", ";", "NA"))
     assert "Cartesian" not in plan and "NestedLoop" not in plan
     assert "[l_orderkey" in plan
 
 
-def test_large_lookup_from_sql_is_planned_as_joins(spark, sf_dir):
-    plan = _plan(Q.QUERIES["lookup_sql_functions_joined"](spark, sf_dir))
+def test_large_lookup_is_probed_where_the_facts_lie(spark, sf_dir):
+    lookup = Q.supplier_lookup(spark, sf_dir, Q.LARGE)
+    assert lookup.way == "sharded"
+    plan = _plan(L.lookup_by_id(Q.line_codes(spark, sf_dir), "codes", lookup, ",", ";", "NA"))
+    assert "Exchange" not in plan and plan.count("FileScan") == 1
+
+
+def test_lookup_functions_are_planned_alike_at_every_size(spark, sf_dir):
+    plans = [
+        _plan(Q.QUERIES[name](spark, sf_dir))
+        for name in ("lookup_sql_functions", "lookup_sql_functions_joined")
+    ]
+    for plan in plans:
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
+        assert plan.count("ArrowEvalPython") == 1  # all calls in one pass
+    assert plans[0].count("Exchange") == plans[1].count("Exchange")
+    plan = _plan(Q.QUERIES["lookup_sql_join_on_joined"](spark, sf_dir))
     assert "Cartesian" not in plan and "NestedLoop" not in plan
-    assert "PythonUDF" not in plan
 
 
 def test_newest_snapshot_reads_one_folder(spark, sf_dir):
