@@ -204,6 +204,14 @@ FROM events""",
 SELECT event_id, event_type, CASE WHEN {DAY} BETWEEN 20240110120000 AND 20240112120000
        THEN 2 ELSE 1 END AS version, {DAY} AS bet
 FROM events
+WHERE event_type <> 'click' OR NOT {DAY} BETWEEN 20240110120000 AND 20240112120000""",
+    "replace_by_key_unpartitioned": f"""
+SELECT event_type, {DAY} AS business_effective_timestamp, 2 * count(*) AS n
+FROM events GROUP BY event_type, {DAY}""",
+    "replace_by_key_after_a_crash": f"""
+SELECT event_id, event_type, CASE WHEN {DAY} BETWEEN 20240110120000 AND 20240112120000
+       THEN 2 ELSE 1 END AS version, {DAY} AS bet
+FROM events
 WHERE event_type <> 'click' OR NOT {DAY} BETWEEN 20240110120000 AND 20240112120000""",
     "replace_by_key_rerun": f"""
 SELECT event_id, event_type, 2 AS version, {DAY} AS bet FROM events""",
@@ -223,6 +231,18 @@ SELECT count(*) AS n_rows, 'Generate output' AS stage, false AS late_exists,
        CAST(1 AS BIGINT) AS n_errors
 FROM customer""",
     "run_job": JOB,
+    "run_job_large_lookup": JOB,
+    "run_job_daily": """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CAST(strftime(o_orderdate, '%Y%m01120000') AS BIGINT) AS business_effective_timestamp
+FROM orders WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)""",
+    "run_job_historical": f"""
+SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users,
+       {DAY} AS business_effective_timestamp
+FROM events GROUP BY event_type, {DAY}""",
+    "job_log_time": """
+SELECT unnest(['customer', 'orders', 'nation', 'events']) AS source,
+       (SELECT count(*) FROM customer) > 0 AS same""",
     "run_job_second_step": f"""
 SELECT event_type, count(*) AS n_events, count(DISTINCT user_id) AS n_users,
        {DAY} AS business_effective_timestamp

@@ -637,6 +637,10 @@ def republished(spark, sf_dir, partition_columns, later):
     events = daily_events(spark, sf_dir).withColumn("version", F.lit(1))
     publish.replace_by_key(events, path, partition_columns)
     publish.replace_by_key(later(events).withColumn("version", F.lit(2)), path, partition_columns)
+    return versions(spark, path)
+
+
+def versions(spark, path):
     return spark.read.parquet(path).select(
         "event_id", "event_type", "version", F.col(EFFECTIVE_KEY).cast("bigint").alias("bet")
     )
@@ -658,6 +662,29 @@ def replace_by_key_subpartitions(spark, sf_dir):
     )
 
 
+@query
+def replace_by_key_unpartitioned(spark, sf_dir):
+    """Without the key among the partitions nothing is replaced: a re-run appends."""
+    path = scratch_path(spark, "by_type")
+    events = daily_events(spark, sf_dir)
+    for columns in (["event_type"], ["event_type"]):
+        publish.replace_by_key(events, path, columns)
+    return spark.read.parquet(path).groupBy("event_type", EFFECTIVE_KEY).agg(F.count("*").alias("n"))
+
+
+@query
+def replace_by_key_after_a_crash(spark, sf_dir):
+    """A run that ended after its record and before the swap is finished by the next one."""
+    path, columns = scratch_path(spark, "events"), [EFFECTIVE_KEY, "event_type"]
+    events = daily_events(spark, sf_dir).withColumn("version", F.lit(1))
+    publish.replace_by_key(events, path, columns)
+    fewer = F.col(EFFECTIVE_KEY).between(20240110120000, 20240112120000)
+    fewer &= F.col("event_type") != "click"
+    publish.stage(events.where(fewer).withColumn("version", F.lit(2)), path, columns, replace=True)
+    publish.finish_intents(spark, path)
+    return versions(spark, path)
+
+
 @query
 def replace_by_key_rerun(spark, sf_dir):
     """The whole output published twice is there once."""
@@ -809,6 +836,53 @@ def run_job_second_step(spark, sf_dir):
     return spark.table(tables[1])
 
 
+@query
+def run_job_daily(spark, sf_dir):
+    """A daily job reads the newest snapshot of the sources that it lists."""
+    name = f"newest_{uuid.uuid4().hex}"
+    sql = (
+        "SELECT o_orderkey, o_custkey, o_orderstatus, CAST(date_format(o_orderdate, "
+        f"'yyyyMM01120000') AS BIGINT) AS {EFFECTIVE_KEY} FROM snapshots"
+    )
+    config = small_config(spark, sf_dir, (STEP_TYPE, name, sql))
+    config |= {"jobType": "DAILY", "sourceJoinSnapshotTablesList": "others, snapshots"}
+    config["stepList"][0]["sourceJoinTableList"] = [
+        {"sourcePath": order_snapshots(spark, sf_dir), "viewName": "snapshots"}
+    ]
+    return spark.table(run_job(spark, config, ARGUMENTS)[0])
+
+
+@query
+def run_job_historical(spark, sf_dir):
+    """A historical job works on sources that are written anew for it."""
+    config = job_config(spark, sf_dir) | {"jobType": "historical"}
+    config["stepList"] = config["stepList"][1:]
+    return spark.table(run_job(spark, config, ARGUMENTS)[0])
+
+
+@query
+def run_job_large_lookup(spark, sf_dir):
+    """The same job where no lookup may be broadcast."""
+    spark.conf.set(L.BROADCAST_SETTING, str(LARGE))
+    try:
+        return spark.table(run_job(spark, job_config(spark, sf_dir), ARGUMENTS)[0])
+    finally:
+        spark.conf.unset(L.BROADCAST_SETTING)
+
+
+@query
+def job_log_time(spark, sf_dir):
+    """Every record of a job has a time in the log's format, in the order of writing."""
+    config = job_config(spark, sf_dir)
+    run_job(spark, config, ARGUMENTS)
+    log = spark.table(config["jobLogTableName"])
+    time = F.try_to_timestamp("time", F.lit("yyyy-MM-dd HH:mm:ss"))
+    same = F.date_format(time, "yyyy-MM-dd HH:mm:ss") == F.col("time")
+    return log.where("step = 'read sources'").select(
+        F.regexp_extract("msg", "^[a-z]+", 0).alias("source"), F.coalesce(same, F.lit(False)).alias("same")
+    )
+
+
 @query
 def job_log(spark, sf_dir):
     """The size of each lookup, as the job logged it."""
@@ -846,7 +920,7 @@ def step_filter(spark, sf_dir):
     """Steps of another type are left out."""
     done, ignored = (f"{word}_{uuid.uuid4().hex}" for word in ("done", "ignored"))
     config = small_config(
-        spark, sf_dir, ("TRANSFORMATION", done, CUSTOMER_STEP), ("ingestion", ignored, "no SQL")
+        spark, sf_dir, (STEP_TYPE.upper(), done, CUSTOMER_STEP), ("ingestion", ignored, "no SQL")
     )
     tables = run_job(spark, config, ARGUMENTS)
     return spark.table(tables[0]).agg(

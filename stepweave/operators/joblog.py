@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
 from stepweave.operators.catalog import refresh_table
+from stepweave.operators.publish import Manifest
 
 # The log's columns and partitions, and its time format.
 LOG_SCHEMA = T.StructType(
@@ -57,6 +58,12 @@ class JobLog:
         self._records.clear()
 
 
-def refresh_log_table(spark: SparkSession, full_name: str, path: str) -> None:
-    """Create the log table if it is absent, and register its partitions."""
-    refresh_table(spark, full_name, LOG_SCHEMA, path, LOG_PARTITIONS)
+def refresh_log_table(
+    spark: SparkSession, full_name: str, path: str, job: tuple[str, int] | None = None
+) -> None:
+    """Create the log table if it is absent, and register its partitions: that of ``job``,
+    a name and a batch, or all."""
+    manifest = None
+    if job is not None:
+        manifest = Manifest(LOG_PARTITIONS, ((job[0] or None, str(job[1])),))
+    refresh_table(spark, full_name, LOG_SCHEMA, path, LOG_PARTITIONS, manifest)

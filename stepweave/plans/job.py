@@ -62,7 +62,8 @@ def run_job(
                 tables.append(run_step(spark, job, step, log))
             parent, child = "refresh_log_table", job.log_table_name
             log.flush()
-            refresh_log_table(spark, job.log_table_name, job.log_path)
+            batch = job.name, job.batch_id
+            refresh_log_table(spark, job.log_table_name, job.log_path, batch)
         except Exception as error:
             if isinstance(error, StepFailed):
                 child = f"{child}, {error.stage}"

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from stepweave.config import Job, Step
-from stepweave.operators.catalog import refresh_table
+from stepweave.operators.catalog import check_table, refresh_table
 from stepweave.operators.columns import cast_id_columns, derive_columns
 from stepweave.operators.joblog import JobLog
 from stepweave.operators.publish import replace_by_key
@@ -51,12 +51,13 @@ def run_step(spark: SparkSession, job: Job, step: Step, log: JobLog) -> str:
     try:
         log.info(stage, f'For table "{table}", start generating the output.')
         output = step_output(spark, step, job.parameters, table)
+        check_table(spark, table, output.schema, path, step.partition_columns)
         stage = "Replace by key and write"
         log.info(stage, f'For table "{table}", start writing to {path}.')
-        replace_by_key(output, path, step.partition_columns, step.write_files)
+        manifest = replace_by_key(output, path, step.partition_columns, step.write_files)
         stage = "Refresh table"
         log.info(stage, f'For table "{table}", start refreshing the catalog table.')
-        refresh_table(spark, table, output.schema, path, step.partition_columns)
+        refresh_table(spark, table, output.schema, path, step.partition_columns, manifest)
     except Exception as cause:
         raise StepFailed(table, stage, cause) from cause
     log.flush()

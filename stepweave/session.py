@@ -189,3 +189,34 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
     if fs.exists(target):
         raise OSError(f"could not delete {path}")
+
+
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files that lie directly in a folder; none if there is no folder."""
+    fs, target = hadoop_path(spark, path)
+    if not fs.exists(target):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(target) if status.isFile()]
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or a folder to a path at which nothing lies."""
+    fs, there = hadoop_path(spark, target)
+    fs.mkdirs(there.getParent())
+    if not fs.rename(hadoop_path(spark, source)[1], there):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file; it is there as a whole or not at all."""
+    fs, target = hadoop_path(spark, path)
+    unfinished = f"{path}.{uuid.uuid4().hex}.tmp"
+    out = fs.create(hadoop_path(spark, unfinished)[1])
+    out.write(bytearray(text.encode()))
+    out.close()
+    move(spark, unfinished, path)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    return spark.read.text(path, wholetext=True).first()[0]

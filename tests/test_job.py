@@ -1,19 +1,32 @@
 import json
+import os
+import time
+from pathlib import Path
 
 import pytest
 
 from stepweave.__main__ import main
 from stepweave.config import STEP_TYPE, ConfigError, parse_job, write_files
+from stepweave.operators import catalog
 from stepweave.operators.joblog import JobLog, refresh_log_table
+from stepweave.operators.lookups import BROADCAST_SETTING
 from stepweave.operators.publish import EFFECTIVE_KEY as KEY
 from stepweave.plans.job import run_job, run_job_file
+from stepweave.plans.step import StepFailed
+from stepweave.session import (
+    matching_folders,
+    run_scratch,
+    scratch_path,
+    shared_folder,
+    sweep_scratch,
+)
 
 GIVEN = {"jobName": "nightly", "batchId": "20210502120001", "s3SecretKey": "hush"}
 
 
 def _step(table, sql, **more):
     return {
-        "stepType": "Transformation",
+        "stepType": STEP_TYPE.title(),
         "stepCategory": "object",
         "hiveTableName": table,
         "sourceJoinSQL": sql,
@@ -278,3 +291,66 @@ def test_no_steps_is_a_warning(spark, tmp_path):
     config = _config(tmp_path)
     assert run_job(spark, config, GIVEN) == []
     assert [r.level for r in spark.table(config["jobLogTableName"]).collect()] == ["WARN"]
+
+
+def test_an_existing_table_is_never_listed(spark, tmp_path, sf_dir, monkeypatch):
+    config, name = _whole_job(spark, tmp_path, sf_dir)
+    run_job(spark, config, GIVEN)
+    rows = spark.table(name).count()
+
+    def listed(*args):
+        raise AssertionError("the whole table is listed")
+
+    monkeypatch.setattr(catalog, "repair_partitions", listed)
+    for batch in ("20210502120001", "20210502120002"):
+        run_job(spark, config, GIVEN | {"batchId": batch})
+        assert spark.table(name).count() == rows
+        assert {r.run for r in spark.table(name).select("run").distinct().collect()} == {int(batch)}
+    log = spark.table(config["jobLogTableName"])
+    assert log.select("batch_id").distinct().count() == 2
+
+
+def test_a_table_at_another_place_stops_the_step_before_it_writes(spark, tmp_path, sf_dir):
+    config, name = _whole_job(spark, tmp_path / "first", sf_dir)
+    run_job(spark, config, GIVEN)
+    rows = spark.table(name).count()
+    moved = config | {"basePath": str(tmp_path / "second")}
+    with pytest.raises(StepFailed, match="lies at"):
+        run_job(spark, moved, GIVEN)
+    assert not (tmp_path / "second" / name).exists()
+    assert spark.table(name).count() == rows
+
+
+@pytest.mark.parametrize("sql", [None, "SELECT no_such_column FROM orders"])
+def test_scratch_goes_after_a_good_and_a_failed_job(spark, tmp_path, sf_dir, sql):
+    config, _ = _whole_job(spark, tmp_path, sf_dir)
+    config["jobType"] = "historical"
+    if sql:
+        config["stepList"][0]["sourceJoinSQL"] = sql
+    spark.conf.set(BROADCAST_SETTING, "-1")  # lookups are files too
+    seen = []
+    try:
+        if sql:
+            with pytest.raises(StepFailed):
+                run_job(spark, config, GIVEN)
+        else:
+            run_job(spark, config, GIVEN)
+    finally:
+        spark.conf.unset(BROADCAST_SETTING)
+    seen = matching_folders(spark, f"{shared_folder(spark)}/stepweave/runs/*")
+    assert seen == []
+
+
+def test_scratch_of_dead_runs_is_swept(spark):
+    with run_scratch(spark):
+        live = scratch_path(spark, "live")
+        spark.range(1).write.parquet(live)
+        dead = f"{shared_folder(spark)}/stepweave/runs/dead"
+        spark.range(1).write.parquet(f"{dead}/x")
+        long_ago = time.time() - 3600
+        for file in [Path(dead), *Path(dead).rglob("*")]:
+            os.utime(file, (long_ago, long_ago))
+        assert len(sweep_scratch(spark, 0.5)) == 1
+        assert not Path(dead).exists() and Path(live).exists()
+    assert not Path(live).exists()
+    assert Path(scratch_path(spark, "kept")).parent.name == "stepweave"

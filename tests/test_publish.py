@@ -2,9 +2,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stepweave.operators import publish
+from stepweave.operators import catalog, publish
 from stepweave.operators.catalog import (
     CatalogError,
+    check_table,
     column_type,
     create_external_table,
     refresh_table,
@@ -194,3 +195,134 @@ def test_another_partition_list_is_refused_before_anything_is_written(spark, tmp
         with pytest.raises(publish.PublishError, match="is partitioned by"):
             publish.replace_by_key(df, path, columns)
     assert spark.read.parquet(path).count() == 3
+
+
+# --- runs that stop anywhere -------------------------------------------------------------
+
+
+class _Stopped(RuntimeError):
+    pass
+
+
+def _stop_at(monkeypatch, name, call):
+    """The ``call``-th call of a file operation does not happen, nor does anything after it."""
+    real, calls = getattr(publish, name), []
+
+    def stopped(*args):
+        calls.append(args)
+        if len(calls) >= call:
+            raise _Stopped(name)
+        return real(*args)
+
+    monkeypatch.setattr(publish, name, stopped)
+
+
+FIRST = [(1, 1, "a"), (1, 2, "b"), (1, 3, "c"), (2, 4, "a")]
+SECOND = [(1, 7, "a"), (1, 8, "d"), (3, 9, "a")]
+AFTER = sorted([(1, 7, "a"), (1, 8, "d"), (2, 4, "a"), (3, 9, "a")], key=str)
+
+
+@pytest.mark.parametrize("columns", [BOTH, ("kind", KEY)])
+@pytest.mark.parametrize(
+    "name,call", [("delete_folder", n) for n in range(1, 8)] + [("move", n) for n in range(1, 4)]
+)
+def test_a_run_that_stops_while_it_swaps_is_finished_by_the_next(
+    spark, tmp_path, monkeypatch, columns, name, call
+):
+    path = str(tmp_path / "t")
+    publish.replace_by_key(_rows(spark, FIRST), path, columns)
+    with monkeypatch.context() as patch:
+        _stop_at(patch, name, call)
+        with pytest.raises(_Stopped):
+            publish.replace_by_key(_rows(spark, SECOND), path, columns)
+    # Nothing is read twice, and no row of another key is touched.
+    left = _read(spark, path)
+    assert len(left) == len(set(left)) and (2, 4, "a") in left
+    manifest = publish.finish_intents(spark, path)
+    assert _read(spark, path) == AFTER
+    assert len(manifest.added) == 3
+    publish.replace_by_key(_rows(spark, SECOND), path, columns)
+    assert _read(spark, path) == AFTER
+    assert not any((tmp_path / "t" / folder).exists() and list((tmp_path / "t" / folder).iterdir())
+                   for folder in ("_staging", "_intents"))
+
+
+def test_a_run_that_stops_before_it_is_recorded_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    publish.replace_by_key(_rows(spark, FIRST), path, BOTH)
+    with monkeypatch.context() as patch:
+        _stop_at(patch, "write_text", 1)
+        with pytest.raises(_Stopped):
+            publish.replace_by_key(_rows(spark, SECOND), path, BOTH)
+    assert _read(spark, path) == sorted(FIRST, key=str)
+    assert publish.finish_intents(spark, path) == publish.Manifest()
+    assert _read(spark, path) == sorted(FIRST, key=str)
+
+
+@pytest.mark.parametrize("call", [1, 2])
+def test_appended_rows_are_there_once_though_a_run_stops(spark, tmp_path, monkeypatch, call):
+    path = str(tmp_path / "t")
+    publish.write_append(_rows(spark, FIRST), path, ("kind",))
+    with monkeypatch.context() as patch:
+        _stop_at(patch, "move", call)
+        with pytest.raises(_Stopped):
+            publish.write_append(_rows(spark, SECOND), path, ("kind",))
+    publish.write_append(_rows(spark, [(5, 5, "e")]), path, ("kind",))
+    assert _read(spark, path) == sorted([*FIRST, *SECOND, (5, 5, "e")], key=str)
+
+
+def test_the_manifest_tells_what_was_put_in_place_and_removed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = publish.replace_by_key(_rows(spark, [*FIRST, (1, 5, None)]), path, BOTH)
+    assert first.columns == BOTH and set(first.removed) == set()
+    assert set(first.added) == {("1", "a"), ("1", "b"), ("1", "c"), ("2", "a"), ("1", None)}
+    second = publish.replace_by_key(_rows(spark, SECOND), path, BOTH)
+    assert set(second.added) == {("1", "a"), ("1", "d"), ("3", "a")}
+    assert set(second.removed) == {("1", "b"), ("1", "c"), ("1", None)}
+    both = first.then(second)
+    assert set(both.added) == {("2", "a"), ("1", "a"), ("1", "d"), ("3", "a")}
+    assert set(both.removed) == set(second.removed)
+
+
+def test_partitions_are_registered_without_a_listing(spark, tmp_path, monkeypatch):
+    path, table = str(tmp_path / "t"), "default.by_manifest"
+    odd = [(1, 1, "a/b"), (1, 2, None), (2, 3, "it's")]
+    df = _rows(spark, odd)
+    refresh_table(spark, table, df.schema, path, BOTH, publish.replace_by_key(df, path, BOTH))
+
+    def listed(*args):
+        raise AssertionError("the whole table is listed")
+
+    monkeypatch.setattr(catalog, "repair_partitions", listed)
+    for rows in ([(1, 8, "c=d"), (1, 9, "")], [(3, 5, "ü%"), (1, 1, "a/b")]):
+        new = _rows(spark, rows)
+        refresh_table(spark, table, new.schema, path, BOTH, publish.replace_by_key(new, path, BOTH))
+        columns = [KEY, "v", "kind"]
+        told = sorted(map(tuple, spark.table(table).select(columns).collect()), key=str)
+        assert told == _read(spark, path)
+        parts = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+        assert len(parts) == len({(r[0], r[2]) for r in told})
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_another_table_of_that_name_is_refused_before_anything_is_written(spark, tmp_path):
+    path, table = str(tmp_path / "t"), "default.someone_elses"
+    df = _rows(spark, [(1, 1, "a")])
+    publish.replace_by_key(df, path, (KEY,))
+    refresh_table(spark, table, df.schema, path, (KEY,))
+    assert check_table(spark, table, df.schema, path + "/", (KEY,))
+    for there, columns, schema, match in (
+        (str(tmp_path / "u"), (KEY,), df.schema, "lies at"),
+        (path, BOTH, df.schema, "is partitioned by"),
+        (path, (), df.schema, "is partitioned by"),
+        (path, (KEY,), _rows(spark, [], "v string, kind string").schema, "type differs for v"),
+        (path, ("absent",), df.schema, "absent"),
+    ):
+        with pytest.raises(CatalogError, match=match):
+            check_table(spark, table, schema, there, columns)
+    spark.sql(f"DROP TABLE {table}")
+    assert not check_table(spark, table, df.schema, path, (KEY,))
+    spark.sql(f"CREATE TABLE {table} (v INT) USING JSON LOCATION '{path}'")
+    with pytest.raises(CatalogError, match="not parquet"):
+        check_table(spark, table, df.schema, path, ())
+    spark.sql(f"DROP TABLE {table}")
