@@ -102,6 +102,14 @@ SELECT CAST(n_nationkey AS VARCHAR) AS line, unnest(['n_nationkey', 'n_name', 'n
        AS attribute, unnest([CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)])
        AS value
 FROM nation""",
+    "read_header_map_objects": """
+SELECT CAST(n_nationkey AS VARCHAR) AS line, unnest(['n_nationkey', 'n_name']) AS attribute,
+       unnest([CAST(n_nationkey AS VARCHAR), n_name]) AS value
+FROM nation
+UNION ALL
+SELECT CAST(r_regionkey AS VARCHAR), unnest(['r_name', 'r_regionkey']),
+       unnest([r_name, CAST(r_regionkey AS VARCHAR)])
+FROM region""",
     "sql_step_join_agg": """
 SELECT n_name, count(*) AS n_orders,
        CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents

@@ -187,6 +187,18 @@ def read_header_map(spark, sf_dir):
     )
 
 
+@query
+def read_header_map_objects(spark, sf_dir):
+    """Nations and regions as text objects in one folder, each with a header of its own."""
+    path = scratch_path(spark, "objects")
+    nations, regions = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    for df in (nations.select("n_nationkey", "n_name"), regions.select("r_name", "r_regionkey")):
+        df.coalesce(1).write.mode("append").csv(path, header=True)
+    maps = files.read_header_map(spark, path)
+    key = F.coalesce(F.col("attributes")["n_nationkey"], F.col("attributes")["r_regionkey"])
+    return maps.select(key.alias("line"), F.explode("attributes").alias("attribute", "value"))
+
+
 # Step SQL
 
 

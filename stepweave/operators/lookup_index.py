@@ -38,12 +38,14 @@ def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
 
 
-def reachable(path: str) -> bool:
-    """Whether Python can write to and read from a folder that Spark names."""
+def reachable(path: str, create: bool = True) -> bool:
+    """Whether Python can open a folder that Spark names, and by default write there."""
     try:
         store, base = file_system(path)
-        store.create_dir(base, recursive=True)
-        return True
+        if create:
+            store.create_dir(base, recursive=True)
+            return True
+        return store.get_file_info(base).type != pyarrow.fs.FileType.NotFound
     except (OSError, ValueError, NotImplementedError):
         return False
 

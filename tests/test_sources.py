@@ -1,12 +1,14 @@
 from types import SimpleNamespace
 
+import itertools
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from stepweave.config import Job, Source
 from stepweave.session import shared_folder
-from stepweave.sources import files, parquet
+from stepweave.sources import files, inventory, parquet
 
 
 def _job(**given):
@@ -121,8 +123,11 @@ def test_file_inventory(spark, tmp_path):
     assert {r["size"] for r in everything} == {2}
     after = files.file_inventory(spark, str(tmp_path), start_after=everything[0].path, limit=1)
     assert [r.path for r in after.collect()] == [everything[1].path]
-    plan = files.file_inventory(spark, str(tmp_path))._jdf.queryExecution().executedPlan()
-    assert "content" not in plan.toString().split("ReadSchema")[1]
+    listed = files._listed(spark, str(tmp_path), everything[0].path, None)
+    assert listed.columns == after.columns and dict(listed.dtypes) == dict(after.dtypes)
+    assert sorted(map(tuple, listed.collect())) == [tuple(r) for r in everything[1:]]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]
 
 
 def test_read_text(spark, tmp_path):
@@ -181,8 +186,64 @@ def test_header_map_of_an_object_in_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_header_maps_of_several_objects_are_refused(spark, tmp_path):
-    for name in "ab":
-        (tmp_path / f"{name}.txt").write_text("x,y\n1,2\n")
-    with pytest.raises(ValueError, match="more than one object"):
-        files.read_header_map(spark, str(tmp_path))
+@pytest.mark.parametrize("split", [None, "40"])
+def test_header_maps_of_several_objects(spark, tmp_path, monkeypatch, split):
+    """Each has a header of its own; one is empty, one has its header only."""
+    texts = {"a": "x,y\n1,2\nx,y\n" + "7,8\n" * 30, "b": "y,z,y\n3,4,5\n6\n", "c": "", "d": "q\n"}
+    for name, text in texts.items():
+        (tmp_path / f"{name}.txt").write_text(text)
+    if split:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        monkeypatch.setattr(files, "BROADCAST_OBJECTS", 1)
+    try:
+        df = files.read_header_map(spark, str(tmp_path), object_column="of")
+        got = sorted((r.of.rsplit("/", 1)[1], sorted(r.attributes.items())) for r in df.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    want = [("a.txt", [("x", "1"), ("y", "2")]), ("a.txt", [("x", "x"), ("y", "y")])]
+    want += [("a.txt", [("x", "7"), ("y", "8")])] * 30
+    want += [("b.txt", [("y", "5"), ("z", "4")]), ("b.txt", [("y", "6")])]
+    assert got == sorted(want)
+    (tmp_path / "none").mkdir()
+    for name in "cd":
+        (tmp_path / "none" / name).write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        files.read_header_map(spark, str(tmp_path / "none"))
+
+
+def _tree(tmp_path):
+    names = [f"d{d}/e{e}/f{f}.bin" for d in range(4) for e in range(5) for f in range(6)]
+    names += ["d1.bin", "d1/e1.bin", "z/_hidden/x", "z/.x", "z/_k=1/y", "a b%/ü.bin"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text("x")
+    shown = [n for n in names if "_hidden" not in n and "/.x" not in n]
+    return sorted(f"file:{tmp_path}/{name}" for name in shown)
+
+
+def test_an_inventory_is_in_the_order_of_its_paths(spark, tmp_path):
+    want = _tree(tmp_path)
+    path = str(tmp_path)
+    assert sorted(r.path for r in files.file_inventory(spark, path).collect()) == want
+    for start in (None, want[0], want[17], want[-1], f"file:{tmp_path}/d1/e2", f"file:{tmp_path}/d2/"):
+        behind = [p for p in want if start is None or p > start]
+        found = files.file_inventory(spark, path, start_after=start)
+        assert sorted(r.path for r in found.collect()) == behind
+        for limit in (0, 1, 9, 1000):
+            first = files.file_inventory(spark, "file:" + path, start, limit).collect()
+            assert [r.path for r in first] == behind[:limit]
+    assert [r.path for r in files.file_inventory(spark, want[3].removeprefix("file:")).collect()] == [want[3]]
+    (tmp_path / "empty").mkdir()
+    assert files.file_inventory(spark, str(tmp_path / "empty")).isEmpty()
+
+
+def test_an_inventory_lists_what_it_needs_only(tmp_path):
+    want = _tree(tmp_path)
+    lister = inventory.Lister(str(tmp_path))
+    everything = list(lister.files(lister.start(), None))
+    assert [p.path for p in everything] == want
+    pages = lister.pages
+    for start, limit, most in ((None, 3, 4), (want[60], 3, 6), (want[-2], 5, 6)):
+        lister = inventory.Lister(str(tmp_path))
+        list(itertools.islice(lister.files(lister.start(), start), limit))
+        assert lister.pages <= most < pages / 4
