@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stepweave.functions.json_pieces import split_documents
+from stepweave.session import quoted, ship_package
+
+# Documents above this may not fit into a variant.
+LARGE_BYTES = 64 * 1024 * 1024
 # Fixed value: what a missing or null attribute reads as.
 NULL_TEXT = "null_string"
 
@@ -19,14 +25,25 @@ def json_attr(column: Column | str, path: str, null_text: str = NULL_TEXT) -> Co
     return F.coalesce(F.get_json_object(source, _path(path)), F.lit(null_text))
 
 
-def json_nodes(df: DataFrame, column: str, path: str, output: str = "node") -> DataFrame:
+def json_nodes(
+    df: DataFrame, column: str, path: str, output: str = "node", large: bool = False
+) -> DataFrame:
     """One row per node at ``path``, the node as JSON object text in ``output``.
 
     An array gives its elements, bare values wrapped as ``{"value": x}``; a lone
     object gives itself; nothing or blank text gives no row; any other bare value is
     an error.  So is a document that cannot be read: it is no JSON, or larger than a
     variant may be.  The keys of an object come in alphabetical order.
+
+    With ``large`` documents above ``LARGE_BYTES`` are read too: their text is walked once
+    and each element is read for itself.  The result then lacks ``column``, which every
+    row of a large document would hold.
     """
+    if large:
+        size = F.coalesce(F.octet_length(column), F.lit(0))
+        rest = [c for c in df.columns if c != column]
+        usual = json_nodes(df.where(size <= LARGE_BYTES), column, path, output).drop(column)
+        return usual.unionByName(_large_nodes(df.where(size > LARGE_BYTES), column, path, output, rest))
     document = F.try_parse_json(F.col(column))
     size = F.octet_length(column).cast("string")
     unread = F.raise_error(F.concat(F.lit("not JSON, or too large: bytes "), size))
@@ -42,6 +59,26 @@ def json_nodes(df: DataFrame, column: str, path: str, output: str = "node") -> D
     )
 
 
+def _large_nodes(
+    df: DataFrame, column: str, path: str, output: str, names: list[str]
+) -> DataFrame:
+    ship_package(df.sparkSession)
+    fields = [df.schema[name] for name in names]
+    schema = T.StructType(
+        [*fields, T.StructField("__piece", T.StringType()), T.StructField("__inside", T.BooleanType())]
+    )
+    split = df.select(*map(quoted, names), quoted(column)).mapInArrow(
+        split_documents(column, path, names), schema
+    )
+    unread = F.raise_error(F.concat(F.lit("not JSON: "), F.substring("__piece", 1, 100)))
+    element = F.coalesce(F.try_parse_json("__piece"), unread.cast("variant"))
+    read = split.withColumn("__element", element)
+    read = read.withColumn("__kind", F.schema_of_variant("__element"))
+    lone = _objects(F.col("__element"), F.col("__kind"))
+    nodes = F.when(F.col("__inside"), F.array(_as_object(F.col("__element")))).otherwise(lone)
+    return read.select(*map(quoted, names), F.explode(nodes).alias(output))
+
+
 def _objects(found: Column, kind: Column) -> Column:
     blank = (kind == "STRING") & (F.trim(found.cast("string")) == "")
     return (

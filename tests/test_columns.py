@@ -1,7 +1,12 @@
+import json
+
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
 from stepweave.config import DerivedColumn
+from stepweave.functions import json as json_columns
+from stepweave.functions import json_pieces
 from stepweave.functions.json import json_attr, json_nodes
 from stepweave.operators.columns import ColumnError, cast_id_columns, derive_columns
 
@@ -96,3 +101,54 @@ def test_json_nodes(spark):
     for bad in ('{"l": 5}', '{"l": "text"}'):
         with pytest.raises(PySparkException, match="no JSON object or array"):
             _nodes(spark, bad)
+
+
+DOCUMENTS = [
+    ('{"l": [{"b": 1, "a": "x"}, 2, "s,]}", null, [1, {"c": "[{"}], {"q": "\\\\\\"}"}]}', "l"),
+    ('{"k": {"l": ["no"]}, "l": {"a": {"z": [1.50, 1e3, true]}}}', "l"),
+    ('{"a": [{"l": 1}, {"l": [10, 20]}], "l": 3}', "$.a[1].l"),
+    ('{"x y": {"l": [{"v": "é\\u00e9 😀"}]}}', "$['x y'].l"),
+    ('  [1,\n 2 , {"a" :\t[ ]}]  ', "$"),
+    ('{"l": []}', "l"),
+    ('{"l": null}', "l"),
+    ('{"m": 1}', "l"),
+    ('{"l": {}}', "l"),
+    ('{"l": "  "}', "l"),
+    ('[[1], [2, 3]]', "$[1]"),
+    ('[1]', "$[7]"),
+    ('{"l": 1}', "$.l.x"),
+]
+
+
+def test_large_documents_give_what_small_ones_give(spark, monkeypatch):
+    for limit in (0, 10**9):
+        for number, (text, path) in enumerate(DOCUMENTS):
+            df = spark.createDataFrame([(number, text), (90, None), (91, " ")], "n int, j string")
+            want = sorted(tuple(r) for r in json_nodes(df, "j", path).select("n", "node").collect())
+            monkeypatch.setattr(json_columns, "LARGE_BYTES", limit)
+            found = json_nodes(df.where("n < 90"), "j", path, large=True)
+            assert found.columns == ["n", "node"]
+            assert sorted(map(tuple, found.collect())) == want, (text, path)
+
+
+@pytest.mark.parametrize(
+    "text", ['{"l": [1, 2}', '{"l": [1 2]}', '{"l" [1]}', '{"l": [1,', '{"l": 7}', "x", '{"l": [tru]}']
+)
+def test_large_documents_that_cannot_be_read_are_errors(spark, monkeypatch, text):
+    monkeypatch.setattr(json_columns, "LARGE_BYTES", 0)
+    df = spark.createDataFrame([(text,)], "j string")
+    with pytest.raises(Exception, match="(?i)json|no path"):
+        json_nodes(df, "j", "l", large=True).collect()
+
+
+def test_pieces_of_a_document_leave_some_at_a_time(spark, monkeypatch):
+    text = "[" + ",".join(f'{{"i": {i}, "s": "[{i}]"}}' for i in range(20_000)) + "]"
+    whole = list(json_pieces.pieces(text, []))
+    assert len(whole) == 20_000 and json.loads(whole[77][0]) == {"i": 77, "s": "[77]"}
+    batch = pa.RecordBatch.from_pydict({"n": [1], "j": [text]})
+    monkeypatch.setattr(json_pieces, "_TOGETHER", 10_000)
+    out = list(json_pieces.split_documents("j", "$", ["n"])(iter([batch])))
+    assert sum(map(len, out)) == 20_000 and max(map(len, out)) < 1000
+    assert json_pieces.path_steps("$.a[0]['b c'].d") == ["a", 0, "b c", "d"]
+    with pytest.raises(json_pieces.JsonError):
+        json_pieces.path_steps("$.a[*]")
