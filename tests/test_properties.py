@@ -3,10 +3,12 @@
 import math
 import re
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from stepweave.functions import cells as arrow_cells
 from stepweave.operators import lookups as L
 
 IDS = {0: "zero", 1: "A", 2: "B", 12: "C", -3: "D", 9223372036854775807: "max"}
@@ -57,8 +59,8 @@ def tables(spark):
     users = spark.createDataFrame(list(USERS.items()), "k string, v string")
     built = {}
     for kind, df in (("id", ids), ("user", users)):
-        for form, limit in (("indexed", None), ("joined", 0)):
-            built[kind, form] = L.lookup_from(df, kind, kind, limit)
+        for form in ("broadcast", "sharded", "joined"):
+            built[kind, form] = L.lookup_from(df, kind, kind, way=form)
     return built
 
 
@@ -69,8 +71,23 @@ def test_forms_follow_the_rules(spark, tables, kind, cells):
     df = spark.createDataFrame(list(enumerate(cells)), "i int, cell string")
     expected = {i: _expected(cell, kind) for i, cell in enumerate(cells)}
     way = L.lookup_by_id if kind == "id" else L.lookup_by_user
-    for form in ("indexed", "joined"):
+    for form in ("broadcast", "sharded", "joined"):
         out = way(df, "cell", tables[kind, form], ",", ";", "NA")
         got = {r.i: r.label for r in out.collect()}
         wrong = {cells[i]: (got[i], e) for i, e in expected.items() if got[i] != e}
         assert not wrong, form
+
+
+@settings(max_examples=200, deadline=None)
+@given(cells=st.lists(CELLS, min_size=1, max_size=40))
+def test_cells_on_arrow_follow_the_rules(cells):
+    """What the SQL functions do with a batch, without Spark."""
+    some = pa.array([cell for cell in cells if cell is not None], pa.string())
+    codes = arrow_cells.cell_codes(some, ",")
+    for kind, known in (("id", IDS), ("user", USERS)):
+        keys = arrow_cells.code_keys(codes.values, kind).to_pylist()
+        texts = pa.ListArray.from_arrays(
+            codes.offsets, pa.array([known.get(key, "NA") for key in keys], pa.string())
+        )
+        got = [";".join(row) for row in texts.to_pylist()]
+        assert got == [_expected(cell, kind) for cell in some.to_pylist()]
