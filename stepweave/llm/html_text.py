@@ -4,9 +4,11 @@ Every DOM node gets its characters per tag, adjusted for the share of link text;
 node's density sum adds its children's densities.  The node with the greatest sum is
 the content; the least density on its path to the body is the threshold that other
 parts must reach.  Where the content is in an article, the article is whole and the
-threshold is the least density from it to the body.  What names itself as furniture
-(menus, notices, forms and so on) is left out before and after; a class or identifier
-does not name what holds the page's main text.
+threshold is the least density from it to the body.  Elements that are furniture (menus,
+notices, forms and so on) are left out before and after.  A class or identifier that names
+furniture does so outside of the page's articles, but never for what holds the main text;
+within an article text that is about as dense as the article stays, whatever its name.
+Readers' comments are left out wherever they are.
 """
 
 from __future__ import annotations
@@ -46,11 +48,14 @@ FURNITURE_WORDS = frozenset(
     "pagination popup promo promotion related replies respond share sharing sidebar signup "
     "social sponsor sponsored subscribe toolbar warning widget".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist replies respond".split())
 FURNITURE_ROLES = frozenset(
     "alert banner complementary contentinfo dialog form menu menubar navigation search".split()
 )
 # These hold the article whatever they are called.
 HOLDERS = frozenset(("html", "body", "main", "article"))
+#: Within an article, what has furniture's name is left out below this share of its density.
+NAMED_SHARE = 0.5
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
@@ -77,7 +82,9 @@ class _Page:
 
     def __init__(self, source: str):
         self.tags, self.parents, self.left_out = ["#root"], [0], [False]
-        self._named: set[int] = set()  # nodes that a class or identifier calls furniture
+        # Nodes that a class or identifier calls furniture, and those it calls comments.
+        self._named: set[int] = set()
+        self._comments: set[int] = set()
         self.runs: list[tuple[int, int, str]] = []  # node, block, text
         self._open = [0]
         self._read(source)
@@ -85,14 +92,18 @@ class _Page:
 
     def _read(self, source: str) -> None:
         at, block, n = 0, 0, len(source)
+        # Behind the last end of a tag there is none, however many may begin.
+        last = source.rfind(">") + 1
         while at < n:
-            token = _TOKEN.search(source, at)
+            token = _TOKEN.search(source, at, last) if at < last else None
             start = token.start() if token else n
             if start > at:
-                self.runs.append((self._open[-1], block, source[at:start]))
+                self.runs.append((self._open[-1], block, source[at:start].split("<!--", 1)[0]))
             if not token:
                 break
             at = token.end()
+            if at == last and token[0].startswith("<!--") and not token[0].endswith("-->"):
+                break  # a comment without an end
             tag = (token["tag"] or "").lower()
             if not tag:
                 continue
@@ -120,8 +131,12 @@ class _Page:
         self.parents.append(parent)
         furniture = self._is_furniture(tag, attributes, parent)
         self.left_out.append(self.left_out[parent] or furniture)
-        if not furniture and tag not in HOLDERS and self._has_furniture_name(attributes):
-            self._named.add(len(self.tags) - 1)
+        if not furniture and tag not in HOLDERS:
+            words = self._name_words(attributes)
+            if not FURNITURE_WORDS.isdisjoint(words):
+                self._named.add(len(self.tags) - 1)
+            if not COMMENT_WORDS.isdisjoint(words):
+                self._comments.add(len(self.tags) - 1)
         if tag not in VOID:
             stack.append(len(self.tags) - 1)
 
@@ -158,40 +173,49 @@ class _Page:
             for name, value in _MARKS.findall(attributes)
         )
 
-    def _has_furniture_name(self, attributes: str) -> bool:
-        return any(
-            name.lower() != "role" and not FURNITURE_WORDS.isdisjoint(_WORDS.findall(value.lower()))
+    def _name_words(self, attributes: str) -> set[str]:
+        return {
+            word
             for name, value in _MARKS.findall(attributes)
-        )
+            if name.lower() != "role"
+            for word in _WORDS.findall(value.lower())
+        }
 
     def _leave_out_named(self) -> None:
         """Leave out what has furniture's name, but never what holds the main text.
 
         That is a node around a main or article element, or, on a page that has none
-        elsewhere, one with half or more of the text outside of links.
+        elsewhere, one with half or more of the text outside of links.  Within a main or
+        article element a node stays if it is about as dense; only comments never do.
         """
         if not self._named:
             return
         n = len(self.tags)
         holders, plain, in_link = [0] * n, [0] * n, [False] * n
+        holder = [0] * n  # the main or article element that a node lies in
         for i in range(1, n):
-            in_link[i] = in_link[self.parents[i]] or self.tags[i] == "a"
+            up = self.parents[i]
+            in_link[i] = in_link[up] or self.tags[i] == "a"
             holders[i] = self.tags[i] in ("main", "article") and not self.left_out[i]
+            holder[i] = up if holders[up] else holder[up]
         for node, _, text in self.runs:
             if not (in_link[node] or self.left_out[node]):
                 plain[node] += len("".join(text.split()))
         for i in range(n - 1, 0, -1):
             holders[self.parents[i]] += holders[i]
             plain[self.parents[i]] += plain[i]
+        density = self.densities()
         for i in range(1, n):
             up = self.parents[i]
             named = i in self._named and not holders[i]
             if named and not holders[0] and 2 * plain[i] >= plain[0] > 0:
                 named = False
+            if named and holder[i] and i not in self._comments:
+                named = density[i] < NAMED_SHARE * density[holder[i]]
             self.left_out[i] = self.left_out[i] or self.left_out[up] or named
 
     def _in_article(self, node: int) -> bool:
-        while node and self.tags[node] != "article":
+        while node and self.tags[node] not in ("article", "main"):
             node = self.parents[node]
         return bool(node)
 
