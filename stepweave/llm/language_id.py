@@ -285,7 +285,9 @@ def label_languages(
             parts.append(pa.array(_labelled(part.to_pylist(), shared.value, penalty), _LABEL))
         return pa.concat_arrays(parts)
 
-    found = F.arrow_udf(label, "pred string, score double, " + _SPANS)(docs[text])
+    # A filter on the label must not bring the texts to Python once more.
+    labelled = F.arrow_udf(label, "pred string, score double, " + _SPANS).asNondeterministic()
+    found = labelled(docs[text])
     return docs.select("*", found.alias("__found")).select(
         *(docs[c] for c in docs.columns),
         F.col("__found.pred").alias("lang_pred"),
