@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stepweave.session import shared_folder
+from stepweave.session import drop_scratch, quoted, scratch_path, shared_folder
 
 # Fixed value: the characters that separate words, as a pattern for Spark.
 SPACES = r"[\x20\x09-\x0D]"
@@ -20,10 +20,6 @@ BROADCAST_ROWS = 250_000
 # Texts are hashed in pieces of about this many bytes.
 PIECE_BYTES = 1 << 20
 
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2^64
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
 
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once, in the shared folder, with its lineage cut."""
@@ -33,6 +29,29 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+class Steps:
+    """Tables that are settled on the way to a result, and can go once it is settled too."""
+
+    def __init__(self) -> None:
+        self._held: list[DataFrame] = []
+
+    def settled(self, df: DataFrame) -> DataFrame:
+        self._held.append(settled(df))
+        return self._held[-1]
+
+    def release(self) -> None:
+        """Delete the tables' files.  Nothing that reads them may run afterwards."""
+        while self._held:
+            release(self._held.pop())
+
+
+def release(df: DataFrame) -> None:
+    """Delete the files of a settled table."""
+    file = df._jdf.queryExecution().logical().rdd().getCheckpointFile()
+    if file.isDefined():
+        drop_scratch(df.sparkSession, file.get())
+
+
 def fold(ident: str, parts: int) -> Column:
     """CRC-32 of a row's identifier as text, modulo ``parts``; 1 where it is null."""
     return F.coalesce(F.crc32(F.col(ident).cast("string").cast("binary")) % parts, F.lit(1))
@@ -45,6 +64,26 @@ def having(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
     return df.join(F.broadcast(wanted) if few else wanted, key, "left_semi")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``row, doc`` of all rows, as a table in the shared folder.
+
+    ``row`` is a number of its own for each row, whatever the row holds, and ``doc`` has
+    all of its columns, so that no name can clash.
+    """
+    columns = F.struct(*(docs[quoted(c)] for c in docs.columns))
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), columns.alias("doc"))
+    path = scratch_path(docs.sparkSession, "numbered")
+    rows.write.parquet(path)
+    return docs.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def without(rows: DataFrame, gone: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns of numbered rows whose number is not in ``gone``; short lists are broadcast."""
+    few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    left = rows.join(F.broadcast(gone) if few else gone, "row", "left_anti")
+    return left.select(*(F.col("doc")[c].alias(c) for c in columns))
+
+
 def in_pieces(
     items: Iterable[tuple], size: Callable[[tuple], int], most: int
 ) -> Iterator[list[tuple]]:
@@ -68,40 +107,65 @@ def byte_texts(column: pa.Array) -> list[bytes | None]:
 
 
 class WindowHasher:
-    """64-bit hashes of word sequences, from one running sum over the bytes.
+    """64-bit hashes of word sequences.
 
-    A byte's random number times a power of the base is summed; the difference of
-    two sums, shifted back to position 0, depends on the bytes between only.
+    A word is taken in lanes of eight bytes, which are mixed, each with its place, before
+    they are added.  A window is mixed from the two halves that cover it, and so on down to
+    words.  No step is linear in what goes in, so sequences cannot be made to cancel out,
+    and hashers with other seeds are unrelated.
     """
 
     def __init__(self, seed: int):
-        self._table = np.random.default_rng(seed).integers(0, 1 << 64, 256, dtype=np.uint64)
-        self._powers = np.ones(1, np.uint64)
-        self._back = np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self._powers) < n:
-            self._powers = np.full(n, _BASE, np.uint64)
-            self._back = np.full(n, _INVERSE, np.uint64)
-            for powers in (self._powers, self._back):
-                powers[0] = 1
-                np.cumprod(powers, out=powers)
+        random = np.random.default_rng(seed)
+        self._keys = random.integers(0, 1 << 64, 5, dtype=np.uint64)
 
     def load(self, words: list[bytes]) -> WindowHasher:
         """Take a list of words; windows are asked for by their numbers."""
-        text = np.frombuffer(b" ".join(words) + b" ", np.uint8)
-        self._grow(len(text) + 1)
-        self._sums = np.zeros(len(text) + 1, np.uint64)
-        np.cumsum(self._table[text] * self._powers[: len(text)], out=self._sums[1:])
-        self.ends = np.flatnonzero(text == 32)
-        self.starts = np.concatenate([[0], self.ends[:-1] + 1])
+        text = np.frombuffer(b" ".join(words) + b" " * 9, np.uint8)
+        ends = np.flatnonzero(text == 32)[: len(words)]
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        self._levels = [self._words(text, starts, ends - starts)]
         return self
 
+    def _words(self, text: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        lanes = -(-sizes // 8)
+        first = np.cumsum(lanes) - lanes
+        number = np.arange(lanes.sum()) - np.repeat(first, lanes)
+        at = np.repeat(starts, lanes) + 8 * number
+        eight = np.lib.stride_tricks.sliding_window_view(text, 8)[at]
+        values = np.ascontiguousarray(eight).view(np.uint64).ravel()
+        rest = np.minimum(np.repeat(sizes, lanes) - 8 * number, 8).astype(np.uint64)
+        values &= ~np.uint64(0) >> (np.uint64(64) - np.uint64(8) * rest)
+        places = mixed(number.astype(np.uint64) + self._keys[0])
+        values = mixed(mixed(values ^ self._keys[1]) + places)
+        sums = np.add.reduceat(values, first) if len(first) else values
+        return mixed(sums ^ mixed(sizes.astype(np.uint64) + self._keys[2]))
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return mixed(mixed(left ^ self._keys[3]) + self._keys[4] - right)
+
+    def _level(self, number: int) -> np.ndarray:
+        """Hashes of the windows of 2 ** number words, as far as there are so many."""
+        while len(self._levels) <= number:
+            below = self._levels[-1]
+            step = 1 << (len(self._levels) - 1)
+            self._levels.append(self._joined(below[: max(len(below) - step, 0)], below[step:]))
+        return self._levels[number]
+
     def windows(self, first: np.ndarray, length: np.ndarray | int) -> np.ndarray:
         """Hashes of the windows of ``length`` words from word ``first`` on."""
-        begin = self.starts[first]
-        part = self._sums[self.ends[first + length - 1]] - self._sums[begin]
-        return mixed(part * self._back[begin])
+        if np.ndim(length):
+            found = np.zeros(len(first), np.uint64)
+            for size in np.unique(length).tolist():
+                own = length == size
+                found[own] = self.windows(first[own], size)
+            return found
+        number = int(length).bit_length() - 1
+        half = self._level(number)
+        found = half[first]
+        if rest := int(length) - (1 << number):
+            found = self._joined(found, half[first + rest])
+        return mixed(found + np.uint64(length))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -143,16 +207,17 @@ def components(edges: DataFrame) -> DataFrame:
     """``node, component`` for the ends of the edges ``a, b``: the least node reachable.
 
     Least labels go over the edges and then to the label's own label, until nothing
-    changes.  Every round is settled.
+    changes.  Every round is settled, and the round before it goes.
     """
     edges = edges.select("a", "b").where("a <> b")
     both = settled(edges.union(edges.select("b", "a")).distinct())
-    labels = settled(
+    round_ = settled(
         both.groupBy(F.col("a").alias("node")).agg(
             F.least(F.min("b"), F.first("a")).alias("component")
         )
     )
     while True:
+        labels = round_.select("node", "component")
         near = (
             both.join(labels, both["b"] == labels["node"])
             .groupBy(F.col("a").alias("node"))
@@ -167,6 +232,8 @@ def components(edges: DataFrame) -> DataFrame:
                 "node", F.least("component", "up").alias("component"), "was"
             )
         )
-        labels = jumped.select("node", "component")
+        release(round_)
+        round_ = jumped
         if jumped.where("component <> was").isEmpty():
-            return labels
+            release(both)
+            return jumped.select("node", "component")
