@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepweave.llm.common import EDGES, SPACES, settled
-from stepweave.session import literal
+from stepweave.llm.common import EDGES, SPACES, numbered, release, settled
+from stepweave.session import literal, quoted
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -25,6 +25,8 @@ RANGES = 4096
 # Sources are broadcast up to this many rows; beyond it they are joined.
 BROADCAST_SOURCES = 100_000
 _HEX_DIGITS = 13
+# Between a name and the number of a row that repeats it.
+_NUMBER = "\x1f"
 
 
 def word_count(text: Column) -> Column:
@@ -84,51 +86,96 @@ def mix_sources(
 
     A document's size is its words (null: 0); ``mix_copies`` says how many times the mix
     takes it, from 0 to ``most``.  Per source, the words taken stay below the target by
-    less than any document that is not taken once more.  The draw depends on the seed and the identifier
-    (or the text, if that is null), so reruns agree, and rows that repeat an identifier
-    are drawn alike.  A null source is a source, the last one.  A source without words
-    has the target 0 and nothing is taken.  The input's columns are kept, whatever
-    their names; the new ones must not be among them.
+    less than any document that is not taken once more.  The draw depends on the seed and
+    the identifier (or the text, if that is null), so reruns agree.  Rows that share an
+    identifier are numbered in the order of size and text, and each has a draw of its own.
+    A null source is a source, the last one.  A source without words has the target 0 and
+    nothing is taken.  The input's columns are kept, whatever their names; the new ones
+    must not be among them.
     """
     new = ["mix_size", "mix_source_size", "mix_target", "mix_copies"]
     if clash := {c.lower() for c in docs.columns} & set(new):
         raise ValueError(f"columns of the mix already exist: {sorted(clash)}")
-    name = F.coalesce(docs[ident].cast("string"), F.md5(docs[text].cast("binary")), F.lit(""))
-    drawn = {
-        "mix_size": word_count(docs[text]).cast("long"),
-        "__draw": draw(seed, name),
-        "__name": name,
-        "__source": docs[source],
-    }
-    sizes = settled(
-        docs.select(
-            drawn["__source"].alias("source"),
-            drawn["mix_size"].alias("size"),
-            drawn["__draw"].alias("draw"),
-            drawn["__name"].alias("name"),
-        )
-    )
+    columns = F.struct(*(docs[quoted(c)] for c in docs.columns))
+    rows = _measured(docs.select(columns.alias("doc")), ident, text, source)
+    names = rows.groupBy("source", "name").agg(F.count(F.lit(1)).alias("n"))
+    repeated = settled(names.where("n > 1").select("source", "name"))
+    if not repeated.isEmpty():
+        rows = _told_apart(_measured(numbered(docs), ident, text, source), repeated)
+    rows = rows.withColumn("draw", draw(seed, F.col("name")))
+    sizes = settled(rows.select("source", "size", "draw", "name"))
     cuts = settled(_cuts(sizes, source_targets(sizes, weights, most)))
+    release(sizes)
     few = cuts.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    told = docs.withColumns(drawn).join(
-        F.broadcast(cuts) if few else cuts, F.col("__source").eqNullSafe(F.col("cut_source"))
+    told = rows.join(
+        F.broadcast(cuts) if few else cuts, F.col("source").eqNullSafe(F.col("cut_source"))
     )
     place = F.struct(
-        _rank(F.col("__draw"), F.col("cut_fraction")).alias("rank"),
-        F.col("__name").alias("name"),
-        F.col("mix_size").alias("size"),
+        _rank(F.col("draw"), F.col("cut_fraction")).alias("rank"), F.col("name"), F.col("size")
     )
     more = (place <= F.col("cut_last")) | place.eqNullSafe(F.col("cut_extra"))
     more = F.coalesce(more, F.lit(False)).cast("int")
     return told.select(
-        *(docs[c] for c in docs.columns),
-        "mix_size",
+        *(F.col("doc")[c].alias(c) for c in docs.columns),
+        F.col("size").alias("mix_size"),
         F.col("cut_source_size").alias("mix_source_size"),
         F.col("cut_target").alias("mix_target"),
         (F.col("cut_whole") + more).cast("int").alias("mix_copies"),
     )
 
 
+def _measured(rows: DataFrame, ident: str, text: str, source: str) -> DataFrame:
+    """``rows`` of documents as structs, with their source, size, name and text's digest."""
+    doc = F.col("doc")
+    digest = F.md5(doc[text].cast("binary"))
+    return rows.select(
+        "*",
+        doc[source].alias("source"),
+        word_count(doc[text]).cast("long").alias("size"),
+        F.coalesce(doc[ident].cast("string"), digest, F.lit("")).alias("name"),
+        digest.alias("digest"),
+    )
+
+
+def _told_apart(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Numbered rows whose name comes twice in a source get names of their own.
+
+    They are sorted over all tasks and counted by task, so that no task gets all rows of
+    a name, however many they are.
+    """
+    of = [F.col("source").eqNullSafe(F.col("of_source")), F.col("name") == F.col("of_name")]
+    wanted = repeated.toDF("of_source", "of_name")
+    few = wanted.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    keys = ["source", "name", "size", "digest", "row"]
+    some = rows.join(F.broadcast(wanted) if few else wanted, of, "left_semi").select(keys)
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    some = settled(
+        some.repartitionByRange(parts, *keys).withColumn("part", F.spark_partition_id())
+    )
+    counts = some.groupBy("source", "name", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("source", "name").orderBy("part")
+    earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col("source").alias("of_source"),
+        F.col("name").alias("of_name"),
+        F.col("part").alias("of_part"),
+        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+    )
+    within = Window.partitionBy("part", "source", "name").orderBy("size", "digest", "row")
+    numbers = some.withColumn("number", F.row_number().over(within) - 1).join(
+        offsets, [*of, F.col("part") == F.col("of_part")]
+    )
+    numbers = settled(
+        numbers.select(F.col("row").alias("of_row"), (F.col("number") + F.col("before")).alias("number"))
+    )
+    few = numbers.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    told = rows.join(
+        F.broadcast(numbers) if few else numbers, F.col("row") == F.col("of_row"), "left"
+    )
+    own = F.concat("name", F.lit(_NUMBER), F.col("number").cast("string"))
+    return told.withColumn("name", F.when(F.col("number") > 0, own).otherwise(F.col("name")))
+
+
 def _rank(drawn: Column, fraction: Column) -> Column:
     """The random odds over the odds of the fraction; null where the fraction is 0."""
     return F.try_divide(drawn / (1 - drawn), fraction / (1 - fraction))

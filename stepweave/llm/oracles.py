@@ -75,9 +75,13 @@ FROM docs JOIN least ON start = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = do
 """
 
 OP7 = f"""
-WITH docs AS (
-    SELECT doc_id, source, len({_WORDS})::BIGINT AS size,
+WITH named AS (
+    SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5(text) AS digest,
         coalesce(doc_id::VARCHAR, md5(text), '') AS name FROM documents
+), docs AS (
+    SELECT doc_id, source, size, name || CASE WHEN number > 0 THEN chr(31) || number ELSE '' END AS name
+    FROM (SELECT *, row_number() OVER (PARTITION BY source, name ORDER BY size, digest NULLS FIRST) - 1
+        AS number FROM named)
 ), sources AS (
     SELECT source, sum(size)::BIGINT AS source_size, 3.0 * sum(size)::DOUBLE AS most,
         [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3]::DOUBLE AS weight
