@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepweave.llm.common import settled
+from stepweave.llm.common import BROADCAST_ROWS, settled
 from stepweave.session import shared_folder
 
 # Signatures and field values of the ZIP format.
@@ -41,6 +41,10 @@ DATE = "2000-01-01T00:00:00Z"
 
 #: A package is closed when its records exceed so many bytes.
 PACKAGE_BYTES = 32 << 20
+#: What a record counts for besides its body and address.
+RECORD_BYTES = 512
+#: Payloads of more than one in so many repeated pages are hot: there are fewer of them.
+HOT_SHARE = 20_000
 #: A task reads about so many packages, fewer where there are cores to spare.
 PACKAGES_A_TASK = 4
 
@@ -290,12 +294,13 @@ def write_archives(
         payload.alias("payload"),
         F.sha1(payload).alias("same"),
     )
-    first = (
-        rows.where((F.octet_length("payload") >= least_revisit) & F.col("order").isNotNull())
+    groups = (
+        rows.where(F.octet_length("payload") >= least_revisit)
         .groupBy("same")
-        .agg(F.max("order").alias("response"))
+        .agg(F.max("order").alias("response"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1 and response is not null")
     )
-    told = rows.join(first, "same", "left").select(
+    told = _with_response(rows, settled(groups)).select(
         "ident",
         "url",
         "payload",
@@ -315,7 +320,8 @@ def write_archives(
                 kind = "response" if refers_to is None else "revisit"
                 body = payload if refers_to is None else b""
                 held.append(Record(ident or "", url, kind, digest, length, refers_to, body))
-                size += len(body)
+                # A revisit has no body, but its record and its line in the index.
+                size += len(body) + len(held[-1].url) + RECORD_BYTES
                 if size >= package_bytes:
                     yield _write(store, base, held)
                     held, size = [], 0
@@ -325,6 +331,22 @@ def write_archives(
     return settled(told.mapInArrow(pack, "name string, bytes long, records long"))
 
 
+def _with_response(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the identifier of their group's response, null outside of groups.
+
+    Payloads stay where they are while the groups are few enough to be broadcast.  Beyond
+    that only the rows of the largest groups do, so that no task gets all rows of one.
+    """
+    if groups.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(groups.drop("n")), "same", "left")
+    hot = groups.where(F.col("n") * HOT_SHARE > groups.agg(F.sum("n")).scalar())
+    marked = rows.join(F.broadcast(hot.select("same", F.col("response").alias("found"))), "same", "left")
+    there = F.col("found").isNotNull()
+    rest = marked.where(~there).drop("found").join(groups.drop("n"), "same", "left")
+    hot_rows = marked.where(there).withColumnRenamed("found", "response")
+    return hot_rows.unionByName(rest)
+
+
 def _write(store, base: str, records: list[Record]) -> pa.RecordBatch:
     name = f"part-{uuid.uuid4().hex}.wacz"
     package = pack_records(records)
