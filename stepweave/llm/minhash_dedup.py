@@ -8,8 +8,9 @@ their similarity, and the full sets decide.
 * Similar sets share many retained values, so a pair meets in a list of one of its
   rarest values: only these are listed (a prefix filter), and values of one class never.
 * In each list every class is first compared with one leader.  That settles groups of
-  copies without forming their pairs.  Where a list still spans several components, its
-  members are compared in blocks, which give out only links that join components.
+  copies without forming their pairs.  Where a list still spans several components, those
+  that differ from most of its members are compared with all, in cells of bounded size,
+  which give out only links that join components.
 """
 
 from __future__ import annotations
@@ -25,7 +26,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepweave.llm.common import (
+    BROADCAST_ROWS,
     PIECE_BYTES,
+    Steps,
     WindowHasher,
     byte_texts,
     components,
@@ -42,6 +45,12 @@ SKETCH = 64
 DEVIATIONS = 6.0
 #: Classes of a list that are compared at once.
 BLOCK = 512
+#: A cell of a list has sets of about so many bytes together; a member counts as this many
+#: more, so that members are not too many either.
+CELL_BYTES = 1 << 23
+MEMBER_BYTES = 1 << 11
+#: Lists that are a class's homes; and sets of homes of a list that are told apart.
+HOMES, KINDS = 3, 64
 _COLUMNS_AT_ONCE = 4096
 
 
@@ -155,17 +164,19 @@ def near_duplicates(
             F.first("sketch").alias("sketch"),
         )
     )
-    lists = settled(_lists(classes, k, percent))
+    steps = Steps()
+    lists = steps.settled(_lists(classes, k, percent, steps))
     members = lists.select("node").distinct()
     named = texts.withColumnRenamed("ident", "node")
-    sets = settled(
+    sets = steps.settled(
         having(named, "node", members).mapInArrow(_full_sets(size), "node long, set binary")
     )
-    first = settled(_leader_links(lists, classes, sets, k, percent))
+    first = steps.settled(_leader_links(lists, classes, sets, k, percent))
     labels = components(first)
-    later = settled(_block_links(lists, labels, sets, percent))
+    later = steps.settled(_block_links(lists, classes, labels, sets, k, percent, steps))
     if not later.isEmpty():
         labels = components(first.union(later))
+    steps.release()  # what is left are rows, classes and labels
     placed = rows.join(classes.select("class", "node"), "class", "left").join(
         labels.withColumnRenamed("component", "linked"), "node", "left"
     )
@@ -178,7 +189,7 @@ def near_duplicates(
     )
 
 
-def _lists(classes: DataFrame, k: int, percent: int) -> DataFrame:
+def _lists(classes: DataFrame, k: int, percent: int, steps: Steps) -> DataFrame:
     """``value, node, leader`` of the inverted lists of rare shared values.
 
     Lists of the same members are one.
@@ -200,7 +211,7 @@ def _lists(classes: DataFrame, k: int, percent: int) -> DataFrame:
         F.size("values").alias("central"),
         F.explode(F.slice("values", F.lit(1), room.cast("int"))).alias("entry"),
     )
-    listed = settled(listed.select("node", "central", "entry.value"))
+    listed = steps.settled(listed.select("node", "central", "entry.value"))
     by_value = listed.groupBy("value").agg(
         F.count(F.lit(1)).alias("n"),
         F.bit_xor(F.xxhash64("node")).alias("mark"),
@@ -252,92 +263,195 @@ def _similar(percent: int):
 
 
 def _block_links(
-    lists: DataFrame, labels: DataFrame, sets: DataFrame, percent: int
+    lists: DataFrame,
+    classes: DataFrame,
+    labels: DataFrame,
+    sets: DataFrame,
+    k: int,
+    percent: int,
+    steps: Steps,
 ) -> DataFrame:
-    """Links between members of a list that are still in different components."""
-    told = lists.join(labels, "node", "left").withColumn(
+    """Links between members of a list that are still in different components.
+
+    A class's homes are the longest of its open lists.  Classes that share a home are
+    compared there; other lists need those only that have a class without a common home
+    beside them, which is seen from the few sets of homes that their members have.  So the
+    rows stay in proportion to the classes, though copies meet in many lists.
+
+    In a list, members of one component need no comparison.  As a rule one component has
+    nearly all; it is dealt to cells once, and the few others go to each of them.  Only if
+    these fill more than a cell themselves, all members are dealt to pairs of blocks.
+    """
+    told = lists.where("n > 2").join(labels, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    open_lists = (
+    spanning = (
         told.groupBy("value")
         .agg(F.min("component").alias("low"), F.max("component").alias("high"))
         .where("low < high")
         .select("value")
     )
     # With two members the leader has been compared with the other one.
-    members = told.where("n > 2").join(open_lists, "value", "left_semi")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    cells = members.withColumn("own", own).select(
-        "value",
-        "node",
-        "component",
-        "own",
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
+    members = steps.settled(having(told, "value", spanning))
+    longest = F.sort_array(F.collect_list(F.struct("n", "value")), asc=False)
+    homes = members.groupBy("node").agg(F.slice(longest, 1, HOMES).getField("value").alias("homes"))
+    members = members.join(homes, "node").select("value", "node", "component", "homes")
+    members = steps.settled(members)
+    kinds = members.groupBy("value", "homes").agg(F.count(F.lit(1)).alias("n"))
+    many = kinds.groupBy("value").agg(F.count(F.lit(1)).alias("kinds")).where(f"kinds > {KINDS}")
+    few_kinds = kinds.join(many, "value", "left_anti").groupBy("value").agg(
+        F.collect_list("homes").alias("all")
+    )
+    alone = F.filter(
+        "all", lambda x: F.exists("all", lambda y: ~F.arrays_overlap(x, y))
+    )
+    apart = few_kinds.select("value", F.explode(alone).alias("homes"))
+    asked = apart.unionByName(kinds.join(many, "value", "left_semi").select("value", "homes"))
+    asked = asked.withColumn("asked", F.lit(True))
+    at_home = F.array_contains("homes", F.col("value"))
+    weights = classes.select("node", (F.col("n") * 8 + MEMBER_BYTES).alias("weight"))
+    shipped = (
+        members.join(asked, ["value", "homes"], "left")
+        .where(at_home | F.col("asked"))
+        .drop("asked")
+        .join(weights, "node")
+    )
+    members = steps.settled(shipped)
+    parts = members.groupBy("value", "component").agg(F.sum("weight").alias("weight"))
+    plan = (
+        parts.groupBy("value")
+        .agg(
+            F.max(F.struct("weight", "component")).alias("most"),
+            F.sum("weight").alias("all"),
+            F.count(F.lit(1)).alias("parts"),
+        )
+        .where("parts > 1")
+        .withColumn("star", F.col("all") - F.col("most.weight") <= CELL_BYTES)
+    )
+    dealt_bytes = F.when(F.col("star"), F.col("most.weight")).otherwise(F.col("all"))
+    plan = plan.withColumn("cells", F.ceil(dealt_bytes / CELL_BYTES).cast("int"))
+    few = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    planned = members.join(F.broadcast(plan) if few else plan, "value")
+    star, main = F.col("star"), F.col("component") == F.col("most.component")
+    own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
+    every = F.sequence(F.lit(0), F.col("cells") - 1)
+    dealt = planned.withColumns({"own": own, "main": main}).withColumn(
+        "to", F.explode(F.when(star & F.col("main"), F.array("own")).otherwise(every))
     )
-    cells = cells.select(
+    cells = dealt.select(
         "value",
-        F.least("own", "other").alias("low"),
-        F.greatest("own", "other").alias("high"),
-        "own",
+        F.when(star, F.lit(-1)).otherwise(F.least("own", "to")).alias("low"),
+        F.when(star, F.col("to")).otherwise(F.greatest("own", "to")).alias("high"),
+        F.when(star, (~F.col("main")).cast("int")).otherwise(F.col("own")).alias("side"),
+        # The side whose members are also compared with each other in this cell.
+        F.when(star, F.when(F.col("to") == 0, 1).otherwise(-1))
+        .otherwise(F.when(F.col("own") == F.col("to"), F.col("own")).otherwise(-1))
+        .alias("inner"),
         "node",
         "component",
+        "homes",
     )
-    with_sets = cells.join(sets, "node")
     return (
-        with_sets.groupBy("value", "low", "high")
-        .applyInArrow(_linked(percent), "a long, b long")
+        cells.join(sets, "node")
+        .groupBy("value", "low", "high")
+        .applyInArrow(_linked(k, percent), "a long, b long")
         .distinct()
     )
 
 
-def _linked(percent: int):
+def _least_shared(sizes: np.ndarray, k: int, percent: int) -> np.ndarray:
+    """:func:`least_shared` of numbers."""
+    share = percent / 100
+    sampled = math.floor(k * share - DEVIATIONS * math.sqrt(k * share * (1 - share)))
+    lost = np.maximum(np.floor(sizes / share) - k, 0)
+    some = np.maximum(np.ceil(sizes * share - 1e-9) - lost, 1)
+    return np.where(sizes >= k, max(1, sampled), some)
+
+
+def _linked(k: int, percent: int):
     def linked(cell: pa.Table) -> pa.Table:
         """Links across components in one cell; a link that joins nothing is left out."""
-        nodes, labels, own = (
-            cell[name].to_numpy() for name in ("node", "component", "own")
-        )
+        names = ("node", "component", "side", "inner")
+        nodes, labels, side, inner = (cell[name].to_numpy() for name in names)
+        # Pairs with a common home are compared there; here, if this list is one.
+        value, here = cell["value"][0].as_py(), cell["homes"].to_pylist()
+        at_home = np.array([value in homes for homes in here])
+        kinds = {kind: i for i, kind in enumerate(dict.fromkeys(map(tuple, here)))}
+        kind = np.array([kinds[tuple(homes)] for homes in here])
+        strangers = _strangers(list(kinds))
         sets = [np.frombuffer(s, np.uint64) for s in cell["set"].to_pylist()]
         sizes = np.array([len(s) for s in sets])
-        common = _common(sets, sizes)
-        union = sizes[:, None] + sizes[None, :] - common
-        hit = np.triu((100 * common >= percent * union) & (labels[:, None] != labels[None, :]), 1)
-        if pc.min(cell["low"]).as_py() != pc.max(cell["high"]).as_py():
-            hit &= own[:, None] != own[None, :]  # the rest is in the blocks' own cells
-        up = {label: label for label in labels.tolist()}
-
-        def root(label: int) -> int:
-            while up[label] != label:
-                up[label] = up[up[label]]
-                label = up[label]
-            return label
-
+        sketches = [s[:k] for s in sets]  # sets are in order
+        shared = _least_shared(np.minimum(sizes, k), k, percent)
+        roots = labels.copy()
         links = []
-        for i, j in np.argwhere(hit).tolist():
-            x, y = root(labels[i].item()), root(labels[j].item())
-            if x != y:
-                up[max(x, y)] = min(x, y)
-                links.append((nodes[i], nodes[j]))
+        # Alike lie together, so that most blocks of pairs are soon in one component.
+        order = np.lexsort((sizes, labels))
+        blocks = [order[at : at + BLOCK] for at in range(0, len(order), BLOCK)]
+        for i, rows in enumerate(blocks):
+            for columns in blocks[i:]:
+                ask = side[rows][:, None] != side[columns][None]
+                ask |= (side[rows] == inner[rows])[:, None] & (side[columns] == inner[columns])[None]
+                ask &= (at_home[rows][:, None] & at_home[columns][None]) | strangers[
+                    kind[rows][:, None], kind[columns][None]
+                ]
+                ask &= roots[rows][:, None] != roots[columns][None]
+                least = np.minimum(sizes[rows][:, None], sizes[columns][None])
+                most = np.maximum(sizes[rows][:, None], sizes[columns][None])
+                ask &= 100 * least >= percent * most
+                if not ask.any():
+                    continue
+                # Of the rest, those whose sketches share enough.
+                ask[ask] = (
+                    _common([sketches[x] for x in rows], [sketches[x] for x in columns])[ask]
+                    >= np.maximum(shared[rows][:, None], shared[columns][None])[ask]
+                )
+                x, y = (np.flatnonzero(ask.any(axis)) for axis in (1, 0))
+                if not len(x):
+                    continue
+                common = _common([sets[rows[at]] for at in x], [sets[columns[at]] for at in y])
+                union = sizes[rows[x]][:, None] + sizes[columns[y]][None] - common
+                hit = ask[np.ix_(x, y)] & (100 * common >= percent * union)
+                for at_x, at_y in np.argwhere(hit).tolist():
+                    one, other = rows[x[at_x]], columns[y[at_y]]
+                    if roots[one] != roots[other]:
+                        links.append((nodes[one], nodes[other]))
+                        joined = roots == roots[other]
+                        roots[joined] = roots[one]
         a, b = zip(*links, strict=True) if links else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return linked
 
 
-def _common(sets: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
+def _strangers(kinds: list[tuple[int, ...]]) -> np.ndarray:
+    """Which sets of homes have none in common."""
+    homes, there = np.zeros((len(kinds), HOMES), np.int64), np.zeros((len(kinds), HOMES), bool)
+    for i, kind in enumerate(kinds):
+        homes[i, : len(kind)], there[i, : len(kind)] = kind, True
+    shared = np.zeros((len(kinds), len(kinds)), bool)
+    for i in range(HOMES):
+        for j in range(HOMES):
+            same = homes[:, i, None] == homes[None, :, j]
+            shared |= same & there[:, i, None] & there[None, :, j]
+    return ~shared
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Sizes of all intersections, from products of membership tables."""
-    values, places = np.unique(np.concatenate(sets), return_inverse=True)
-    members = np.repeat(np.arange(len(sets)), sizes)
-    shared = np.bincount(places)[places] > 1
-    places, members = places[shared], members[shared]
+    sizes = np.array([len(s) for s in (*left, *right)])
+    values, places = np.unique(np.concatenate([*left, *right]), return_inverse=True)
+    members = np.repeat(np.arange(len(sizes)), sizes)
+    several = np.bincount(places)[places] > 1
+    places, members = places[several], members[several]
     _, places = np.unique(places, return_inverse=True)
-    common = np.zeros((len(sets), len(sets)), np.float32)
+    common = np.zeros((len(left), len(right)), np.float32)
     order = np.argsort(places, kind="stable")
     places, members = places[order], members[order]
     count = places[-1] + 1 if len(places) else 0
     for start in range(0, count, _COLUMNS_AT_ONCE):
         low, high = np.searchsorted(places, [start, start + _COLUMNS_AT_ONCE])
-        table = np.zeros((len(sets), _COLUMNS_AT_ONCE), np.float32)
+        table = np.zeros((len(sizes), _COLUMNS_AT_ONCE), np.float32)
         table[members[low:high], places[low:high] - start] = 1
-        common += table @ table.T
+        common += table[: len(left)] @ table[len(left) :].T
     return np.rint(common).astype(np.int64)
