@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepweave.llm.common import BROADCAST_ROWS, settled, summed_arrays
+from stepweave.llm.common import BROADCAST_ROWS, release, settled, summed_arrays
 
 #: Parts of a vector, entries of a codebook, rounds, and steps of a component per unit.
 PARTS = 16
@@ -404,6 +404,7 @@ def compress_vectors(
         shared.destroy()
     schema = f"ident {kinds['ident']}, label {kinds['label']}, code string, error long"
     coded = settled(trees.mapInArrow(_coded(context.broadcast(books)), schema))
+    release(trees)
     told = _with_label_error(coded)
     return told.withColumnsRenamed({"ident": ident, "label": label}), books
 
