@@ -7,7 +7,7 @@ parts must reach.  Where the content is in an article, the article is whole and
 threshold is the least density from it to the body.  Elements that are furniture (menus,
 notices, forms and so on) are left out before and after.  A class or identifier that names
 furniture does so outside of the page's articles, but never for what holds the main text;
-within an article text that is about as dense as the article stays, whatever its name.
+within an article text that is as dense as the article stays, whatever its name.
 Readers' comments are left out wherever they are.
 """
 
@@ -54,8 +54,6 @@ FURNITURE_ROLES = frozenset(
 )
 # These hold the article whatever they are called.
 HOLDERS = frozenset(("html", "body", "main", "article"))
-#: Within an article, what has furniture's name is left out below this share of its density.
-NAMED_SHARE = 0.5
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)
@@ -186,7 +184,7 @@ class _Page:
 
         That is a node around a main or article element, or, on a page that has none
         elsewhere, one with half or more of the text outside of links.  Within a main or
-        article element a node stays if it is about as dense; only comments never do.
+        article element a node stays if it is as dense; only comments never do.
         """
         if not self._named:
             return
@@ -211,7 +209,7 @@ class _Page:
             if named and not holders[0] and 2 * plain[i] >= plain[0] > 0:
                 named = False
             if named and holder[i] and i not in self._comments:
-                named = density[i] < NAMED_SHARE * density[holder[i]]
+                named = density[i] < density[holder[i]]
             self.left_out[i] = self.left_out[i] or self.left_out[up] or named
 
     def _in_article(self, node: int) -> bool:
