@@ -26,11 +26,14 @@ from stepweave.llm.common import (
     byte_texts,
     in_pieces,
     mixed,
+    release,
     settled,
 )
 
 #: Words of a window.
 WINDOW = 35
+#: The windows of about so many bytes of texts are compared at once.
+BUCKET_BYTES = 8 << 20
 # Perfect difference covers, by period.
 COVERS = {
     1: (0,),
@@ -269,13 +272,22 @@ def _twice(packets: list[tuple], buckets: int) -> pa.RecordBatch:
     )
 
 
-def _by_text(texts: DataFrame, find, window: int) -> DataFrame:
+def _buckets(texts: DataFrame) -> int:
+    """So many that a bucket holds the windows of a bounded part of the texts.
+
+    A task has one bucket in memory, so its need does not grow with the corpus.
+    """
+    least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(least, -(-size // BUCKET_BYTES))
+
+
+def _by_text(texts: DataFrame, find, window: int, buckets: int) -> DataFrame:
     """``k1, k2, positions`` of the windows that ``find`` chooses and that are repeated."""
-    buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     packets = texts.mapInArrow(find(window, buckets), _PACKET)
-    dealt = packets.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = packets.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     places = dealt.mapInArrow(_repeated(buckets), _PLACES)
-    home = places.repartition("bucket").sortWithinPartitions("bucket")
+    home = places.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return settled(home.mapInArrow(_gathered, _FOUND))
 
 
@@ -383,9 +395,11 @@ def remove_repeats(
         docs[text].alias("text"),
     )
     texts = keyed.select("k1", "k2", "text")
-    shared = _by_text(texts, _anchors, window)
+    buckets = _buckets(texts)
+    shared = _by_text(texts, _anchors, window, buckets)
     marked = _of_few(texts, shared, "left_semi").join(shared, ["k1", "k2"])
-    repeats = _by_text(marked, _windows, window)
+    repeats = _by_text(marked, _windows, window, buckets)
+    release(shared)
     alone = _of_few(keyed, repeats, "left_anti")
     touched = _of_few(keyed, repeats, "left_semi")
     if alone is keyed:  # too many texts to tell them apart before the join
