@@ -10,13 +10,14 @@ collecting pairs.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stepweave.llm.common import components, settled
+from stepweave.llm.common import components, release, settled
 
 #: Least cosine of a link.
 COSINE = 0.95
@@ -106,6 +107,7 @@ def linked_vectors(
         )
     )
     found = settled(_compared(hashed, cosine))
+    release(hashed)
     labels = components(found.where("b is not null").select(F.col("node").alias("a"), "b"))
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))
     of_class = classes.join(counts, "node", "left").join(labels, "node", "left")
@@ -139,47 +141,128 @@ def _compared(hashed: DataFrame, cosine: float) -> DataFrame:
         F.least("own", "other").alias("low"),
         F.greatest("own", "other").alias("high"),
     )
-    with_vectors = cells.join(hashed.drop("buckets"), "node")
-    return with_vectors.groupBy(*at, "low", "high").applyInArrow(
-        _links(cosine), "node long, links long, b long"
+    with_vectors = cells.join(hashed.drop("buckets"), "node").select(
+        *_CELL, "node", "own", "copies", "unit", "signature"
     )
+    ordered = with_vectors.repartition(*_CELL).sortWithinPartitions(*_CELL, "node")
+    return ordered.mapInArrow(_links(cosine), "node long, links long, b long")
 
 
-def _links(cosine: float):
-    def links(cell: pa.Table) -> pa.Table:
-        nodes = cell["node"].to_numpy()
-        order = np.argsort(nodes)
-        nodes = nodes[order]
-        copies, own = (cell[name].to_numpy()[order] for name in ("copies", "own"))
+# What a cell is told by; all of its rows are compared with each other.
+_CELL = ["size", "table", "bucket", "low", "high"]
+
+
+@dataclass(frozen=True)
+class _Rows:
+    """Rows of whole cells, by cell and node; vectors of one size."""
+
+    cells: np.ndarray  # [row, what tells a cell]
+    nodes: np.ndarray
+    own: np.ndarray
+    copies: np.ndarray
+    unit: np.ndarray
+    signs: np.ndarray
+
+    @staticmethod
+    def of(rows: pa.Table) -> _Rows:
         unit, signs = (
-            np.frombuffer(b"".join(cell[name].to_pylist()), kind).reshape(len(nodes), -1)[order]
+            np.frombuffer(b"".join(rows[name].to_pylist()), kind).reshape(len(rows), -1)
             for name, kind in (("unit", np.float64), ("signature", np.int32))
         )
-        hit = unit @ unit.T >= cosine
-        if cell["low"][0] != cell["high"][0]:
-            hit &= own[:, None] != own[None, :]  # the rest is in the blocks' own cells
-        np.fill_diagonal(hit, False)
-        first, second = np.nonzero(np.triu(hit))
-        table = cell["table"][0].as_py()
-        for start in range(0, len(first), 65536):
-            a, b = first[start : start + 65536], second[start : start + 65536]
-            met = (signs[a, :table] == signs[b, :table]).any(1) if table else np.zeros(len(a), bool)
-            hit[a[met], b[met]] = hit[b[met], a[met]] = False
-        some = np.flatnonzero(hit.any(1))
-        found = (hit[some] * copies).sum(1)
-        least = _least_reached(hit)[some]
-        lower = least < some
-        return pa.table(
-            {
-                "node": pa.array(nodes[some]),
-                "links": pa.array(found.astype(np.int64)),
-                "b": pa.array(nodes[least], mask=~lower),
-            }
-        )
+        cells = np.stack([rows[name].to_numpy().astype(np.int64) for name in _CELL], 1)
+        nodes, own, copies = (rows[name].to_numpy() for name in ("node", "own", "copies"))
+        return _Rows(cells, nodes, own, copies, unit, signs)
+
+    def met_before(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether pairs share a bucket in an earlier table than the one they are in."""
+        earlier = np.arange(TABLES) < self.cells[a, 1][:, None]
+        return ((self.signs[a] == self.signs[b]) & earlier).any(1)
+
+
+def _whole_cells(batches: Iterable[pa.RecordBatch]) -> Iterator[_Rows]:
+    """Rows in the order of their cells, no cell of which goes on in the next ones."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        # Where the last cell, and the last size of vectors, begin.
+        cells = np.stack([batch[name].to_numpy().astype(np.int64) for name in _CELL], 1)
+        turns = np.flatnonzero((cells[1:] != cells[:-1]).any(1)) + 1
+        if held:
+            last = held[-1]
+            if any(last[name][-1] != batch[name][0] for name in _CELL):
+                yield from _by_size(held)
+                held = []
+            elif len(turns):
+                yield from _by_size([*held, batch.slice(0, turns[0])])
+                batch, turns, held = batch.slice(turns[0]), turns[1:] - turns[0], []
+        if len(turns) and not held:
+            yield from _by_size([batch.slice(0, turns[-1])])
+            batch = batch.slice(turns[-1])
+        held.append(batch)
+    if held:
+        yield from _by_size(held)
+
+
+def _by_size(batches: list[pa.RecordBatch]) -> Iterator[_Rows]:
+    rows = pa.Table.from_batches(batches)
+    sizes = rows["size"].to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(sizes)) + 1).tolist(), len(sizes)]
+    for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+        yield _Rows.of(rows.slice(start, stop - start))
+
+
+def _links(cosine: float):
+    def links(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_cells(batches):
+            turns = (rows.cells[1:] != rows.cells[:-1]).any(1)
+            starts = np.flatnonzero(np.append(True, turns))
+            lengths = np.diff(np.append(starts, len(rows.nodes)))
+            parts = [_pairs(rows, starts[lengths == 2], cosine)]
+            for start, length in zip(starts.tolist(), lengths.tolist(), strict=True):
+                if length > 2:
+                    parts.append(_cell(rows, slice(start, start + length), cosine))
+            columns = (np.concatenate(c) for c in zip(*parts, strict=True))
+            nodes, found, least = columns
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(nodes), pa.array(found), pa.array(least, mask=least == nodes)],
+                ["node", "links", "b"],
+            )
 
     return links
 
 
+def _pairs(rows: _Rows, first: np.ndarray, cosine: float) -> tuple[np.ndarray, ...]:
+    """(nodes, links, least nodes reached) of cells of two rows, all at once."""
+    second = first + 1
+    hit = np.einsum("ij,ij->i", rows.unit[first], rows.unit[second]) >= cosine
+    inside = rows.cells[first, 3] == rows.cells[first, 4]
+    hit &= inside | (rows.own[first] != rows.own[second])
+    first, second = first[hit], second[hit]
+    fresh = ~rows.met_before(first, second)
+    first, second = first[fresh], second[fresh]
+    both = np.concatenate([first, second])
+    found = rows.copies[np.concatenate([second, first])].astype(np.int64)
+    return rows.nodes[both], found, rows.nodes[np.concatenate([first, first])]
+
+
+def _cell(rows: _Rows, part: slice, cosine: float) -> tuple[np.ndarray, ...]:
+    """The same of one cell."""
+    unit, own, nodes = rows.unit[part], rows.own[part], rows.nodes[part]
+    hit = unit @ unit.T >= cosine
+    if rows.cells[part.start, 3] != rows.cells[part.start, 4]:
+        hit &= own[:, None] != own[None, :]  # the rest is in the blocks' own cells
+    np.fill_diagonal(hit, False)
+    first, second = np.nonzero(np.triu(hit))
+    for start in range(0, len(first), 65536):
+        a, b = first[start : start + 65536], second[start : start + 65536]
+        met = rows.met_before(a + part.start, b + part.start)
+        hit[a[met], b[met]] = hit[b[met], a[met]] = False
+    some = np.flatnonzero(hit.any(1))
+    found = (hit[some] * rows.copies[part]).sum(1).astype(np.int64)
+    return nodes[some], found, nodes[_least_reached(hit)[some]]
+
+
 def _least_reached(hit: np.ndarray) -> np.ndarray:
     """For each row of a symmetric table the least row that its links reach."""
     labels = np.arange(len(hit))
