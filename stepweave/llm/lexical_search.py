@@ -163,7 +163,7 @@ class Descent:
         """
         if len(rows) < _FEW_TERMS:
             weights = weights.astype(np.float64)
-        together = max(1, STEP_CELLS // max(len(rows), 1))
+        wide = max(1, STEP_CELLS // max(len(rows), 1))
         found: list[int] = []  # the greatest scores, a heap
         hits: list[tuple[int, int]] = []
         start = np.zeros((1, len(rows)), np.int64)
@@ -173,6 +173,8 @@ class Descent:
         while groups and -groups[0][0] >= least:
             _, _, level, bounds, places, nodes = heapq.heappop(groups)
             fit = bounds >= least
+            # First a few ranges down to their documents; these rule out most others.
+            together = wide if least > 1 else min(wide, 2 * best)
             if len(bounds) > together:
                 rest = np.argpartition(-bounds, together)
                 some, rest = rest[:together], rest[together:]
@@ -239,30 +241,65 @@ def _length_measure(n: int, docs: int, terms: int) -> int:
     return 100 - LENGTH_PERCENT + LENGTH_PERCENT * n * docs // terms
 
 
-def _index(docs: int, terms: int):
-    def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = None
-        held: list[tuple[object, Counter, int]] = []
-        size = 0
-        for batch in batches:
-            kind = batch["ident"].type
-            for ident, text in zip(batch["ident"].to_pylist(), byte_texts(batch["text"]), strict=True):
-                counts: Counter[bytes] = Counter()
-                for some in terms_of(text):
-                    counts.update(some)
-                if counts:
-                    held.append((ident, counts, _length_measure(counts.total(), docs, terms)))
-                    size += len(text)
-                if len(held) >= BLOCK_DOCS or size >= BLOCK_BYTES:
-                    yield _block(held, kind)
-                    held, size = [], 0
-        if held:
-            yield _block(held, kind)
-
-    return index
+class _Gathered:
+    """Documents on their way into a block: their terms as numbers, not as texts."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[bytes, int] = {}
+        self.idents: list = []
+        self.measures: list[int] = []
+        self.rows: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.size = 0
+
+    def add(self, ident: object, text: bytes | None, docs: int, terms: int) -> None:
+        counts: Counter[bytes] = Counter()
+        for some in terms_of(text):
+            counts.update(some)
+        if not counts:
+            return
+        numbers = self.numbers
+        own = (numbers.setdefault(term, len(numbers)) for term in counts)
+        self.rows.append(np.fromiter(own, np.int32, len(counts)))
+        self.counts.append(np.fromiter(counts.values(), np.int64, len(counts)))
+        self.idents.append(ident)
+        self.measures.append(_length_measure(counts.total(), docs, terms))
+        self.size += len(text or b"")
+
+    def full(self) -> bool:
+        return len(self.idents) >= BLOCK_DOCS or self.size >= BLOCK_BYTES
+
+    def block(self, kind: pa.DataType) -> pa.RecordBatch:
+        """A row of the index: identifiers by column, terms by row, and the treap."""
+        by_ident = sorted(range(len(self.idents)), key=lambda i: _place((0, self.idents[i])))
+        column = np.empty(len(by_ident), np.int64)
+        column[by_ident] = np.arange(len(by_ident))
+        sizes = [len(own) for own in self.rows]
+        rows, tf = (np.concatenate(x).astype(np.int64) for x in (self.rows, self.counts))
+        measures = np.repeat(np.array(self.measures, np.int64), sizes)
+        # Rows of like frequency lie together, so that squares are full or empty.
+        order = np.argsort(-np.bincount(rows, minlength=len(self.numbers)), kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        shape = len(order), len(by_ident)
+        treap = build_treap(place[rows], np.repeat(column, sizes), impact(tf, measures), shape)
+        names = pa.array(list(self.numbers), pa.binary()).take(pa.array(order))
+        packed = {
+            "row_levels": treap.row_levels,
+            "column_levels": treap.column_levels,
+            "bits": [x.tobytes() for x in treap.bits],
+            "lacks": [_narrow(x) for x in treap.lacks],
+        }
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([[self.idents[i] for i in by_ident]], pa.list_(kind)),
+                pa.array([b" ".join(names.to_pylist())]),
+                pa.array([packed], _TREAP),
+            ],
+            ["idents", "terms", "treap"],
+        )
 
 
-_BLOCK_NAMES = ["idents", "terms", "treap"]
 _TREAP = pa.struct(
     [
         ("row_levels", pa.int32()),
@@ -273,44 +310,20 @@ _TREAP = pa.struct(
 )
 
 
-def _block(held: list[tuple[object, Counter, int]], kind: pa.DataType) -> pa.RecordBatch:
-    """A row of the index: identifiers by column, terms by row, and the treap."""
-    held = sorted(held, key=lambda doc: _place((0, doc[0])))
-    numbers: dict[bytes, int] = {}
-    for _, counts, _ in held:
-        for term in counts:
-            numbers.setdefault(term, len(numbers))
-    sizes = [len(counts) for _, counts, _ in held]
-    cells = sum(sizes)
-    rows = np.fromiter((numbers[t] for _, counts, _ in held for t in counts), np.int64, cells)
-    tf = np.fromiter((n for _, counts, _ in held for n in counts.values()), np.int64, cells)
-    columns = np.repeat(np.arange(len(held)), sizes)
-    measures = np.repeat(np.array([measure for _, _, measure in held], np.int64), sizes)
-    # Rows of like frequency lie together, so that squares are full or empty.
-    frequency = np.bincount(rows, minlength=len(numbers))
-    order = np.argsort(-frequency, kind="stable")
-    place = np.empty(len(order), np.int64)
-    place[order] = np.arange(len(order))
-    treap = build_treap(place[rows], columns, impact(tf, measures), (len(numbers), len(held)))
-    names = pa.array(list(numbers), pa.binary()).take(pa.array(order))
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([[ident for ident, _, _ in held]], pa.list_(kind)),
-            pa.array([b" ".join(names.to_pylist())]),
-            pa.array(
-                [
-                    {
-                        "row_levels": treap.row_levels,
-                        "column_levels": treap.column_levels,
-                        "bits": [x.tobytes() for x in treap.bits],
-                        "lacks": [_narrow(x) for x in treap.lacks],
-                    }
-                ],
-                _TREAP,
-            ),
-        ],
-        _BLOCK_NAMES,
-    )
+def _index(docs: int, terms: int):
+    def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, kind = _Gathered(), None
+        for batch in batches:
+            kind = batch["ident"].type
+            for ident, text in zip(batch["ident"].to_pylist(), byte_texts(batch["text"]), strict=True):
+                held.add(ident, text, docs, terms)
+                if held.full():
+                    yield held.block(kind)
+                    held = _Gathered()
+        if held.idents:
+            yield held.block(kind)
+
+    return index
 
 
 def _narrow(values: np.ndarray) -> bytes:
