@@ -29,6 +29,14 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as a table in the shared folder: smaller than a checkpoint, and
+    of some columns only those that are asked for are read."""
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 class Steps:
     """Tables that are settled on the way to a result, and can go once it is settled too."""
 
