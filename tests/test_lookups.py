@@ -138,6 +138,25 @@ def test_hot_cells_and_repeats(spark, monkeypatch, share):
     assert len(joined) == len(cells)
 
 
+def test_the_joined_form_takes_cells_apart_once(spark):
+    """Cells are read by one generator, and their labels are sorted once: no list is
+    gathered in groups, which fall back to sorting twice."""
+    df = spark.createDataFrame([("1,x",), (None,)], "cell string")
+    out = L.lookup_by_id(df, "cell", _lookup(spark, "id", "joined"))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate posexplode") == 1
+    assert "Union" not in plan
+    assert "Window" in plan
+
+
+def test_codes_that_no_number_is_and_blank_cells_in_one_pass(spark):
+    """Unreadable codes, empty and odd cells side by side with good ones, in their order."""
+    cells = [",".join(["x", str(i % 3), "", "1e0", "-", "2.9"][: i % 7]) for i in range(300)]
+    cells += ["", ",", ",,", " , ", None]
+    joined = _decode(spark, "id", "joined", cells, ",", "NA")
+    assert joined == _decode(spark, "id", "indexed", cells, ",", "NA")
+
+
 def test_null_delimiter_is_an_error(spark):
     L.register_sql_functions(spark, [_lookup(spark, "id", "sql")])
     ask = "SELECT lookupValueByIdList('t', {}, CAST(NULL AS STRING), ';', 'NA') AS v"
@@ -432,3 +451,14 @@ def test_a_folder_that_python_cannot_open(spark, monkeypatch):
     assert _decode(spark, "id", "joined", ["1,7"], ",", "NA", lookup) == ["A;NA"]
     with pytest.raises(L.LookupBuildError, match="mount the shared folder"):
         L.register_sql_functions(spark, [lookup])
+
+
+def test_short_runs_of_digits_are_read_together(monkeypatch):
+    """Only codes of another form are read one by one; all are read alike."""
+    codes = pa.array(["12", "007", None, "x", "1" * 15, "1" * 16, "1.9", "", "12", "\u0661", "5\n"])
+    want = [None if code is None else cells.id_key(code) for code in codes.to_pylist()]
+    asked, one = [], cells.id_key
+    monkeypatch.setattr(cells, "id_key", lambda code: asked.append(code) or one(code))
+    assert cells.code_keys(codes, "id").to_pylist() == want
+    assert not {"12", "007", "1" * 15} & set(asked)
+    assert cells.code_keys(pa.array([], pa.string()), "id").to_pylist() == []
