@@ -660,3 +660,12 @@ def test_class_probabilities_sum_to_one():
     whole = context_mixing.class_bits(model, texts, np.full(len(classes), 51))
     part = context_mixing.class_bits(model, before, np.array([50]))
     assert math.isclose(np.exp(whole - part).sum(), 1, rel_tol=1e-3)
+
+
+def test_sums_of_blocks_like_a_plain_sum():
+    random = np.random.default_rng(3)
+    products = random.standard_normal((50, 8)).astype(np.float32)
+    blocks, at = np.sort(random.integers(0, 40, 300)), random.integers(0, 50, 300)
+    want = np.zeros((45, 8), np.float32)
+    np.add.at(want, blocks, products[at])
+    assert np.allclose(decontamination._block_sums(products, at, blocks, 45), want, atol=1e-5)
