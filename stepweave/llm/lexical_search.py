@@ -38,7 +38,7 @@ from stepweave.session import scratch_path
 BEST = 10
 #: A block of the index has at most so many documents, and ends after so many bytes of text.
 BLOCK_DOCS = 4096
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
 #: Terms of the items that are searched for at once; further items in further rounds.
 TERMS_AT_ONCE = 1 << 20
 #: Ranges times terms that are opened in one step.
@@ -48,8 +48,9 @@ LENGTH_PERCENT = 90
 IMPACT_SCALE, TERM_SCALE, LENGTH_SCALE, WEIGHT_SCALE = 10**9, 1000, 8, 1000
 # A score of fewer terms is below 2^53, so that doubles add it up exactly.
 _FEW_TERMS = 100_000
-# Texts are taken apart in pieces of about so many bytes.
+# Texts are taken apart in pieces of about so many bytes, and so many are objects at once.
 _PIECE = 1 << 20
+_TEXTS = 256
 
 # A term's bytes as they are, A-Z lower-cased; all others become spaces.
 _PLAIN = bytes(
@@ -73,9 +74,16 @@ def terms_of(text: bytes | None) -> Iterator[list[bytes]]:
     yield plain[start:].split()
 
 
+def _few(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches' rows, a few at a time."""
+    for batch in batches:
+        for start in range(0, len(batch), _TEXTS):
+            yield batch.slice(start, _TEXTS)
+
+
 def _count_lengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     docs = terms = 0
-    for batch in batches:
+    for batch in _few(batches):
         for text in byte_texts(batch["text"]):
             if n := sum(map(len, terms_of(text))):
                 docs += 1
@@ -116,17 +124,17 @@ def build_treap(rows: np.ndarray, columns: np.ndarray, impacts: np.ndarray, shap
             keys = keys << 1 | columns >> column_bit & 1
         widths.append(by_row + by_column)
     order = np.argsort(keys)
-    keys, largest = keys[order], impacts[order].astype(np.int64)
+    keys, largest = keys[order], impacts[order].astype(np.int32)
+    del order
     for width in reversed(widths):
         parents = keys >> width
         first = np.flatnonzero(np.diff(parents, prepend=-1))
-        of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(parents))))
         above = np.maximum.reduceat(largest, first)
-        child = (1 << (keys & ((1 << width) - 1))).astype(np.uint8)
+        child = np.left_shift(np.uint8(1), (keys & ((1 << width) - 1)).astype(np.uint8))
         treap.bits.append(np.add.reduceat(child, first, dtype=np.uint8))
-        treap.lacks.append((above[of] - largest).astype(np.int32))
+        treap.lacks.append(np.repeat(above, np.diff(np.append(first, len(parents)))) - largest)
         keys, largest = parents[first], above
-    treap.lacks.append(largest.astype(np.int32))  # the root's, of nothing
+    treap.lacks.append(largest)  # the root's, of nothing
     treap.bits.reverse()
     treap.lacks.reverse()
     return treap
@@ -272,17 +280,19 @@ class _Gathered:
     def block(self, kind: pa.DataType) -> pa.RecordBatch:
         """A row of the index: identifiers by column, terms by row, and the treap."""
         by_ident = sorted(range(len(self.idents)), key=lambda i: _place((0, self.idents[i])))
-        column = np.empty(len(by_ident), np.int64)
+        column = np.empty(len(by_ident), np.int32)
         column[by_ident] = np.arange(len(by_ident))
         sizes = [len(own) for own in self.rows]
-        rows, tf = (np.concatenate(x).astype(np.int64) for x in (self.rows, self.counts))
+        rows = np.concatenate(self.rows)
         measures = np.repeat(np.array(self.measures, np.int64), sizes)
+        impacts = impact(np.concatenate(self.counts), measures).astype(np.int32)
+        del measures
         # Rows of like frequency lie together, so that squares are full or empty.
         order = np.argsort(-np.bincount(rows, minlength=len(self.numbers)), kind="stable")
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
         shape = len(order), len(by_ident)
-        treap = build_treap(place[rows], np.repeat(column, sizes), impact(tf, measures), shape)
+        treap = build_treap(place[rows], np.repeat(column, sizes), impacts, shape)
         names = pa.array(list(self.numbers), pa.binary()).take(pa.array(order))
         packed = {
             "row_levels": treap.row_levels,
@@ -313,7 +323,7 @@ _TREAP = pa.struct(
 def _index(docs: int, terms: int):
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, kind = _Gathered(), None
-        for batch in batches:
+        for batch in _few(batches):
             kind = batch["ident"].type
             for ident, text in zip(batch["ident"].to_pylist(), byte_texts(batch["text"]), strict=True):
                 held.add(ident, text, docs, terms)
