@@ -56,15 +56,15 @@ def id_keys(codes: str) -> str:
     the pattern keeps text away from the cast, where every failure would cost an
     exception.
     """
-    double = "try_cast(p AS DOUBLE)"
+    # Each code is read once; what is made of its number is a step of its own.
+    numbers = f"transform({codes}, p -> CASE WHEN p {NUMERIC} THEN try_cast(p AS DOUBLE) END)"
     return (
         f"coalesce(CASE WHEN array_join({codes}, ',') {DIGITS} "
         f"THEN try_cast({codes} AS ARRAY<BIGINT>) END, "
-        f"transform({codes}, p -> CASE WHEN p {NUMERIC} THEN "
-        f"CASE WHEN isnan({double}) THEN 0L "
-        f"WHEN {double} >= 9223372036854775808D THEN {LONG_MAX} "
-        f"WHEN {double} <= -9223372036854775808D THEN {LONG_MIN} "
-        f"ELSE CAST({double} AS BIGINT) END END))"
+        f"transform({numbers}, x -> CASE WHEN isnan(x) THEN 0L "
+        f"WHEN x >= 9223372036854775808D THEN {LONG_MAX} "
+        f"WHEN x <= -9223372036854775808D THEN {LONG_MIN} "
+        "ELSE CAST(x AS BIGINT) END))"
     )
 
 

@@ -1,6 +1,7 @@
 """Decoding rules, each checked in the indexed, the joined and the SQL form."""
 
 import pickle
+import re
 import weakref
 from pathlib import Path
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stepweave.config import LookupSpec
 from stepweave.functions import cells
+from stepweave.functions import codes as cell_sql
 from stepweave.operators import lookup_index
 from stepweave.operators import lookups as L
 
@@ -149,6 +151,22 @@ def test_the_joined_form_takes_cells_apart_once(spark):
     assert "Window" in plan
 
 
+def test_the_joined_form_shuffles_its_cells_once(spark):
+    """Counting the cells and taking them apart start from one exchange; a code is read as
+    a number once."""
+    df = spark.createDataFrame([("1,x",), (None,)], "cell string")
+    lookup = _lookup(spark, "id", "joined")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = L.lookup_by_id(df, "cell", lookup)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert len(re.findall(r"[ -]Exchange hashpartitioning\(cell#\d+, \d+\)", plan)) - len(
+        re.findall(r"ReusedExchange [^\n]*, Exchange hashpartitioning\(cell#\d+, \d+\)", plan)
+    ) == 1
+    assert cell_sql.id_keys("c").count("AS DOUBLE") == 1
+
+
 def test_codes_that_no_number_is_and_blank_cells_in_one_pass(spark):
     """Unreadable codes, empty and odd cells side by side with good ones, in their order."""
     cells = [",".join(["x", str(i % 3), "", "1e0", "-", "2.9"][: i % 7]) for i in range(300)]
