@@ -26,7 +26,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stepweave.llm.common import (
-    BROADCAST_ROWS,
     PIECE_BYTES,
     Steps,
     WindowHasher,
@@ -34,7 +33,7 @@ from stepweave.llm.common import (
     components,
     having,
     in_pieces,
-    settled,
+    is_short,
 )
 
 #: Words of a shingle, percent of similarity, retained values.
@@ -142,6 +141,7 @@ def near_duplicates(
     percent: int = PERCENT,
     size: int = SHINGLE,
     k: int = SKETCH,
+    held: Steps | None = None,
 ) -> DataFrame:
     """Per row: ``ident, n_shingles, component_id, kept``.
 
@@ -154,8 +154,8 @@ def near_duplicates(
     """
     texts = docs.select(docs[ident].cast("long").alias("ident"), docs[text].alias("text"))
     schema = "ident long, class binary, n_shingles long, sketch array<long>"
-    rows = settled(texts.mapInArrow(_sketches(size, k), schema))
-    classes = settled(
+    rows = held.settled(texts.mapInArrow(_sketches(size, k), schema))
+    classes = held.settled(
         rows.where("ident is not null and n_shingles > 0")
         .groupBy("class")
         .agg(
@@ -172,10 +172,10 @@ def near_duplicates(
         having(named, "node", members).mapInArrow(_full_sets(size), "node long, set binary")
     )
     first = steps.settled(_leader_links(lists, classes, sets, k, percent))
-    labels = components(first)
+    labels = components(first, held)
     later = steps.settled(_block_links(lists, classes, labels, sets, k, percent, steps))
     if not later.isEmpty():
-        labels = components(first.union(later))
+        labels = components(first.union(later), held)
     steps.release()  # what is left are rows, classes and labels
     placed = rows.join(classes.select("class", "node"), "class", "left").join(
         labels.withColumnRenamed("component", "linked"), "node", "left"
@@ -330,8 +330,7 @@ def _block_links(
     )
     dealt_bytes = F.when(F.col("star"), F.col("most.weight")).otherwise(F.col("all"))
     plan = plan.withColumn("cells", F.ceil(dealt_bytes / CELL_BYTES).cast("int"))
-    few = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    planned = members.join(F.broadcast(plan) if few else plan, "value")
+    planned = members.join(F.broadcast(plan) if is_short(plan) else plan, "value")
     star, main = F.col("star"), F.col("component") == F.col("most.component")
     own = F.pmod(F.xxhash64("node"), F.col("cells")).cast("int")
     every = F.sequence(F.lit(0), F.col("cells") - 1)

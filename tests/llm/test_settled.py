@@ -1,11 +1,13 @@
 """What steps leave on disk."""
 
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
-from stepweave.llm import common
+import corpus_pipeline
+from stepweave.llm import common, decontamination
 
 SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -24,3 +26,59 @@ def test_what_only_led_to_a_settled_table_goes(spark, keep):
     assert not left
     assert spark.conf.get(SETTING) == setting
     assert {tuple(r) for r in kept.collect()} == {(k, 143 if k < 6 else 142) for k in range(7)}
+
+
+def _shuffles(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {x for x in disk.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in x}
+
+
+def _left(spark, before):
+    until = time.time() + 10  # files go a little later
+    while (left := _shuffles(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    return left
+
+
+@pytest.fixture
+def plain_plans(spark):
+    """As many tasks as there are partitions."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "24")
+    yield
+    spark.conf.set(name, before)
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_few_tasks_multiply_the_sample(spark, sf_dir, plain_plans):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").repartition(24)
+    sample = decontamination.sampled(docs, 1)
+    assert sample.rdd.getNumPartitions() <= 6
+    common.release(sample)
+
+
+def test_no_shuffle_of_the_spaces_is_left_when_documents_are_searched(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    before = _shuffles(spark)
+    found = decontamination.contaminated(docs, benchmark)
+    # That of the number of passages is a few bytes.
+    assert sum(Path(x).stat().st_size for x in _left(spark, before)) < 20_000
+    assert found.count()
+
+
+def test_near_dedup_leaves_only_which_rows_go(spark, sf_dir, tmp_path):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    common.release(common.settled(spark.range(1)))  # there is a folder now
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+
+    def tables():
+        found = spark._jvm.java.io.File(folder).listFiles()
+        return {f.getName() for f in found if f.getName().startswith("rdd-")}
+
+    before, rows = _shuffles(spark), tables()
+    corpus_pipeline.near_copies(spark, docs, sf_dir).write.parquet(f"{tmp_path}/out")
+    assert not _left(spark, before)
+    assert len(tables() - rows) <= 1
