@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stepweave.llm import common, decontamination
+from stepweave.llm import common, context_mixing, decontamination
 
 SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -69,6 +69,16 @@ def test_no_shuffle_of_the_spaces_is_left_when_documents_are_searched(spark, sf_
     assert found.count()
 
 
+def test_what_tells_what_comes_next_leaves_no_shuffle(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("text is not null")
+    keyed = docs.select(F.xxhash64("text").alias("text_key"), F.lit(True).alias("learn"), "text")
+    before = _shuffles(spark)
+    known = context_mixing.expected_classes(keyed.union(keyed))
+    assert known.count()
+    # What is told goes to its texts, and the count to one task.
+    assert len({Path(x).name.split("_")[1] for x in _left(spark, before)}) <= 2
+
+
 def test_near_dedup_leaves_only_which_rows_go(spark, sf_dir, tmp_path):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     common.release(common.settled(spark.range(1)))  # there is a folder now
