@@ -152,6 +152,7 @@ def near_duplicates(
     identifier is compared with nothing, has a null component and is kept.  Repeated rows
     come back as often.  Other columns are ignored, whatever their names.
     """
+    held = Steps() if held is None else held  # what the result reads stays with it
     texts = docs.select(docs[ident].cast("long").alias("ident"), docs[text].alias("text"))
     schema = "ident long, class binary, n_shingles long, sketch array<long>"
     rows = held.settled(texts.mapInArrow(_sketches(size, k), schema))

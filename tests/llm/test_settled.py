@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stepweave.llm import common, context_mixing, decontamination
+from stepweave.llm import common, context_mixing, decontamination, minhash_dedup
 
 SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -92,3 +92,14 @@ def test_near_dedup_leaves_only_which_rows_go(spark, sf_dir, tmp_path):
     corpus_pipeline.near_copies(spark, docs, sf_dir).write.parquet(f"{tmp_path}/out")
     assert not _left(spark, before)
     assert len(tables() - rows) <= 1
+
+
+def test_near_copies_are_found_without_steps_to_hold(spark):
+    words = " ".join(f"w{i}" for i in range(40))
+    rows = [(3, words), (1, words + " more"), (2, "other words"), (None, words), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash_dedup.near_duplicates(docs)
+    told = {(r.doc_id, r.component_id, r.kept) for r in found.collect()}
+    assert told == {
+        (1, 1, True), (3, 1, False), (2, 2, True), (4, 4, True), (None, None, True)
+    }
