@@ -3,6 +3,7 @@
 import time
 from pathlib import Path
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +104,37 @@ def test_near_copies_are_found_without_steps_to_hold(spark):
     assert told == {
         (1, 1, True), (3, 1, False), (2, 2, True), (4, 4, True), (None, None, True)
     }
+
+
+def test_spaces_are_fitted_on_every_passage(spark):
+    random = np.random.default_rng(4)
+    texts = [" ".join(f"w{x}" for x in random.integers(0, 5000, 45)) for _ in range(3000)]
+    docs = spark.createDataFrame([(x,) for x in [*texts, texts[0]]], "text string")
+    weights, blocks = decontamination.term_weights(docs)
+    assert blocks == 3 * 3001 > decontamination.DOCS_WEIGHT
+    sample = decontamination.sampled(docs, blocks)
+    words = [decontamination.words_of(text) for text in texts]
+    passages = {tuple(w[at : at + 40]): 1 for w in words for at in range(0, len(w), 20)}
+    passages |= {tuple(words[0][at : at + 40]): 2 for at in range(0, 45, 20)}
+    rows = sample.collect()
+    assert len(rows) == len({tuple(r.terms) for r in rows}) == len(passages)
+    share = decontamination.DOCS_WEIGHT / blocks
+    assert np.isclose(sum(r.scale**2 for r in rows), share * 9003)
+
+    used = np.unique(decontamination._terms(words[0] + words[1]))
+    found = np.zeros((len(used), len(used)))
+    parts = sample.mapInArrow(
+        decontamination._products(weights, [used]), "key string, data binary"
+    )
+    for part in common.summed_arrays(parts, "float32").collect():
+        row = int(part.key.split()[1])
+        data = np.frombuffer(part.data, np.float32).reshape(-1, len(used) - row)
+        found[row : row + len(data), row:] += data
+    want = np.zeros_like(found)
+    for passage, times in passages.items():
+        row = np.bincount(decontamination._terms(list(passage)), minlength=len(weights)) * weights
+        row *= np.sqrt(times * share) / np.linalg.norm(row)
+        want += np.outer(row[used], row[used])
+    assert np.allclose(np.triu(found), np.triu(want), atol=1e-4)
+    common.release(sample)
+    assert not Path(sample.inputFiles()[0].removeprefix("file:")).exists()
