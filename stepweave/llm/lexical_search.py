@@ -31,7 +31,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stepweave.llm.common import byte_texts, settled
+from stepweave.llm.common import byte_texts, few_rows, settled
 from stepweave.session import scratch_path
 
 #: Documents that an item gets.
@@ -51,6 +51,16 @@ _FEW_TERMS = 100_000
 # Texts are taken apart in pieces of about so many bytes, and so many are objects at once.
 _PIECE = 1 << 20
 _TEXTS = 256
+# Blocks that a reader of the index gets at once.
+_BLOCKS = 1
+# Blocks are large rows, so their sizes are looked at more often than small rows' are: what
+# is written, or read, at once has about so many bytes.
+_FILES = {
+    "parquet.block.size": 1 << 23,
+    "parquet.block.size.row.check.min": 1,
+    "parquet.block.size.row.check.max": 4,
+    "parquet.page.size.row.check.min": 1,
+}
 
 # A term's bytes as they are, A-Z lower-cased; all others become spaces.
 _PLAIN = bytes(
@@ -372,17 +382,20 @@ def build_index(rows: DataFrame, ident: str = "doc_id", text: str = "text") -> I
     """
     texts = rows.select(rows[ident].alias("ident"), rows[text].alias("text"))
     counted = texts.select("text").mapInArrow(_count_lengths, "docs long, terms long")
-    docs, terms = counted.agg(
-        F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("terms"), F.lit(0))
-    ).first()
+    spark = rows.sparkSession
+    with few_rows(spark, _TEXTS):
+        docs, terms = counted.agg(
+            F.coalesce(F.sum("docs"), F.lit(0)), F.coalesce(F.sum("terms"), F.lit(0))
+        ).first()
     kind = texts.schema["ident"].dataType.simpleString()
     schema = (
         f"idents array<{kind}>, terms binary, "
         "treap struct<row_levels: int, column_levels: int, bits: array<binary>, lacks: array<binary>>"
     )
-    path = scratch_path(rows.sparkSession, "lexical-index")
-    texts.mapInArrow(_index(docs, terms), schema).write.parquet(path)
-    return Index(rows.sparkSession.read.schema(schema).parquet(path), docs, terms)
+    path = scratch_path(spark, "lexical-index")
+    with few_rows(spark, _TEXTS):
+        texts.mapInArrow(_index(docs, terms), schema).write.options(**_FILES).parquet(path)
+    return Index(spark.read.schema(schema).parquet(path), docs, terms)
 
 
 @dataclass(frozen=True)
@@ -519,15 +532,18 @@ def search(
             seen = index.blocks.select("terms", "treap").mapInArrow(
                 _frequencies(shared), "term long, n long"
             )
-            for row in seen.groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator():
-                counts[row.term] = row.n
+            with few_rows(spark, _BLOCKS):
+                for row in seen.groupBy("term").agg(F.sum("n").alias("n")).toLocalIterator():
+                    counts[row.term] = row.n
             shared.destroy()
         queries = _Queries([x for x in asked if len(x[1])], wanted, _weights(counts, index.docs))
         hits = index.blocks.mapInArrow(_search(spark.sparkContext.broadcast(queries), best), schema)
         names = spark.createDataFrame(list(enumerate(some)), "number long, text string")
-        top = settled(_best(hits, best)).join(
-            F.broadcast(names), F.col("item") == number
-        ).select("text", "rank", "score", "ident")
+        with few_rows(spark, _BLOCKS):
+            top = settled(_best(hits, best))
+        top = top.join(F.broadcast(names), F.col("item") == number).select(
+            "text", "rank", "score", "ident"
+        )
         found = top if found is None else found.unionByName(top)
     if found is None:
         found = spark.createDataFrame([], f"text string, rank int, score long, ident {kind}")
