@@ -136,5 +136,25 @@ def test_spaces_are_fitted_on_every_passage(spark):
         row *= np.sqrt(times * share) / np.linalg.norm(row)
         want += np.outer(row[used], row[used])
     assert np.allclose(np.triu(found), np.triu(want), atol=1e-4)
-    common.release(sample)
-    assert not Path(sample.inputFiles()[0].removeprefix("file:")).exists()
+    kept = common.stored(sample)
+    lies = Path(kept.inputFiles()[0].removeprefix("file:"))
+    assert common.is_stored(kept) and lies.exists() and not common.is_stored(sample)
+    common.release(kept)
+    assert not lies.exists()
+
+
+def test_groups_that_are_fitted_one_at_a_time_find_the_same(spark, monkeypatch):
+    random = np.random.default_rng(9)
+    texts = [" ".join(f"w{x}" for x in random.integers(0, 3000, 90)) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = [(i, " ".join(texts[i].split()[9:49])) for i in range(200)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        rows = decontamination.contaminated(docs, bench).collect()
+        return sorted((r.doc_id, r.item_id, round(r.cosine, 3)) for r in rows)
+
+    together = found()
+    assert {(i, i) for i in range(200)} <= {x[:2] for x in together}
+    monkeypatch.setattr(decontamination, "FIT_CELLS", 1)
+    assert found() == together
