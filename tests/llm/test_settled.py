@@ -158,3 +158,14 @@ def test_groups_that_are_fitted_one_at_a_time_find_the_same(spark, monkeypatch):
     assert {(i, i) for i in range(200)} <= {x[:2] for x in together}
     monkeypatch.setattr(decontamination, "FIT_CELLS", 1)
     assert found() == together
+
+
+def test_texts_are_taken_apart_together_like_one_by_one():
+    texts = ["One, two;  three", None, "", " .. ", "Übermäßig\tlongerthaneightbytes x1\n", "two"]
+    (piece, terms, lengths), = decontamination._pieces(texts)
+    assert [(row, plain.split()) for row, plain in piece] == [
+        (row, decontamination.words_of(texts[row])) for row in (0, 4, 5)
+    ]
+    assert lengths.tolist() == [3, 3, 1]
+    alone = [decontamination._terms([w]).tolist() for _, p in piece for w in p.split()]
+    assert [[x] for x in terms.tolist()] == alone and alone[1] == alone[6]
