@@ -1,6 +1,7 @@
 """What steps leave on disk."""
 
 import time
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -167,5 +168,9 @@ def test_texts_are_taken_apart_together_like_one_by_one():
         (row, decontamination.words_of(texts[row])) for row in (0, 4, 5)
     ]
     assert lengths.tolist() == [3, 3, 1]
-    alone = [decontamination._terms([w]).tolist() for _, p in piece for w in p.split()]
-    assert [[x] for x in terms.tolist()] == alone and alone[1] == alone[6]
+    words = [w for _, p in piece for w in p.split()]
+    assert terms.tolist() == [zlib.crc32(w) % decontamination.TERMS for w in words]
+    words = [b"x" * n for n in (1, 31, 32, 33, 34, 2000)]
+    hashed = [zlib.crc32(w) % decontamination.TERMS for w in words]
+    assert decontamination._terms(words).tolist() == hashed
+    assert not len(decontamination._terms([]))
